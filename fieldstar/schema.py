@@ -8,26 +8,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_TYPES = {
+    "long": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(**columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
 # Table names, column names and column order of the star schema.
 SCHEMAS: dict[str, T.StructType] = {
-    "datasets": T.StructType.fromDDL(
-        "dataset_id string, title string, version string, url string, extracted timestamp"
-    ),
-    "taxa": T.StructType.fromDDL(
-        "taxon_id long, sci_name string, `group` string, `class` string, `order` string, "
-        "family string, genus string, common_name string, category string, spec string, "
-        "target boolean, revised_id long, taxon_json string"
+    "datasets": _schema(dataset_id="string", title="string", version="string", url="string", extracted="timestamp"),
+    "taxa": _schema(
+        **{"taxon_id": "long", "sci_name": "string", "group": "string", "class": "string", "order": "string"},
+        **{"family": "string", "genus": "string", "common_name": "string", "category": "string"},
+        **{"spec": "string", "target": "boolean", "revised_id": "long", "taxon_json": "string"},
     ),
-    "places": T.StructType.fromDDL(
-        "place_id long, dataset_id string, lng double, lat double, radius double, "
-        "place_json string, geohash string, geopoint binary"
+    "places": _schema(
+        place_id="long",
+        dataset_id="string",
+        lng="double",
+        lat="double",
+        radius="double",
+        place_json="string",
+        geohash="string",
+        geopoint="binary",
     ),
-    "events": T.StructType.fromDDL(
-        "event_id long, place_id long, dataset_id string, year int, day int, "
-        "started string, ended string, event_json string"
+    "events": _schema(
+        event_id="long",
+        place_id="long",
+        dataset_id="string",
+        year="int",
+        day="int",
+        started="string",
+        ended="string",
+        event_json="string",
     ),
-    "counts": T.StructType.fromDDL(
-        "count_id long, event_id long, dataset_id string, taxon_id long, `count` int, count_json string"
+    "counts": _schema(
+        count_id="long", event_id="long", dataset_id="string", taxon_id="long", count="int", count_json="string"
     ),
 }
 TABLES = tuple(SCHEMAS)
