@@ -13,22 +13,22 @@ ORDER_SQL = ", ".join(ROW_ORDER)
 
 @query(
     "code_anti_join",
-    """select s_suppkey, 'S' || cast(s_suppkey * 3 as varchar) as spec from {supplier} s
-    where not exists (select 1 from {taxa} t where t.spec = 'S' || cast(s.s_suppkey * 3 as varchar))""",
+    """select s_suppkey, 'S' || cast(s_suppkey * 31 as varchar) as spec from {supplier} s
+    where not exists (select 1 from {taxa} t where t.spec = 'S' || cast(s.s_suppkey * 31 as varchar))""",
 )
 def code_anti_join(spark, sf_dir):
     return joins.missing_codes(_codes(spark, sf_dir), view(spark, sf_dir, "taxa"), "spec")
 
 
 def _codes(spark, sf_dir):
-    code = F.concat(F.lit("S"), (F.col("s_suppkey") * 3).cast("string"))
+    code = F.concat(F.lit("S"), (F.col("s_suppkey") * 31).cast("string"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", code.alias("spec"))
 
 
 @query(
     "code_not_in_null_aware",
-    """select s_suppkey, 'S' || cast(s_suppkey * 3 as varchar) as spec from {supplier}
-    where 'S' || cast(s_suppkey * 3 as varchar) not in (select spec from {taxa})""",
+    """select s_suppkey, 'S' || cast(s_suppkey * 31 as varchar) as spec from {supplier}
+    where 'S' || cast(s_suppkey * 31 as varchar) not in (select spec from {taxa})""",
 )
 def code_not_in_null_aware(spark, sf_dir):
     return joins.missing_codes(_codes(spark, sf_dir), view(spark, sf_dir, "taxa"), "spec", null_aware=True)
@@ -36,8 +36,8 @@ def code_not_in_null_aware(spark, sf_dir):
 
 @query(
     "code_not_in_no_nulls",
-    """select s_suppkey, 'S' || cast(s_suppkey * 3 as varchar) as spec from {supplier}
-    where 'S' || cast(s_suppkey * 3 as varchar) not in (select spec from {taxa} where spec is not null)""",
+    """select s_suppkey, 'S' || cast(s_suppkey * 31 as varchar) as spec from {supplier}
+    where 'S' || cast(s_suppkey * 31 as varchar) not in (select spec from {taxa} where spec is not null)""",
 )
 def code_not_in_no_nulls(spark, sf_dir):
     coded = view(spark, sf_dir, "taxa").filter("spec is not null")
@@ -174,7 +174,7 @@ def backfill_scalar(spark, sf_dir):
 
 @query(
     "code_bridge",
-    """select lpad(cast(s_suppkey as varchar), greatest(4, length(cast(s_suppkey as varchar))), '0') as species_id,
+    """select lpad(cast(s_suppkey as varchar), cast(greatest(4, length(cast(s_suppkey as varchar))) as int), '0') as species_id,
     taxon_id from {supplier} join {taxa} on taxon_id = s_suppkey * 2""",
 )
 def code_bridge(spark, sf_dir):
@@ -261,8 +261,8 @@ def first_nonempty_query(spark, sf_dir):
 
 @query(
     "zero_padded_codes",
-    """select s_suppkey, case when length(cast(s_suppkey * 37 as varchar)) >= 4 then cast(s_suppkey * 37 as varchar)
-    else lpad(cast(s_suppkey * 37 as varchar), 4, '0') end as code from {supplier}""",
+    """select s_suppkey, case when length(cast(s_suppkey * 317 as varchar)) >= 4 then cast(s_suppkey * 317 as varchar)
+    else lpad(cast(s_suppkey * 317 as varchar), 4, '0') end as code from {supplier}""",
 )
 def zero_padded_codes(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", zfill(F.col("s_suppkey") * 37, 4).alias("code"))

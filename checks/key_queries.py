@@ -7,8 +7,17 @@ from checks.views import ROW_ORDER
 from fieldstar.functions.numbers import radius_m
 from fieldstar.operators import keys
 from fieldstar.operators.constraints import check_constraints, fk_violations, null_violations, unique_violations
-from fieldstar.operators.reshape import melt_counts, melt_events
-from fieldstar.plans.checklists import split_checklists, target_taxa, usable_checklists
+from fieldstar.operators.joins import lookup
+from fieldstar.operators.reshape import melt_counts, melt_events, number_rows
+from fieldstar.plans.checklists import (
+    EVENT_KEY,
+    PLACE_KEY,
+    count_rows,
+    event_rows,
+    place_rows,
+    target_taxa,
+    usable_checklists,
+)
 
 ORDER_SQL = ", ".join(ROW_ORDER)
 LINE = ["l_orderkey", "l_linenumber"]
@@ -165,10 +174,16 @@ def melt_counts_query(spark, sf_dir):
     return melt_counts(rows, measures, ["attempt"]).drop("count_rank")
 
 
-def split(spark, sf_dir):
+def numbered(spark, sf_dir, *levels):
+    """Wanted levels of the checklist star, each numbered from 1."""
     rows = usable_checklists(view(spark, sf_dir, "raw_obs"))
     taxa = target_taxa(view(spark, sf_dir, "obs_taxa"))
-    return split_checklists(rows, taxa, ROW_ORDER, {"places": 1, "events": 1, "counts": 1})
+    made = {
+        "places": lambda: number_rows(rows, PLACE_KEY, "place_id", 1, ROW_ORDER, place_rows),
+        "events": lambda: number_rows(rows, EVENT_KEY, "event_id", 1, ROW_ORDER, event_rows),
+        "counts": lambda: number_rows(rows, None, "count_id", 1, ROW_ORDER, lambda df: count_rows(df, taxa)),
+    }
+    return [made[level]() for level in levels]
 
 
 PLACE_ROWS = f"""
@@ -190,7 +205,8 @@ select *, row_number() over (order by {ORDER_SQL}) as event_id from (
         as varchar) as place_json from ({PLACE_ROWS})""",
 )
 def star_places(spark, sf_dir):
-    return split(spark, sf_dir)[0].select("place_id", "lng", "lat", "radius", "place_json")
+    (places,) = numbered(spark, sf_dir, "places")
+    return places.select("place_id", "lng", "lat", "radius", "place_json")
 
 
 @query(
@@ -205,7 +221,9 @@ def star_places(spark, sf_dir):
     from ({EVENT_ROWS}) e join (select place_id, lng, lat from ({PLACE_ROWS})) p using (lng, lat)""",
 )
 def star_events(spark, sf_dir):
-    return split(spark, sf_dir)[1].select("event_id", "place_id", "year", "day", "started", "ended", "event_json")
+    places, events = numbered(spark, sf_dir, "places", "events")
+    events = lookup(events, places, PLACE_KEY, ["place_id"])
+    return events.select("event_id", "place_id", "year", "day", "started", "ended", "event_json")
 
 
 @query(
@@ -219,7 +237,9 @@ def star_events(spark, sf_dir):
     join (select event_id, SAMPLING_EVENT_IDENTIFIER from ({EVENT_ROWS})) using (SAMPLING_EVENT_IDENTIFIER)""",
 )
 def star_counts(spark, sf_dir):
-    return split(spark, sf_dir)[2].select("count_id", "event_id", "taxon_id", "count", "count_json")
+    events, counts = numbered(spark, sf_dir, "events", "counts")
+    counts = lookup(counts, events, EVENT_KEY, ["event_id"])
+    return counts.select("count_id", "event_id", "taxon_id", "count", "count_json")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -32,10 +33,29 @@ def parse_fixed(c: Column, fmt: str) -> Column:
     return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
 
 
+def _shape(fmt: str) -> str:
+    """Regular expression for texts a format could match."""
+    parts = re.findall(r"'[^']*'|[A-Za-z]+|[^A-Za-z']", fmt)
+    shapes = []
+    for part in parts:
+        if part[0] == "'":
+            shapes.append(re.escape(part.strip("'")))
+        elif part == "a":
+            shapes.append("[AaPp][Mm]")
+        elif part.isalpha():
+            shapes.append(r"\d{1,2}" if len(part) == 1 else rf"\d{{{len(part)}}}")
+        else:
+            shapes.append(re.escape(part))
+    return f"^{''.join(shapes)}$"
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text in any of the declared formats to a timestamp, else NULL."""
+    """Text in any of the declared formats to a timestamp, else NULL.
+
+    A format is tried only on text of its shape: failed parses are dear.
+    """
     text = F.trim(c)
-    return F.coalesce(*[parse_fixed(text, fmt) for fmt in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(fmt)), parse_fixed(text, fmt)) for fmt in formats])
 
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:

@@ -39,19 +39,19 @@ def null_violations(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def unique_violations(df: DataFrame, table: str) -> DataFrame:
-    """Repeated primary or unique keys with their row counts."""
+def unique_violations(df: DataFrame, table: str) -> DataFrame | None:
+    """Repeated primary or unique keys with their row counts; None without such columns."""
     rules = RULES[table]
     columns = [c for c in dict.fromkeys([rules.primary, *rules.unique]) if c in df.columns]
     found = [
         _row(duplicate_keys(df.dropna(subset=[c]), [c]), table, "unique", c, F.col(f"`{c}`"), F.col("n"))
         for c in columns
     ]
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def fk_violations(df: DataFrame, table: str, tables: Mapping[str, DataFrame]) -> DataFrame | None:
-    """Orphan key values with their row counts.
+    """Orphan key values with their row counts; None without foreign keys to check.
 
     Values are counted before the anti-join, so each meets the parent once.
     """
@@ -69,8 +69,5 @@ def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All violations of all given tables; an empty result means they hold."""
     found = []
     for name, df in tables.items():
-        found += [null_violations(df, name), unique_violations(df, name)]
-        orphans = fk_violations(df, name, tables)
-        if orphans is not None:
-            found.append(orphans)
-    return reduce(DataFrame.unionByName, found)
+        found += [null_violations(df, name), unique_violations(df, name), fk_violations(df, name, tables)]
+    return reduce(DataFrame.unionByName, [f for f in found if f is not None])

@@ -58,3 +58,20 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder with its contents, if it is there."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstar.operators.joins import lookup
 from fieldstar.schema import SCHEMAS, TABLES, conform
-from fieldstar.session import stage
+from fieldstar.session import delete_path, path_exists, stage
 
 PARTITIONED = ("datasets", "places", "events", "counts")
 PARTITION = "dataset_id"
@@ -31,7 +30,7 @@ class Warehouse:
 
     def exists(self, table: str) -> bool:
         """Whether the table has been written."""
-        return _exists(self.spark, self.path(table))
+        return path_exists(self.spark, self.path(table))
 
     def load(self, table: str) -> DataFrame:
         """The table as a frame with its declared schema; empty if not there yet."""
@@ -59,12 +58,12 @@ class Warehouse:
         writer = self._writer(slice_.observe(rows, F.count(F.lit(1)).alias("n")), table)
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
         if not rows.get["n"]:
-            _delete(self.spark, f"{self.path(table)}/{PARTITION}={dataset_id}")
+            delete_path(self.spark, f"{self.path(table)}/{PARTITION}={dataset_id}")
 
     def delete_dataset(self, dataset_id: str) -> None:
         """Remove a dataset's rows everywhere but in the shared taxonomy."""
         for table in PARTITIONED:
-            _delete(self.spark, f"{self.path(table)}/{PARTITION}={dataset_id}")
+            delete_path(self.spark, f"{self.path(table)}/{PARTITION}={dataset_id}")
 
     def register_dataset(self, meta: Mapping[str, str]) -> None:
         """Write the dataset's registry row, stamped with the current time."""
@@ -83,7 +82,7 @@ class Warehouse:
 
     def drop(self, table: str) -> None:
         """Remove the table and its files, if it is there."""
-        _delete(self.spark, self.path(table))
+        delete_path(self.spark, self.path(table))
 
     def _writer(self, df: DataFrame, table: str):
         if table not in PARTITIONED:
@@ -91,24 +90,6 @@ class Warehouse:
         return df.write.partitionBy(PARTITION)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, target = _fs(spark, path)
-    fs.delete(target, True)
-
-
 def stage_view(df: DataFrame, name: str) -> DataFrame:
     """Give an intermediate frame a name for SQL, replacing an earlier one."""
     df.createOrReplaceTempView(name)

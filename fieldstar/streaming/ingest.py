@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldstar.operators.filters import extract_bbox
 from fieldstar.operators.keys import first_per_key, first_seen
 from fieldstar.plans.checklists import backfill_rows
+from fieldstar.session import path_exists
 
 BATCH = "batch_id"
 
@@ -40,10 +40,9 @@ def skip_if_empty(df: DataFrame) -> bool:
 
 def _before(spark: SparkSession, target: str, batch_id: int) -> DataFrame | None:
     """What earlier batches wrote, or None before the first."""
-    try:
-        return spark.read.parquet(target).filter(F.col(BATCH) < batch_id)
-    except AnalysisException:
+    if not path_exists(spark, target):
         return None
+    return spark.read.parquet(target).filter(F.col(BATCH) < batch_id)
 
 
 def _write(df: DataFrame, target: str, batch_id: int) -> None:
