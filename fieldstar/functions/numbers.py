@@ -16,9 +16,11 @@ METRES_PER_KM = 1000.0
 
 
 def to_num(c: Column) -> Column:
-    """Text to double; NULL when it is not a number."""
-    text = c.cast("string")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """Text to double; NULL when it is not a number.
+
+    One pass over the text: what does not match is '' and casts to NULL.
+    """
+    return F.regexp_extract(c.cast("string"), NUMBER, 0).try_cast("double")
 
 
 def to_real(c: Column) -> Column:

@@ -21,6 +21,7 @@ DATE_FORMATS = (
     "M/d/yyyy H:mm:ss",
     "M/d/yyyy h:mm a",
 )
+ISO_DATE = "yyyy-MM-dd"
 NEST_DATE = "ddMMMyyyy"
 CLOCK = "HH:mm:ss"
 
@@ -30,6 +31,8 @@ MAX_MINUTES = 153_722_867.0
 
 def parse_fixed(c: Column, fmt: str) -> Column:
     """Text in one known format to a timestamp; NULL when it does not match."""
+    if fmt == ISO_DATE:  # the cast is several times faster than the formatter
+        return F.regexp_extract(c, _shape(fmt), 0).try_cast("date").cast("timestamp_ntz")
     return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
 
 
@@ -54,6 +57,8 @@ def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
     A format is tried only on text of its shape: failed parses are dear.
     """
+    if tuple(formats) == (ISO_DATE,):
+        return parse_fixed(c, ISO_DATE)
     text = F.trim(c)
     return F.coalesce(*[F.when(text.rlike(_shape(fmt)), parse_fixed(text, fmt)) for fmt in formats])
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstar.functions.numbers import to_num
-from fieldstar.functions.times import parse_date
+from fieldstar.functions.times import ISO_DATE, parse_date
 
 WORLD_LNG, WORLD_LAT = (-180.0, 180.0), (-90.0, 90.0)
 
@@ -37,10 +37,15 @@ def bbox(
     return numeric.filter(within(F.col(lng), lng_range) & within(F.col(lat), lat_range))
 
 
-def quality_gate(df: DataFrame, date: str = "OBSERVATION_DATE", out: str = "date") -> DataFrame:
-    """Approved and complete observations with a readable date (parsed into `out`)."""
+def quality_gate(
+    df: DataFrame, date: str = "OBSERVATION_DATE", out: str = "date", formats: Sequence[str] = (ISO_DATE,)
+) -> DataFrame:
+    """Approved and complete observations with a readable date (parsed into `out`).
+
+    The cheap flags go first; only rows that pass them have their date parsed.
+    """
     flagged = df.filter((F.col("APPROVED") == "1") & (F.col("ALL_SPECIES_REPORTED") == "1"))
-    return flagged.withColumn(out, parse_date(F.col(date))).filter(F.col(out).isNotNull())
+    return flagged.withColumn(out, parse_date(F.col(date), formats)).filter(F.col(out).isNotNull())
 
 
 def extract_bbox(
@@ -50,6 +55,7 @@ def extract_bbox(
     require_date: bool = True,
     require_approved: bool = True,
     require_complete: bool = True,
+    formats: Sequence[str] = (ISO_DATE,),
 ) -> DataFrame:
     """Raw observations inside a box, each quality clause switchable.
 
@@ -64,7 +70,7 @@ def extract_bbox(
         clauses.append(F.col("ALL_SPECIES_REPORTED") == "1")
     for clause in clauses:
         df = df.filter(clause)
-    dated = df.withColumn("OBSERVATION_DATE", parse_date(date))
+    dated = df.withColumn("OBSERVATION_DATE", parse_date(date, formats))
     if require_date:
         dated = dated.filter(date.isNotNull())
     return bbox(dated, "LONGITUDE", "LATITUDE", lng_range, lat_range)

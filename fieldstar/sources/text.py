@@ -59,9 +59,14 @@ def with_row_order(df: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """Redistribute rows of unsplittable (gzip) input over the cluster."""
-    return df.repartition(partitions)
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Redistribute input that came in too few splits (gzip, one row group).
+
+    Input that already has as many splits as the session has cores is left
+    alone, so nothing is shuffled at scale.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def read_many(spark: SparkSession, families: Mapping[str, str], tag: str = "TYPE", **options) -> DataFrame:
