@@ -41,8 +41,9 @@ def ingest(spark: SparkSession, warehouse: Warehouse, name: str, raw: Mapping[st
     """Replace one dataset's rows, extend the taxonomy, register the dataset."""
     plan = {**PLANS, **OPTIONAL}[name]
     warehouse.delete_dataset(name)
-    rows = plan(spark, raw, warehouse.tables(), **options)
-    # Changes to known taxa are fixed before the table they refer to is written.
+    # The plan works on a copy of the taxonomy, which is rewritten below.
+    tables = {**warehouse.tables(), "taxa": stage(warehouse.load("taxa"), "taxa")}
+    rows = plan(spark, raw, tables, **options)
     changes = {c: stage(rows[f"taxon_{c}"], c) for c in ("json", "spec") if f"taxon_{c}" in rows}
     if "taxa" in rows:
         warehouse.append(stage(rows["taxa"], "taxa"), "taxa")
