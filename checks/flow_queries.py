@@ -6,6 +6,7 @@ import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.registry import query, table, view
 from fieldstar.schema import conform
@@ -98,12 +99,12 @@ def as_files(df, files=6):
     return path
 
 
-def streamed(spark, df, start, files_per_batch=2):
+def streamed(spark, df, start, columns, files_per_batch=2):
     """Run one stream over the rows and return what it wrote."""
     source = ingest.stream_files(spark, as_files(df), df.schema, "parquet", files_per_batch)
     target = staging_path(spark, "target")
     start(source, target, staging_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(target)
+    return ingest.read_target(spark, target, T.StructType.fromDDL(columns)).drop(ingest.BATCH)
 
 
 @query("stream_first_seen", "select distinct user_id, event_type from {events}")
@@ -111,8 +112,7 @@ def stream_first_seen(spark, sf_dir):
     def start(source, target, progress):
         return ingest.stream_first_seen(source, target, progress, ["user_id", "event_type"], ["ts", "event_id"])
 
-    rows = streamed(spark, table(spark, sf_dir, "events"), start)
-    return rows.select("user_id", "event_type")
+    return streamed(spark, table(spark, sf_dir, "events"), start, "user_id long, event_type string")
 
 
 @query(
@@ -126,8 +126,8 @@ def stream_bbox(spark, sf_dir):
     def start(source, target, progress):
         return ingest.stream_bbox(source, target, progress, (-90.0, -60.0), (25.0, 50.0))
 
-    rows = streamed(spark, view(spark, sf_dir, "raw_obs"), start)
-    return rows.select("GLOBAL_UNIQUE_IDENTIFIER", "LONGITUDE", "LATITUDE")
+    columns = "GLOBAL_UNIQUE_IDENTIFIER string, LONGITUDE double, LATITUDE double"
+    return streamed(spark, view(spark, sf_dir, "raw_obs"), start, columns)
 
 
 MISSED = ["red widget 1", "blue plate 7", "hot rod 3", "old anvil 12", "small ring 20", "new gear 33", "cold ring 8"]
@@ -151,8 +151,8 @@ def stream_backfill(spark, sf_dir):
     def start(source, target, progress):
         return ingest.stream_backfill(source, target, progress, events, taxa, MISSED)
 
-    rows = streamed(spark, view(spark, sf_dir, "raw_obs"), start)
-    return rows.select("event_id", "taxon_id", "count", "count_json")
+    columns = "event_id long, taxon_id long, `count` int, count_json string"
+    return streamed(spark, view(spark, sf_dir, "raw_obs"), start, columns)
 
 
 def write_dbf(path, fields):

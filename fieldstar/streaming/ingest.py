@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldstar.operators.filters import extract_bbox
-from fieldstar.operators.keys import first_per_key, first_seen
+from fieldstar.operators.keys import first_seen
 from fieldstar.plans.checklists import backfill_rows
 from fieldstar.session import path_exists
 
@@ -38,11 +38,17 @@ def skip_if_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def _before(spark: SparkSession, target: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches wrote, or None before the first."""
+def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """Everything a stream has written so far, with its batch; empty before the first row."""
+    whole = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     if not path_exists(spark, target):
-        return None
-    return spark.read.parquet(target).filter(F.col(BATCH) < batch_id)
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(target)
+
+
+def _before(spark: SparkSession, target: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """What earlier batches wrote."""
+    return read_target(spark, target, schema).filter(F.col(BATCH) < batch_id)
 
 
 def _write(df: DataFrame, target: str, batch_id: int) -> None:
@@ -69,8 +75,7 @@ def stream_first_seen(
     """First row per key over all batches; later rows of a known key are dropped."""
 
     def step(df: DataFrame, batch_id: int) -> DataFrame:
-        seen = _before(df.sparkSession, target, batch_id)
-        return first_per_key(df, keys, order) if seen is None else first_seen(df, seen, keys, order)
+        return first_seen(df, _before(df.sparkSession, target, df.schema, batch_id), keys, order)
 
     return stream_ingest(source, target, checkpoint, step)
 
