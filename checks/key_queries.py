@@ -18,6 +18,7 @@ from fieldstar.plans.checklists import (
     target_taxa,
     usable_checklists,
 )
+from fieldstar.session import stage
 
 ORDER_SQL = ", ".join(ROW_ORDER)
 LINE = ["l_orderkey", "l_linenumber"]
@@ -177,6 +178,7 @@ def melt_counts_query(spark, sf_dir):
 def numbered(spark, sf_dir, *levels):
     """Wanted levels of the checklist star, each numbered from 1."""
     rows = usable_checklists(view(spark, sf_dir, "raw_obs"))
+    rows = stage(rows, "checklists") if len(levels) > 1 else rows
     taxa = target_taxa(view(spark, sf_dir, "obs_taxa"))
     made = {
         "places": lambda: number_rows(rows, PLACE_KEY, "place_id", 1, ROW_ORDER, place_rows),

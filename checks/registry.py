@@ -22,7 +22,9 @@ BASE = (
 VIEWS: dict[str, str] = {}
 # Views that stand for an unsplittable raw file: the table behind them is
 # redistributed when it came in fewer splits than there are cores.
-SPREAD = {"raw_obs": "lineitem", "split_docs": "documents"}
+SPREAD = {"split_docs": "documents"} | {
+    name: "lineitem" for name in ("raw_obs", "bands", "nests", "nest_rows", "july_rows", "band_rows", "route_counts")
+}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

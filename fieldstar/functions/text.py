@@ -51,7 +51,7 @@ def before(c: Column, separator: str) -> Column:
 
 def escape_quotes(c: Column) -> Column:
     """Double every single quote."""
-    return F.regexp_replace(c, "'", "''")
+    return F.replace(c, F.lit("'"), F.lit("''"))
 
 
 def present(c: Column) -> Column:

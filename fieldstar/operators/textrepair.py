@@ -21,6 +21,7 @@ from fieldstar.functions.text import escape_quotes
 from fieldstar.session import stage
 
 SPLITTER = "','"  # fixed value: what separates two single-quoted fields
+ESCAPED_SPLITTER = "'',''"  # the splitter once every quote is doubled
 BLOCK = 256  # lines (or block summaries) per group
 
 
@@ -87,13 +88,13 @@ def _with_entries(blocks: DataFrame, entry: Column, move, out: str) -> DataFrame
 def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
     """Add to each line: `starts` and `ends` a record (flags), and `record` (1, 2, ...)."""
     widths = lines.select("file", "line_no", field_count_by_splitter(F.col("text")).alias("fields"))
-    longest = lines.agg(F.max("line_no")).first()[0] or 0
 
-    levels = [_summaries(widths, "line_no", "fields", cols)]
-    reach = longest // BLOCK
+    # Summaries are small (a few numbers per block of lines) and used twice.
+    levels = [stage(_summaries(widths, "line_no", "fields", cols), "blocks")]
+    reach = levels[0].agg(F.max("block")).first()[0] or 0
     while reach > 0:
-        levels[-1] = stage(levels[-1], "blocks")
-        levels.append(_summaries(levels[-1].withColumnRenamed("block", "index"), "index", "leads", cols))
+        upper = _summaries(levels[-1].withColumnRenamed("block", "index"), "index", "leads", cols)
+        levels.append(stage(upper, "blocks"))
         reach //= BLOCK
 
     entries = levels.pop().select("file", "block", F.lit(0).cast("long").alias("entry"))
@@ -119,9 +120,11 @@ def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
 
 
 def repair_quotes(lines: DataFrame, cols: int) -> DataFrame:
-    """Double every quote inside fields, keeping those that bound fields and records."""
-    fields = F.transform(F.split("text", SPLITTER), escape_quotes)
-    escaped = F.array_join(fields, SPLITTER)
+    """Double every quote inside fields, keeping those that bound fields and records.
+
+    All quotes are doubled first, then splitters and record edges put back.
+    """
+    escaped = F.replace(escape_quotes(F.col("text")), F.lit(ESCAPED_SPLITTER), F.lit(SPLITTER))
     opened = F.when(F.col("starts"), F.regexp_replace(escaped, "^''", "'")).otherwise(escaped)
     closed = F.when(F.col("ends"), F.regexp_replace(opened, r"''(\s*)$", "'$1")).otherwise(opened)
     return carry_columns(lines, cols).withColumn("text", closed)

@@ -50,3 +50,22 @@ def test_repair_and_assembly(spark, rows):
 def test_bad_width_ignores_quoted_separators(spark, rows):
     df = spark.createDataFrame([(1, "'a,b','c'"), (2, "'a','b','c'"), (3, "x")], "id int, text string")
     assert rows(textrepair.bad_width(df, 2), "id", "fields") == [(2, 3), (3, 1)]
+
+
+def test_repair_equals_field_by_field_on_random_quotes(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("'','x ") for _ in range(rng.randrange(14))) for _ in range(600)]
+    flags = line_by_line(lines, 3)
+
+    def by_field(text, starts, ends):
+        fields = [f.replace("'", "''") for f in text.split("','")]
+        if starts and fields[0].startswith("''"):
+            fields[0] = fields[0][1:]
+        bare = fields[-1].rstrip()
+        if ends and bare.endswith("''"):
+            fields[-1] = bare[:-1] + fields[-1][len(bare) :]
+        return "','".join(fields)
+
+    out = textrepair.repair_quotes(line_table(spark, {"f": lines}), 3)
+    got = [r.text for r in out.orderBy("line_no").collect()]
+    assert got == [by_field(t, starts, ends) for t, (starts, ends, _) in zip(lines, flags)]
