@@ -230,3 +230,47 @@ def read_many_query(spark, sf_dir):
         part.write.option("header", True).csv(f"{path}/{kind}")
     stacked = read_many(spark, {k: f"{path}/{k}/*.csv" for k in ("banding", "encounter")})
     return stacked.groupBy("TYPE", "order_key", "line_number").agg(F.count("*").alias("n"))
+
+
+@query(
+    "checklist_volumes",
+    """select 'ebird' as dataset_id, count(distinct (lng, lat)) as places,
+      count(distinct SAMPLING_EVENT_IDENTIFIER) as events,
+      count(*) filter (where SCIENTIFIC_NAME in (select sci_name from {obs_taxa} where target)) as counts
+    from {kept_obs}""",
+)
+def checklist_volumes(spark, sf_dir):
+    """The largest dataset ingested into a warehouse, measured from its tables."""
+    from checks.views import ROW_ORDER
+    from fieldstar.plans.reports import dataset_volumes
+    from fieldstar.plans.run_all import ingest as ingest_dataset
+
+    warehouse = Warehouse(spark, staging_path(spark, "warehouse"))
+    warehouse.append(view(spark, sf_dir, "obs_taxa"), "taxa")
+    ingest_dataset(spark, warehouse, "ebird", {"checklists": view(spark, sf_dir, "raw_obs")}, order=ROW_ORDER)
+    return dataset_volumes(warehouse.tables())
+
+
+@query(
+    "backfill_species",
+    f"""select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as count_id,
+      l_orderkey as event_id, taxon_id,
+      case when OBSERVATION_COUNT = 'X' then -1 else cast(OBSERVATION_COUNT as int) end as count
+    from {{raw_obs}} join {{obs_taxa}} on sci_name = SCIENTIFIC_NAME join {{orders}} on o_orderkey = l_orderkey
+    where sci_name in ({', '.join(repr(n) for n in MISSED)}) and o_orderstatus <> 'F'""",
+)
+def backfill_species_query(spark, sf_dir):
+    from checks.views import ROW_ORDER
+    from fieldstar.plans.checklists import backfill_species
+
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
+    name = F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("SAMPLING_EVENT_IDENTIFIER")
+    events = orders.select(
+        F.col("o_orderkey").alias("event_id"),
+        F.lit("ebird").alias("dataset_id"),
+        F.to_json(F.struct(name)).alias("event_json"),
+    )
+    empty = Warehouse(spark, staging_path(spark, "warehouse")).tables()
+    tables = {**empty, "events": conform(events, "events"), "taxa": conform(view(spark, sf_dir, "obs_taxa"), "taxa")}
+    made = backfill_species(spark, {"checklists": view(spark, sf_dir, "raw_obs")}, tables, MISSED, ROW_ORDER)
+    return made["counts"].select("count_id", "event_id", "taxon_id", "count")

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from checks.registry import query, table, view
 from fieldstar.operators import textrepair
+from fieldstar.session import staging_path
 from fieldstar.sources.html import LIST_ITEM, html_rows
+from fieldstar.sources.text import read_lines
 
 COLS = 3
 
@@ -79,3 +81,19 @@ def html_rows_query(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     rows = html_rows(pages, "html", ["item"], row_regex=LIST_ITEM, cell_regex=None)
     return rows.select("page_id", F.col("row").cast("long").alias("row"), "item")
+
+
+@query(
+    "card_file_lines",
+    f"""select case when p % 2 = 1 then q || chr(39) || ',' || chr(39) || 'end' || chr(39)
+      when p = n - 1
+        then chr(39) || file || chr(39) || ',' || chr(39) || q || chr(39) || ',' || chr(39) || 'end' || chr(39)
+      else chr(39) || file || chr(39) || ',' || chr(39) || q end as text
+    from (select *, replace(part, chr(39), chr(39) || chr(39)) as q from ({LINES}))""",
+)
+def card_file_lines(spark, sf_dir):
+    """The same repair over text files on disk, many documents to a file."""
+    path = staging_path(spark, "cards")
+    lines = quoted_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no")
+    lines.select("text").write.text(path)
+    return textrepair.repair_quotes(read_lines(spark, path, "UTF-8"), COLS).select("text")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -75,3 +77,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder with its contents, if it is there."""
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application.
+
+    Only the two places that run Python in tasks (packing points, reading
+    binary files) need it; everything else is evaluated in the JVM.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='fieldstar-package-')}/{package.name}"
+    context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)

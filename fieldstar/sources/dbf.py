@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from fieldstar.session import ship_package
+
 # Layout of the file header and of one field descriptor.
 HEADER_BYTES, FIELD_BYTES, END_OF_FIELDS, DELETED = 32, 32, 0x0D, ord("*")
 DATE = "D"  # fixed value: field type holding YYYYMMDD
@@ -125,6 +127,7 @@ class DbfSource(DataSource):
 
 def read_dbf(spark: SparkSession, path: str, encoding: str = "latin-1", records: int = 1_000_000) -> DataFrame:
     """Read a DBF file, or all DBF files of a folder, as text columns."""
+    ship_package(spark)
     spark.dataSource.register(DbfSource)
     reader = spark.read.format("dbf").option("encoding", encoding).option("recordsPerPartition", records)
     return reader.load(path)
