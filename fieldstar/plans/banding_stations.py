@@ -66,10 +66,7 @@ def banding_stations(
     places = station_places(stations)
 
     bands = raw["bands"].withColumns({"NET": net, "year": prefix(F.col("DATE"), 4)})
-    bands = backfill_scalar(
-        bands, raw["status"], {"year": "YR", "STA": "STA", "SPEC": "SPEC"}, {"YS": "YS"}, order
-    )
-    bands = assign_ids(json_blob(bands, STATION_COUNT_JSON.split(), "count_json"), "count_id", start["counts"], order)
+    bands = assign_ids(bands, "count_id", start["counts"], order)
 
     effort = raw["effort"].withColumn("NET", net)
     visits = assign_ids(effort_events(bands, effort, stations, places), "event_id", start["events"], EVENT_KEY)
@@ -79,6 +76,9 @@ def banding_stations(
 
     counts = lookup(bands, visits, EVENT_KEY, ["event_id"], how="inner")
     counts = lookup(counts, codes, {"SPEC": "spec"}, ["taxon_id"], how="inner").withColumn("count", F.lit(1))
+    status_key = {"year": "YR", "STA": "STA", "SPEC": "SPEC"}
+    counts = backfill_scalar(counts, raw["status"], status_key, {"YS": "YS"}, order)
+    counts = json_blob(counts, STATION_COUNT_JSON.split(), "count_json")
 
     return {
         "taxa": fresh,

@@ -81,6 +81,7 @@ def nest_attempts(
         dates=[*NEST_DATES.values(), "place_id", "taxon_id"],
         order=order,
     )
+    nests = stage(nests, "nests")
 
     dated = melt_events(nests, NEST_DATES)
     dated = assign_ids(dated, "event_id", start["events"], ["event_rank", "ATTEMPT_ID"])

@@ -18,6 +18,7 @@ from fieldstar.operators.joins import lookup
 from fieldstar.operators.keys import FILE_ORDER, assign_ids, first_per_key
 from fieldstar.plans.common import Rows, Tables, all_taxa, last_per_key, new_taxa, of_class, start_ids, tagged
 from fieldstar.schema import conform
+from fieldstar.session import stage
 from fieldstar.sources.text import normalize_columns_but_order
 
 SITE_KEY = ("Site", "Route")
@@ -41,7 +42,7 @@ def transects(
 ) -> Rows:
     """Conform the transects; raw: places, observations."""
     start = start_ids(tables)
-    obs = usable_observations(raw["observations"])
+    obs = stage(usable_observations(raw["observations"]), "transects")
 
     fresh = new_taxa(obs.withColumn("common_name", F.col("Species")), tables, order, BUTTERFLIES)
     known = of_class(all_taxa(tables, fresh), BUTTERFLIES)
