@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
-BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores. Every query
-runs to its last row into a sink that drops them; the first run is discarded
-as warm-up when BENCH_WARM is set (default), so class loading is not timed.
+BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores, BENCH_QUERIES
+a choice of queries. Every query runs to its last row into a sink that drops
+them, twice: the value is the total of the second runs, "cold" has the first.
 """
 
 from __future__ import annotations

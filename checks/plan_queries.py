@@ -396,7 +396,7 @@ def july_counts_query(spark, sf_dir):
     return counted_in_july(spark, sf_dir)["counts"].select("count_id", "event_id", "taxon_id", "count")
 
 
-# Arthropods: suppliers are sites, customers plants, orders surveys, lines sightings.
+# Arthropods: suppliers are sites, customers plants, orders surveys, lines records.
 def surveyed(spark, sf_dir):
     supplier, customer, orders, lineitem = (
         table(spark, sf_dir, t) for t in ("supplier", "customer", "orders", "lineitem")
@@ -421,14 +421,14 @@ def surveyed(spark, sf_dir):
         F.lit("09:41:00").alias("LocalTime"),
         F.struct("o_orderkey").alias("ord"),
     )
-    sightings = lineitem.select(
+    records = lineitem.select(
         F.col("l_partkey").alias("ID"),
         F.col("l_orderkey").alias("SurveyFK"),
         F.when(F.col("l_linenumber") == 6, None).otherwise(F.concat(F.lit("g"), F.col("l_suppkey") % 12)).alias("Group"),
         F.when(F.col("l_linenumber") != 2, F.col("l_quantity")).alias("Quantity"),
         F.struct(*LINE_ORDER.split(", ")).alias("ord"),
     )
-    raw = {"sites": sites, "plants": plants, "surveys": surveys, "sightings": sightings}
+    raw = {"sites": sites, "plants": plants, "surveys": surveys, "records": records}
     return arthropods(spark, raw, no_rows(spark), ORDER)
 
 

@@ -1,4 +1,4 @@
-"""Arthropod surveys: sites, plants, surveys and sightings of groups."""
+"""Arthropod surveys: sites, plants, surveys and records of groups."""
 
 from __future__ import annotations
 
@@ -34,10 +34,10 @@ def arthropods(
     order: Sequence[str] = FILE_ORDER,
     dataset_id: str = "caterpillar",
 ) -> Rows:
-    """Conform the arthropod surveys; raw: sites, plants, surveys, sightings."""
+    """Conform the arthropod surveys; raw: sites, plants, surveys, records."""
     start = start_ids(tables)
 
-    groups = raw["sightings"].select(
+    groups = raw["records"].select(
         F.col("Group").alias("group"),
         F.col("Group").alias("sci_name"),
         F.lit(None).cast("string").alias("genus"),
@@ -59,7 +59,7 @@ def arthropods(
         {"year": year_of(date), "day": day_of(date), "started": prefix(F.col("LocalTime"), 5)}
     )
 
-    seen = assign_ids(raw["sightings"], "count_id", start["counts"], order)
+    seen = assign_ids(raw["records"], "count_id", start["counts"], order)
     seen = lookup(seen, last_per_key(visits, ["ID_survey"], "event_id"), {"SurveyFK": "ID_survey"}, ["event_id"])
     seen = lookup(seen, last_per_key(taxa, ["sci_name"], "taxon_id"), {"Group": "sci_name"}, ["taxon_id"])
     seen = require(seen.withColumn("count", to_int(F.col("Quantity"))), ["event_id", "taxon_id", "count"])

@@ -145,7 +145,7 @@ def sources(spark):
             "sites": raw(spark, "ID,Name,Longitude,Latitude", "1,Wood,-79,35.9"),
             "plants": raw(spark, "ID,SiteFK,Code", "10,1,AAA"),
             "surveys": raw(spark, "ID,PlantFK,LocalDate,LocalTime", "100,10,2018-07-01,09:30:12"),
-            "sightings": raw(spark, "ID,SurveyFK,Group,Quantity", "1,100,ant,5", "2,100,ant,", "3,100,bee,2", "4,7,bee,2"),
+            "records": raw(spark, "ID,SurveyFK,Group,Quantity", "1,100,ant,5", "2,100,ant,", "3,100,bee,2", "4,7,bee,2"),
         },
     }
 
