@@ -137,6 +137,8 @@ def exact_dedup(
     groups = named.groupBy("_level", "_name").agg(
         F.max("_id").alias("keep_id"), F.sum("_reps").cast("long").alias("group_size")
     )
+    # Written, so that the join below does not inherit the aggregate's partitions: only then can a hot group be split.
+    groups = stage(groups, "copy-groups")
     rows = named.join(groups, ["_level", "_name"]).withColumn(
         "_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_reps")))
     )

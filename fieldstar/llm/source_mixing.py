@@ -118,8 +118,11 @@ def mix_sources(
 
     first = _prefix(placed, "size").withColumn("_in", F.col("_run") <= F.col("_budget")).drop("_run")
     first = stage(first, "mix-first")
+    # What is spent reaches the rows by partition, not by source: a join on the source would gather a hot one.
     spent = first.filter("_in").groupBy("_s").agg(F.sum("size").alias("_spent"))
-    left = first.join(spent, "_s", "left").withColumn("_left", F.col("_budget") - F.coalesce(F.col("_spent"), F.lit(0)))
+    spent = first.select("_s", "_part").distinct().join(spent, "_s", "left")
+    left = first.join(spent, ["_s", "_part"])
+    left = left.withColumn("_left", F.col("_budget") - F.coalesce(F.col("_spent"), F.lit(0)))
     fits = ~F.col("_in") & (F.col("size") <= F.col("_left"))
     second = _prefix(left.withColumn("_fits", F.when(fits, F.col("size")).otherwise(0)), "_fits")
     taken = F.col("_in") | (fits & (F.col("_run") <= F.col("_left")))
