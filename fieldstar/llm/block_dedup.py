@@ -157,11 +157,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     Of rows that repeat id and text, the one with the least other columns stays.
     """
     kept = exact_dedup(df, id_col, text_col, **options).filter("kept")
-    kept = kept.select(F.col(id_col).alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha"))
-    sha = F.unhex(F.sha2(F.coalesce(F.col(f"d.`{text_col}`"), F.lit("")).cast("binary"), 256))
-    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("_kept_id")) & (sha == F.col("_kept_sha"))
-    met = df.alias("d").join(kept, same).select("_kept_id", "_kept_sha", F.struct("d.*").alias("_row"))
-    return met.groupBy("_kept_id", "_kept_sha").agg(F.min("_row").alias("_row")).select("_row.*")
+    kept = kept.select(F.col(id_col).alias("_by"), F.unhex("text_sha256").alias("_sha"))
+    sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    rows = df.select(F.col(id_col).alias("_by"), sha.alias("_sha"), F.struct("*").alias("_row"))
+    same = F.col("r._by").eqNullSafe(F.col("k._by")) & (F.col("r._sha") == F.col("k._sha"))
+    met = rows.alias("r").join(kept.alias("k"), same, "left_semi")
+    return met.groupBy("_by", "_sha").agg(F.min("_row").alias("_row")).select("_row.*")
 
 
 @query(

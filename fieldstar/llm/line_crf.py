@@ -183,7 +183,8 @@ def training_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
     known = known.groupBy(F.col(id_col).alias("_of")).agg(F.min(label_col).cast("int").alias("_label"))
     sample = known.orderBy(F.xxhash64("_of"), "_of").limit(max_docs)
     # The sample has `max_docs` rows of two numbers at most, which bounds the broadcast.
-    met = df.join(F.broadcast(sample), F.col(id_col) == F.col("_of")).select("_label", F.col(text_col).alias("_text"))
+    texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    met = texts.join(F.broadcast(sample), F.col("_id") == F.col("_of")).select("_label", "_text")
 
     def featurise(batches):
         for batch in batches:
@@ -243,7 +244,9 @@ def score_quality(
 
     kind = dict(df.dtypes)[id_col]
     own = df.select(
-        F.col(id_col).alias("_id"), F.coalesce(held_out(id_col, FOLDS), F.lit(False)).alias("held_out"), text_col
+        F.col(id_col).alias("_id"),
+        F.coalesce(held_out(id_col, FOLDS), F.lit(False)).alias("held_out"),
+        F.col(text_col).alias("_text"),
     )
     scored = own.mapInArrow(score, f"_id {kind}, held_out boolean, score double, n_lines long")
     predicted = (F.col("score") >= ACCEPT).cast("int").alias("predicted")

@@ -148,19 +148,17 @@ def copies_to_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sum("copies").alias("_sum"), F.count("*").alias("_rows"), F.max("copies").alias("_copies")
     )
     per_id = stage(per_id.filter("_sum > 0"), "mix-copies")
-    met = df.join(per_id, F.col(id_col).eqNullSafe(F.col("_of")))
+    rows = df.select(F.col(id_col).alias("_id"), F.struct("*").alias("_whole"))
+    met = rows.join(per_id, F.col("_id").eqNullSafe(F.col("_of")))
     # Only rows that repeat an id and are not all taken alike need an order among them.
     alike = F.col("_sum") == F.col("_rows") * F.col("_copies")
     plain = met.filter(alike).withColumn("_times", F.col("_copies"))
-    order = Window.partitionBy("_of").orderBy(*[F.col(f"`{c}`") for c in df.columns])
-    place = F.row_number().over(order) - 1
+    place = F.row_number().over(Window.partitionBy("_of").orderBy("_whole")) - 1
     share = F.floor(F.col("_sum") / F.col("_rows"))
-    mixed = met.filter(~alike).withColumn(
-        "_times", share + F.when(place < F.col("_sum") - share * F.col("_rows"), 1).otherwise(0)
-    )
-    both = plain.unionByName(mixed)
-    again = both.filter("_times > 0").withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return again.select(*[F.col(f"`{c}`") for c in df.columns])
+    more = F.when(place < F.col("_sum") - share * F.col("_rows"), 1).otherwise(0)
+    both = plain.unionByName(met.filter(~alike).withColumn("_times", share + more)).filter("_times > 0")
+    again = both.select("_whole", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return again.select("_whole.*")
 
 
 @query(
