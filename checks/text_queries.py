@@ -97,3 +97,47 @@ def card_file_lines(spark, sf_dir):
     lines = quoted_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no")
     lines.select("text").write.text(path)
     return textrepair.repair_quotes(read_lines(spark, path, "UTF-8"), COLS).select("text")
+
+
+@query(
+    "card_file_table",
+    f"""select file as id, string_agg(part, chr(10) order by p) as body, 'end' as mark from ({LINES}) group by file, p // 2""",
+)
+def card_file_table(spark, sf_dir):
+    """Cells of single-quoted files on disk: repaired, put together and parsed, cells of one or two lines."""
+    path = staging_path(spark, "cards")
+    lines = quoted_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no")
+    lines.select("text").write.text(path)
+    cut = textrepair.card_lines(read_lines(spark, path, "UTF-8"), COLS)
+    cells = textrepair.parsed_records(cut, ["id", "body", "mark"], "'")
+    return cells.select(F.col("id").cast("long").alias("id"), "body", "mark")
+
+
+@query(
+    "card_file_faults",
+    """select kind, len(string_split(text, chr(10))[1]) as width, fields, count(*) as n from (
+      select 'double' as kind, case when doc_id % 10 = 3 then 2 else 4 end as fields,
+        chr(34) || doc_id || chr(34) || ',' || chr(34) || replace(text, chr(34), chr(34) || chr(34)) || chr(34) as text
+      from {documents} where doc_id % 10 in (3, 7)
+      union all select 'single', case when doc_id % 10 = 3 then 2 else 4 end,
+        chr(39) || doc_id || chr(39) || ',' || chr(39) || replace(text, chr(39), chr(39) || chr(39)) || chr(39)
+      from {documents} where doc_id % 10 in (3, 7)) group by all""",
+)
+def card_file_faults(spark, sf_dir):
+    """Files of both quotes whose cells hold line breaks: only records of another width are faults."""
+    found = []
+    for kind, quote in (("double", '"'), ("single", "'")):
+        path = staging_path(spark, "cards")
+        doubled = F.replace(F.col("text"), F.lit(quote), F.lit(quote * 2))
+        cell = lambda c: F.concat(F.lit(quote), c, F.lit(quote))  # noqa: E731, B023
+        end = F.when(F.col("doc_id") % 10 == 3, F.array())
+        end = end.when(F.col("doc_id") % 10 == 7, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
+        cells = F.concat(F.array(cell(F.col("doc_id").cast("string")), cell(doubled)), end)
+        table(spark, sf_dir, "documents").select(F.array_join(cells, ",")).write.text(path)
+        lines = textrepair.quoted_lines(read_lines(spark, path, "UTF-8"), quote)
+        faults = textrepair.width_faults(lines, COLS)
+        # What follows the text on its last line is no part of the first line's width.
+        own = F.regexp_replace("text", f"{quote}(,1,2)?$", quote)
+        found.append(faults.select(F.lit(kind).alias("kind"), F.length(own).cast("long").alias("width"), F.col("fields").cast("long").alias("fields")))
+    both = found[0].unionByName(found[1])
+    return both.groupBy("kind", "width", "fields").agg(F.count("*").alias("n"))

@@ -14,7 +14,9 @@ The carried value packs (records started so far) * cols + (column reached).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstar.functions.text import escape_quotes
@@ -142,6 +144,89 @@ def join_lines(carried: DataFrame) -> DataFrame:
     return carried.groupBy("file", "record").agg(text.alias("text"))
 
 
+def running_total(lines: DataFrame, value: str, out: str) -> DataFrame:
+    """Add the sum of a column over all earlier lines of the file.
+
+    Sums of blocks are carried over a file, sums of lines over a block: no
+    task orders a whole file's lines.
+    """
+    block = F.floor(F.col("line_no") / BLOCK).cast("long")
+    placed = lines.withColumn("_block", block)
+    sums = placed.groupBy("file", "_block").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("file", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy("file", "_block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumn("_own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = own.join(sums, ["file", "_block"])
+    return joined.withColumn(out, F.col("_carried") + F.col("_own")).drop("_block", "_own", "_carried")
+
+
+def quoted_lines(lines: DataFrame, quote: str = '"', sep: str = ",") -> DataFrame:
+    """Add to each line of well-quoted text: `record` (1, 2, ...) and `cuts`, its separators outside quotes.
+
+    A line starts a record where the quotes before it are even in number.
+    """
+    quotes = (F.length("text") - F.length(F.replace(F.col("text"), F.lit(quote), F.lit("")))).cast("long")
+    counted = running_total(lines.withColumn("_quotes", quotes), "_quotes", "_before")
+    inside = F.col("_before") % 2 == 1
+    open_end = (F.col("_before") + F.col("_quotes")) % 2 == 1
+    edge = lambda when: F.when(when, F.lit(quote)).otherwise(F.lit(""))
+    bare = F.regexp_replace(F.concat(edge(inside), F.col("text"), edge(open_end)), f"{quote}[^{quote}]*{quote}", "")
+    cuts = ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)).cast("long")
+    cut = counted.withColumn("cuts", cuts).withColumn("_starts", F.when(inside, 0).otherwise(1).cast("long"))
+    numbered = running_total(cut, "_starts", "_started")
+    record = (F.col("_started") + F.col("_starts")).alias("record")
+    return numbered.select("file", "line_no", "text", record, "cuts")
+
+
+def card_lines(lines: DataFrame, cols: int) -> DataFrame:
+    """Single-quoted lines repaired, with `record` and `cuts` as `quoted_lines` has them."""
+    cuts = field_count_by_splitter(F.col("text")) - 1
+    counted = lines.select("file", "line_no", cuts.alias("cuts"))
+    repaired = repair_quotes(lines, cols).select("file", "line_no", "text", "record")
+    return repaired.join(counted, ["file", "line_no"])
+
+
+def record_widths(lines: DataFrame) -> DataFrame:
+    """(file, record, first_line, fields): sums over the lines of each record, without its text."""
+    return lines.groupBy("file", "record").agg(
+        F.min("line_no").alias("first_line"), (F.sum("cuts") + 1).cast("int").alias("fields")
+    )
+
+
+def width_faults(lines: DataFrame, cols: int) -> DataFrame:
+    """Records whose field count is not the declared one: file, record, first_line, fields, text of that line.
+
+    A quote that never closes makes the rest of its file one such record; it
+    is reported without being put together.
+    """
+    wrong = record_widths(lines).filter(F.col("fields") != cols)
+    first = lines.select("file", F.col("line_no").alias("first_line"), "text")
+    return wrong.join(first, ["file", "first_line"])
+
+
+def parsed_records(lines: DataFrame, names: Sequence[str], quote: str, sep: str = ",") -> DataFrame:
+    """Cells of all records of the declared width, parsed one record at a time: file, record and the columns."""
+    whole = record_widths(lines).filter(F.col("fields") == len(names)).select("file", "record")
+    records = join_lines(lines.join(whole, ["file", "record"]))
+    schema = ", ".join(f"`{n}` string" for n in names)
+    options = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
+    return records.select("file", "record", F.from_csv("text", schema, options).alias("_cells")).select(
+        "file", "record", "_cells.*"
+    )
+
+
+def header_names(lines: DataFrame, quote: str, sep: str = ",") -> list[str]:
+    """Column names in the first record, on one line, of the first file."""
+    first = lines.filter("record = 1 and line_no = 0").orderBy("file").limit(1)
+    width = first.select((F.col("cuts") + 1).alias("n")).first()
+    if width is None:
+        return []
+    schema = ", ".join(f"c{i} string" for i in range(width["n"]))
+    options = {"sep": sep, "quote": quote, "escape": quote}
+    return list(first.select(F.from_csv("text", schema, options).alias("c")).select("c.*").first())
+
+
 def field_count(c: Column, sep: str = ",", quote: str | None = "'") -> Column:
     """Fields in one record, not counting separators inside quoted fields."""
     bare = F.regexp_replace(c, f"{quote}[^{quote}]*{quote}", "") if quote else c

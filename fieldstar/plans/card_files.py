@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstar.formats import CARD_FILES, METADATA_COLUMNS
-from fieldstar.operators.textrepair import bad_width, carry_columns, join_lines, repair_quotes
+from fieldstar.operators.textrepair import card_lines, header_names, parsed_records, quoted_lines, width_faults
 from fieldstar.session import stage
-from fieldstar.sinks.files import normalise_dialect
-from fieldstar.sources.text import read_lines, read_text_table
+from fieldstar.sinks.files import FAULT_COLUMNS
+from fieldstar.sources.text import read_lines
 
 SINGLE = "'"
 
 
+def card_file_lines(spark: SparkSession, source: str, name: str, quote: str, cols: int) -> DataFrame:
+    """One file's lines with their records, repaired if single-quoted, written once."""
+    lines = read_lines(spark, f"{source}/{name}.txt")
+    return stage(card_lines(lines, cols) if quote == SINGLE else quoted_lines(lines, quote), name)
+
+
 def repair_files(spark: SparkSession, source: str, target: str, specs: Mapping[str, tuple[str, int]] = CARD_FILES) -> None:
     """Write every file's lines below `target`, single-quoted ones repaired.
 
@@ -24,31 +30,28 @@ def repair_files(spark: SparkSession, source: str, target: str, specs: Mapping[s
     folder per file.
     """
     for name, (quote, cols) in specs.items():
-        lines = read_lines(spark, f"{source}/{name}.txt")
-        if quote == SINGLE:
-            lines = stage(repair_quotes(lines, cols).select("file", "line_no", "text"), name)
+        lines = card_file_lines(spark, source, name, quote, cols)
         ordered = lines.repartitionByRange("line_no").sortWithinPartitions("line_no")
         ordered.select("text").write.mode("overwrite").text(f"{target}/{name}.csv")
 
 
 def check_files(spark: SparkSession, path: str, specs: Mapping[str, tuple[str, int]] = CARD_FILES) -> DataFrame:
-    """Records of all files whose field count is not the declared one.
+    """Records of all files whose field count is not the declared one, with their first line.
 
-    Records are re-assembled from lines first, so cells may span lines. All
-    faults are reported, not only the first.
+    Cells may span lines, under either quote. All faults are reported, not
+    only the first.
     """
-    found = []
-    for name, (quote, cols) in specs.items():
-        lines = read_lines(spark, f"{path}/{name}.txt")
-        if quote == SINGLE:
-            repaired = repair_quotes(lines, cols)
-            carried = carry_columns(lines, cols).drop("text")
-            records = join_lines(carried.join(repaired.select("file", "line_no", "text"), ["file", "line_no"]))
-        else:
-            records = lines.withColumnRenamed("line_no", "record")
-        wrong = bad_width(records, cols, quote=quote)
-        found.append(wrong.select(F.lit(name).alias("table"), "record", "fields", "text"))
-    return reduce(DataFrame.unionByName, found)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _faults(card_file_lines(spark, path, name, quote, cols), name, cols)
+            for name, (quote, cols) in specs.items()
+        ],
+    )
+
+
+def _faults(lines: DataFrame, name: str, cols: int) -> DataFrame:
+    return width_faults(lines, cols).select(F.lit(name).alias("table"), *FAULT_COLUMNS)
 
 
 def table_metadata(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -65,10 +68,19 @@ def table_metadata(tables: Mapping[str, DataFrame]) -> DataFrame:
 def card_files(
     spark: SparkSession, source: str, target: str, specs: Mapping[str, tuple[str, int]] = CARD_FILES
 ) -> dict[str, DataFrame]:
-    """Repair, check and re-write all card files; returns `faults` and `metadata`."""
-    repair_files(spark, source, f"{target}/repaired", specs)
-    faults = check_files(spark, source, specs)
-    quotes = {f"{name}.csv": quote for name, (quote, _) in specs.items()}
-    normalise_dialect(spark, quotes, f"{target}/repaired", f"{target}/uniform", encoding="UTF-8")
-    uniform = {name: read_text_table(spark, f"{target}/uniform/{name}.csv") for name in specs}
-    return {"faults": faults, "metadata": table_metadata(uniform)}
+    """Repair, check and re-write all card files below `target`/uniform; returns `faults` and `metadata`.
+
+    Cells are parsed from the numbered records themselves: the first record of
+    a file is its header, however the file is split over tasks.
+    """
+    faults, uniform = [], {}
+    for name, (quote, cols) in specs.items():
+        lines = card_file_lines(spark, source, name, quote, cols)
+        faults.append(_faults(lines, name, cols))
+        names = header_names(lines, quote)
+        if len(names) != cols:
+            raise ValueError(f"{name}: the header has {len(names)} columns, {cols} are declared")
+        cells = parsed_records(lines, names, quote).filter("record > 1").drop("file", "record")
+        cells.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target}/uniform/{name}.csv")
+        uniform[name] = cells
+    return {"faults": reduce(DataFrame.unionByName, faults), "metadata": table_metadata(uniform)}

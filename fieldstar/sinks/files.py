@@ -8,8 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldstar.operators.textrepair import header_names, parsed_records, quoted_lines, width_faults
 from fieldstar.schema import SCHEMAS, SPLIT_TABLES
-from fieldstar.sources.text import read_text_table
+from fieldstar.session import stage
+from fieldstar.sources.text import read_lines
+
+FAULT_COLUMNS = ("record", "first_line", "fields", "text")
 
 # Lines per exported piece of the two large tables.
 PIECE_LINES = {"counts": 10_000_000, "events": 5_000_000}
@@ -70,12 +74,24 @@ def write_report(df: DataFrame | Iterable[DataFrame], path: str) -> None:
     stacked.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def normalise_dialect(spark: SparkSession, specs: Mapping[str, str], source: str, target: str, encoding: str = "ISO-8859-1") -> None:
+def normalise_dialect(
+    spark: SparkSession, specs: Mapping[str, str], source: str, target: str, encoding: str = "ISO-8859-1"
+) -> DataFrame:
     """Re-write delimited files with their own quote character under one dialect.
 
-    `specs` maps file name to quote character. Cells may span lines, so a
-    file is parsed as a whole; the files are independent of each other.
+    `specs` maps file name to quote character. Records are put together from
+    numbered lines and parsed one by one, so cells may span lines and the
+    result does not depend on how many tasks or part files a file takes. The
+    first record of a file names its columns. Returns the records of another
+    width (table, record, first_line, fields, text), which are not written.
     """
+    faults = []
     for name, quote in specs.items():
-        df = read_text_table(spark, f"{source}/{name}", quote=quote, encoding=encoding, multi_line=True)
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target}/{name}")
+        lines = stage(quoted_lines(read_lines(spark, f"{source}/{name}", encoding), quote), "dialect")
+        names = header_names(lines, quote)
+        if not names:
+            raise ValueError(f"{source}/{name} has no header")
+        body = parsed_records(lines, names, quote).filter("record > 1").drop("file", "record")
+        body.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target}/{name}")
+        faults.append(width_faults(lines, len(names)).select(F.lit(name).alias("table"), *FAULT_COLUMNS))
+    return reduce(DataFrame.unionByName, faults)
