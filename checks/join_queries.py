@@ -7,6 +7,7 @@ from checks.views import ROW_ORDER
 from fieldstar.functions.text import zfill
 from fieldstar.operators import joins
 from fieldstar.operators.aggregates import collapse_attempts, effort_events, first_nonempty
+from fieldstar.operators.keys import first_per_key
 
 ORDER_SQL = ", ".join(ROW_ORDER)
 
@@ -103,13 +104,14 @@ def lookup_composite(spark, sf_dir):
 @query(
     "lookup_coordinates",
     """select v.event_id, q.place_id from (select v.event_id, p.lng, p.lat from {visits} v join {places} p
-      using (place_id)) v left join (select * from {places} where dataset_id < '2') q
-      on v.lng = q.lng and v.lat = q.lat""",
+      using (place_id)) v left join (select lng, lat, min(place_id) as place_id from {places}
+      where dataset_id < '2' group by lng, lat) q on v.lng = q.lng and v.lat = q.lat""",
 )
 def lookup_coordinates(spark, sf_dir):
     places = view(spark, sf_dir, "places")
     visits = joins.lookup(view(spark, sf_dir, "visits"), places, "place_id", ["lng", "lat"], how="inner")
-    rows = joins.lookup(visits.drop("place_id"), places.filter("dataset_id < '2'"), ["lng", "lat"], ["place_id"])
+    known = first_per_key(places.filter("dataset_id < '2'"), ["lng", "lat"], ["place_id"])
+    rows = joins.lookup(visits.drop("place_id"), known, ["lng", "lat"], ["place_id"], checked=True)
     return rows.select("event_id", "place_id")
 
 

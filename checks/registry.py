@@ -20,8 +20,7 @@ BASE = (
 ).split()
 
 VIEWS: dict[str, str] = {}
-# Views that stand for an unsplittable raw file: the table behind them is
-# redistributed when it came in fewer splits than there are cores.
+# Views that stand for an unsplittable raw file: the table behind them is redistributed.
 SPREAD = {"split_docs": "documents"} | {
     name: "lineitem" for name in ("raw_obs", "bands", "nests", "nest_rows", "july_rows", "band_rows", "route_counts")
 }
@@ -46,7 +45,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     frames = {n: view(spark, sf_dir, n) for n in names_in(sql)}
     if name in SPREAD:
-        frames[SPREAD[name]] = spread(frames[SPREAD[name]])
+        frames[SPREAD[name]] = spread(frames[SPREAD[name]], spark.sparkContext.defaultParallelism)
     return spark.sql(sql, **frames)
 
 

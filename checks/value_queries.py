@@ -221,21 +221,36 @@ def lenient_numbers(spark, sf_dir):
     )
 
 
-@query(
-    "geohash7",
-    """select place_id, list_reduce(list_transform(range(0, 7), lambda k: substr('0123456789bcdefghjkmnpqrstuvwxyz',
+GEOHASH = """list_reduce(list_transform(range(0, 7), lambda k: substr('0123456789bcdefghjkmnpqrstuvwxyz',
       cast(1 + list_sum(list_transform(range(0, 5), lambda j: ((case when (5 * k + j) % 2 = 0
         then x >> cast(17 - (5 * k + j) // 2 as bigint) else y >> cast(16 - (5 * k + j) // 2 as bigint) end) & 1)
-          << (4 - j))) as bigint), 1)), lambda a, b: a || b) as geohash
-    from (select place_id, cast(floor((lng + 180) / 360 * 262144) as bigint) as x,
-      cast(floor((lat + 90) / 180 * 131072) as bigint) as y from {places})""",
-)
+          << (4 - j))) as bigint), 1)), lambda a, b: a || b)"""
+CELLS = """(select place_id, lng, lat, cast(floor((lng + 180) / 360 * 262144) as bigint) as x,
+      cast(floor((lat + 90) / 180 * 131072) as bigint) as y from {places})"""
+
+
+@query("geohash7", f"select place_id, {GEOHASH} as geohash from {CELLS}")
 def geohash7(spark, sf_dir):
     hashed = geo.geohash(F.col("lng"), F.col("lat"), 7).alias("geohash")
     return view(spark, sf_dir, "places").select("place_id", hashed)
 
 
-@query("geo_points")
+# The eight bytes of a double, from its sign, exponent and mantissa; the logarithm is set right by one comparison each way.
+def le_bytes(c):
+    """SQL for a double column's bytes in little-endian hex."""
+    exponent = f"(floor(log2(abs({c}))) - cast(abs({c}) < pow(2.0, floor(log2(abs({c})))) as int)"
+    exponent += f" + cast(abs({c}) >= pow(2.0, floor(log2(abs({c}))) + 1) as int))"
+    high = f"case when {c} < 0 then 2048 else 0 end + cast({exponent} + 1023 as int)"
+    low = f"cast((abs({c}) / pow(2.0, {exponent}) - 1) * 4503599627370496 as bigint)"
+    bits = f"case when {c} = 0 then repeat('0', 16) else printf('%03X%013X', {high}, {low}) end"
+    return f"array_to_string(list_transform(range(0, 8), lambda i: substr({bits}, 15 - 2 * i, 2)), '')"
+
+
+@query(
+    "geo_points",
+    f"""select place_id, {GEOHASH} as geohash, '0101000000' || {le_bytes('lng')} || {le_bytes('lat')} as geopoint
+    from {CELLS}""",
+)
 def geo_points(spark, sf_dir):
     from fieldstar.plans.exchange import geo_enrich
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"  # fixed values: geohash alphabet
 SRID = 4326  # fixed value: WGS 84
@@ -56,14 +54,34 @@ def geohash(lng: Column, lat: Column, length: int = 7) -> Column:
     return F.concat(*chars)
 
 
-@F.pandas_udf(T.BinaryType())
-def wkb_point(lng: pd.Series, lat: pd.Series) -> pd.Series:
-    """Well-known-binary point; the JVM has no double-to-bytes function."""
-    import numpy as np
+def double_bits(value: Column) -> Column:
+    """The 64 bits of a finite double as hex, the sign first (IEEE 754 binary64).
 
-    points = np.empty(len(lng), dtype=[("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
-    points["order"], points["kind"] = 1, 1
-    points["x"], points["y"] = lng.to_numpy("float64"), lat.to_numpy("float64")
-    packed, size = points.tobytes(), points.itemsize
-    made = [packed[i * size : (i + 1) * size] for i in range(len(points))]
-    return pd.Series(made, dtype=object).where(lng.notna() & lat.notna(), None)
+    Dividing by a power of two is exact, so exponent and mantissa come out of
+    arithmetic; the logarithm's rounding is undone by comparing with both
+    neighbouring powers.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    power = lambda e: F.pow(F.lit(2.0), e)
+    exponent = guess - (size < power(guess)).cast("long") + (size >= power(guess + 1)).cast("long")
+    normal = ((size / power(exponent) - 1) * float(1 << 52)).cast("long")
+    tiny = (size * float(1 << 537) * float(1 << 537)).cast("long")  # below the least normal number: a multiple of 2^-1074
+    negative = (value < 0) | (value.cast("string") == "-0.0")
+    sign = F.when(negative, 2048).otherwise(0)
+    small = size < 2.0**-1022
+    high = sign + F.when(small, 0).otherwise(exponent + 1023)
+    low = F.when(small, tiny).otherwise(normal)
+    return F.concat(F.lpad(F.hex(high.cast("long")), 3, "0"), F.lpad(F.hex(low), 13, "0"))
+
+
+def _little_endian(bits: Column) -> Column:
+    return F.concat(*[F.substring(bits, place, 2) for place in range(15, 0, -2)])
+
+
+def wkb_point(lng: Column | str, lat: Column | str) -> Column:
+    """Well-known-binary point, little-endian; NULL unless both are finite numbers."""
+    lng, lat = (F.col(c) if isinstance(c, str) else c for c in (lng, lat))
+    point = F.unhex(F.concat(F.lit("0101000000"), *[_little_endian(double_bits(c.cast("double"))) for c in (lng, lat)]))
+    finite = (F.abs(lng) < float("inf")) & (F.abs(lat) < float("inf"))
+    return F.when(finite, point)

@@ -25,9 +25,6 @@ ISO_DATE = "yyyy-MM-dd"
 NEST_DATE = "ddMMMyyyy"
 CLOCK = "HH:mm:ss"
 
-# Longest duration taken as real: what a 64-bit nanosecond interval can hold.
-MAX_MINUTES = 153_722_867.0
-
 
 def parse_fixed(c: Column, fmt: str) -> Column:
     """Text in one known format to a timestamp; NULL when it does not match."""
@@ -106,9 +103,8 @@ def hhm_to_hhmm(c: Column) -> Column:
 
 
 def end_time(started: Column, minutes: Column) -> Column:
-    """Start plus a duration in minutes (may run past midnight)."""
-    usable = F.when(F.abs(minutes) <= MAX_MINUTES, minutes)
-    seconds = (usable * 60).try_cast("decimal(18,6)")
+    """Start plus a duration in minutes (may run past midnight); NULL beyond what 18 digits of seconds hold."""
+    seconds = (minutes * 60).try_cast("decimal(18,6)")
     zero = F.lit(0)
     return started + F.make_dt_interval(zero, zero, zero, seconds)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldstar.functions.jsonblob import json_get
 from fieldstar.functions.text import zfill
-from fieldstar.operators.keys import first_per_key
+from fieldstar.operators.keys import assert_unique, first_per_key
 
 On = str | Sequence[str] | Mapping[str, str]
 
@@ -25,13 +25,23 @@ def _pairs(on: On) -> dict[str, str]:
     return dict(on) if isinstance(on, Mapping) else {c: c for c in on}
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: On, take: Iterable[str] | Mapping[str, str], how: str = "left") -> DataFrame:
+def lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    on: On,
+    take: Iterable[str] | Mapping[str, str],
+    how: str = "left",
+    checked: bool = False,
+) -> DataFrame:
     """Bring columns of a key-unique table to every row; no match gives NULL.
 
     `on` maps left to right key columns, `take` maps the dimension's columns to
-    output names. An existing column of that name is replaced.
+    output names. An existing column of that name is replaced. `checked` counts
+    the dimension's keys first and raises if one repeats.
     """
     on = _pairs(on)
+    if checked:
+        assert_unique(dim, list(on.values()))
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
     keys = {left: f"_key_{i}" for i, left in enumerate(on)}
     right = dim.select(

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstar.functions.geo import geohash, wkb_point
-from fieldstar.session import ship_package
 from fieldstar.sinks.files import export_csv, import_tables
 
 
 def geo_enrich(places: DataFrame, length: int = 7) -> DataFrame:
     """Add the geohash and the WKB point of every place."""
-    ship_package(places.sparkSession)
     lng, lat = F.col("lng"), F.col("lat")
     return places.withColumns({"geohash": geohash(lng, lat, length), "geopoint": wkb_point(lng, lat)})
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fieldstar.formats import CHECKLIST_LAT, CHECKLIST_LNG, MISSING_COLUMNS
 from fieldstar.functions.jsonblob import json_expand, json_get, json_has
-from fieldstar.functions.text import join_name, tagged_key
+from fieldstar.functions.text import tagged_key
 from fieldstar.operators.aggregates import counts_by
 from fieldstar.operators.columns import prefixed
 from fieldstar.operators.filters import bbox, extract_bbox, quality_gate, within
@@ -159,11 +159,6 @@ def named_source(df: DataFrame, name: Column, common_name: Column, tag: str | No
     return df.withColumns({"sci_name": name, "common_name": common_name, "key": label})
 
 
-def binomial(genus: str, species: str) -> Column:
-    """Scientific name from its two parts."""
-    return join_name(F.col(genus), F.col(species))
-
-
 def audited(raw: DataFrame, lng: Range = CHECKLIST_LNG, lat: Range = CHECKLIST_LAT) -> DataFrame:
     """Raw observations an ingest should have kept."""
     return bbox(quality_gate(raw), "LONGITUDE", "LATITUDE", lng, lat)

@@ -59,14 +59,13 @@ def with_row_order(df: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Redistribute input that came in too few splits (gzip, one row group).
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Redistribute input that comes in too few splits (gzip, one row group).
 
-    Input that already has as many splits as the session has cores is left
-    alone, so nothing is shuffled at scale.
+    It costs a shuffle of the input whatever its size: use it for files that
+    Spark cannot split, with the number of tasks the work behind them asks for.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(partitions)
 
 
 def read_many(spark: SparkSession, families: Mapping[str, str], tag: str = "TYPE", **options) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import math
 import struct
 
 import pytest
@@ -120,9 +121,14 @@ def test_geohash_known_points_and_cell_edges(spark):
 
 
 def test_wkb_point(spark):
-    df = spark.createDataFrame([(-72.5, 40.25), (None, 1.0)], "lng double, lat double")
+    values = [-72.5, 40.25, 0.0, -0.0, 1.0, -1.0, 0.1, 1 / 3, 179.99999999999997, -180.0, 5e-324, 2.0**-1022, 1e308, -1e-310]
+    values += [2.0**e for e in range(-30, 31)] + [math.nextafter(2.0**e, 0) for e in range(-30, 31)]
+    pairs = list(zip(values, values[::-1], strict=True))
+    rows = [*pairs, (None, 1.0), (1.0, None), (math.inf, 1.0), (1.0, math.nan)]
+    df = spark.createDataFrame(rows, "lng double, lat double")
     made = [r[0] for r in df.select(geo.wkb_point("lng", "lat")).collect()]
-    assert bytes(made[0]) == struct.pack("<BIdd", 1, 1, -72.5, 40.25) and made[1] is None
+    assert [bytes(m) for m in made[: len(pairs)]] == [struct.pack("<BIdd", 1, 1, *p) for p in pairs]
+    assert made[len(pairs) :] == [None] * 4
 
 
 def test_blob_is_json(spark):

@@ -30,7 +30,7 @@ def test_unquoted_gzip_and_row_order(spark, tmp_path):
     path = tmp_path / "t.txt.gz"
     with gzip.open(path, "wt") as f:
         f.write("id\tnote\n" + "".join(f'{i}\t"n{i}\n' for i in range(200)))
-    df = spread(read_text_table(spark, str(path), sep="\t", quote="", row_order=True))
+    df = spread(read_text_table(spark, str(path), sep="\t", quote="", row_order=True), 4)
     assert df.rdd.getNumPartitions() >= 4
     got = [r.id for r in df.orderBy("_file", "_block", "_row").collect()]
     assert got == [str(i) for i in range(200)]
