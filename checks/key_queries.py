@@ -181,9 +181,9 @@ def numbered(spark, sf_dir, *levels):
     rows = stage(rows, "checklists") if len(levels) > 1 else rows
     taxa = target_taxa(view(spark, sf_dir, "obs_taxa"))
     made = {
-        "places": lambda: number_rows(rows, PLACE_KEY, "place_id", 1, ROW_ORDER, place_rows),
-        "events": lambda: number_rows(rows, EVENT_KEY, "event_id", 1, ROW_ORDER, event_rows),
-        "counts": lambda: number_rows(rows, None, "count_id", 1, ROW_ORDER, lambda df: count_rows(df, taxa)),
+        "places": lambda: number_rows(rows, PLACE_KEY, "place_id", 1, ROW_ORDER, place_rows, PLACE_KEY),
+        "events": lambda: number_rows(rows, EVENT_KEY, "event_id", 1, ROW_ORDER, event_rows, [*PLACE_KEY, *EVENT_KEY]),
+        "counts": lambda: number_rows(rows, None, "count_id", 1, ROW_ORDER, lambda df: count_rows(df, taxa), EVENT_KEY),
     }
     return [made[level]() for level in levels]
 

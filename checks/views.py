@@ -19,7 +19,7 @@ from {part}
 """
 
 VIEWS["places"] = """
-select c_custkey as place_id, cast(c_nationkey as string) as dataset_id,
+select c_custkey as place_id, cast(c_custkey % 25 as string) as dataset_id,
        -95e0 + (c_custkey * 7 % 450) / 10e0 as lng, 20e0 + (c_custkey * 13 % 700) / 10e0 as lat,
        c_mktsegment as precision_code
 from {customer}
@@ -34,10 +34,10 @@ from {orders}
 """
 
 VIEWS["tallies"] = """
-select l_orderkey as event_id, l_partkey as taxon_id, cast(l_suppkey % 25 as string) as dataset_id,
+select l_orderkey as event_id, l_partkey as taxon_id, cast(o_custkey % 25 as string) as dataset_id,
        case when l_linenumber = 7 then -1 else cast(l_quantity as int) end as count,
        l_linenumber as line, l_suppkey as supp, l_extendedprice as price
-from {lineitem}
+from {lineitem} join {orders} on l_orderkey = o_orderkey
 """
 
 # Checklist-shaped, dirty, all text but the order columns.

@@ -33,6 +33,12 @@ def to_int(c: Column) -> Column:
     return to_num(c).try_cast("int")
 
 
+def total_or_zero(c: Column) -> Column:
+    """A total where missing means none: 0; an unreadable one stays NULL."""
+    missing = c.isNull() | (F.trim(c.cast("string")) == "")
+    return F.when(missing, F.lit(0)).otherwise(to_int(c))
+
+
 def km_to_m(c: Column) -> Column:
     """Kilometres to metres: missing stays missing, unparsable becomes 0."""
     metres = F.coalesce(to_num(c), F.lit(0.0)) * METRES_PER_KM

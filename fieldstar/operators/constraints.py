@@ -71,3 +71,19 @@ def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         found += [null_violations(df, name), unique_violations(df, name), fk_violations(df, name, tables)]
     return reduce(DataFrame.unionByName, [f for f in found if f is not None])
+
+
+def split_by_rules(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that have all their required columns, rows that lack some with a `reason`)."""
+    required = RULES[table].not_null
+    lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+    checked = df.withColumn("reason", F.array_join(lacking, ", "))
+    return checked.filter("reason = ''").drop("reason"), checked.filter("reason <> ''")
+
+
+def split_orphans(df: DataFrame, table: str, lost: DataFrame, column: str, parent: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rows whose parent is among the `lost` ids with a `reason`); no parent is no reason."""
+    keys = lost.select(F.col(column).alias("_lost")).distinct()
+    same = F.col(column) == F.col("_lost")
+    kept = df.join(keys, same, "left_anti")
+    return kept, df.join(keys, same, "left_semi").withColumn("reason", F.lit(f"{parent} was rejected"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstar.operators.joins import lookup
 from fieldstar.operators.keys import assign_ids, first_per_key
+from fieldstar.schema import ID_COLUMNS, SCHEMAS
 
 
 def _long(df: DataFrame, rows: Iterable[Column], keep: Iterable[str]) -> DataFrame:
@@ -37,17 +38,21 @@ def melt_counts(
     """One row per present measure that belongs to the event's type.
 
     `measures` maps measure column to event type. The events carry the measure
-    columns, so tying a count to its event needs no join.
+    columns, so tying a count to its event needs no join. A measure that no
+    int holds gives a NULL count, which no table takes: it becomes a reject.
     """
-    rows = [
-        F.struct(
+
+    def row(rank: int, measure: str, kind: str) -> Column:
+        value = F.when(F.col("event_type") == kind, F.col(measure))
+        return F.struct(
             F.lit(measure).alias("count_type"),
-            F.lit(i).alias("count_rank"),
-            F.when(F.col("event_type") == kind, F.col(measure)).cast("int").alias(out),
+            F.lit(rank).alias("count_rank"),
+            value.try_cast("int").alias(out),
+            value.isNotNull().alias("_present"),
         )
-        for i, (measure, kind) in enumerate(measures.items())
-    ]
-    return _long(events, rows, [*keep, "event_type"]).filter(F.col(out).isNotNull())
+
+    rows = [row(i, measure, kind) for i, (measure, kind) in enumerate(measures.items())]
+    return _long(events, rows, [*keep, "event_type"]).filter("_present").drop("_present")
 
 
 def number_rows(
@@ -57,14 +62,21 @@ def number_rows(
     start: int,
     order: Sequence[str],
     shape: Callable[[DataFrame], DataFrame] | None = None,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of one level of the star, shaped and numbered: the first per key, or all.
 
     Shaping (blobs, coercions) runs after the reduction, so only rows that are
-    kept pay for it.
+    kept pay for it. Numbering writes rows down: with `keys` a level carries
+    no more than these, the order and its table's columns.
     """
     rows = first_per_key(df, key, order) if key else df
-    return assign_ids(shape(rows) if shape else rows, col, start, order)
+    rows = shape(rows) if shape else rows
+    if keys is not None:
+        table = next(t for t, c in ID_COLUMNS.items() if c == col)
+        wanted = {*keys, *order, *SCHEMAS[table].names}
+        rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in wanted])
+    return assign_ids(rows, col, start, order)
 
 
 def star_split(
@@ -81,14 +93,18 @@ def star_split(
 
     Places and events are the first row of their key; without an event key
     every row is its own event and its own count. `start` gives the first id
-    of each level. The shape functions must keep the key and order columns.
+    of each level. The shape functions must keep the key and order columns;
+    a shaped level carries only these and its table's columns.
     """
-    places = number_rows(raw, place_key, "place_id", start["places"], order, place)
-    events = number_rows(raw, event_key, "event_id", start["events"], order, event)
+    keys = [*place_key, *(event_key or ())]
+    places = number_rows(raw, place_key, "place_id", start["places"], order, place, keys if place else None)
+    events = number_rows(raw, event_key, "event_id", start["events"], order, event, keys if event else None)
     events = lookup(events, places, place_key, ["place_id"])
     if event_key is None:
-        counts = assign_ids(count(events) if count else events, "count_id", start["counts"], order)
+        # One count per event in the same order: its number follows from the event's.
+        numbered = events.withColumn("count_id", F.col("event_id") + (start["counts"] - start["events"]))
+        counts = count(numbered) if count else numbered
     else:
-        counts = number_rows(raw, None, "count_id", start["counts"], order, count)
+        counts = number_rows(raw, None, "count_id", start["counts"], order, count, keys if count else None)
         counts = lookup(counts, events, event_key, ["event_id"])
     return places, events, counts

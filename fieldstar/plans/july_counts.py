@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstar.formats import BUTTERFLIES, JULY_EVENT_JSON, JULY_PLACE_JSON, JULY_TAXON_JSON
 from fieldstar.functions.jsonblob import json_blob
-from fieldstar.functions.numbers import fill, to_int, to_num
+from fieldstar.functions.numbers import to_int, to_num, total_or_zero
 from fieldstar.functions.text import join_name
 from fieldstar.functions.times import date_from_parts, day_of, year_of
 from fieldstar.operators.filters import require
@@ -31,7 +31,7 @@ def usable_rows(observations: DataFrame) -> DataFrame:
     numbers = {c: to_num(F.col(c)) for c in PLACE_KEY}
     whole = {c: to_int(F.col(c)) for c in DAY}
     name = join_name(F.col("Gen_Tribe_Fam"), F.col("Species"))
-    total = fill(to_int(F.col("SumOfBFLY_COUNT")), 0)
+    total = total_or_zero(F.col("SumOfBFLY_COUNT"))
     obs = obs.withColumns({**numbers, **whole, "sci_name": name, "SumOfBFLY_COUNT": total})
     return require(obs, [*PLACE_KEY, *DAY])
 

@@ -16,6 +16,7 @@ from fieldstar.operators.aggregates import counts_by
 from fieldstar.operators.columns import prefixed
 from fieldstar.operators.filters import bbox, extract_bbox, quality_gate, within
 from fieldstar.operators.joins import drop_known
+from fieldstar.schema import SPLIT_TABLES
 
 Tables = Mapping[str, DataFrame]
 Range = tuple[float, float]
@@ -34,20 +35,32 @@ def qualified_star(tables: Tables, collide: Iterable[str] = ("dataset_id",)) ->
     }
 
 
+def of_dataset(star: dict[str, DataFrame], dataset_id: str | None) -> dict[str, DataFrame]:
+    """The qualified tables cut to one dataset, if one is asked for."""
+    if dataset_id is None:
+        return star
+    cut = {t: star[t].filter(F.col(f"{PREFIXES[t]}dataset_id") == dataset_id) for t in SPLIT_TABLES if t in star}
+    return star | cut
+
+
 def observations(
     tables: Tables,
     places: Column | None = None,
     events: Column | None = None,
     counts: Column | None = None,
     taxa: Column | None = None,
+    dataset_id: str | None = None,
 ) -> DataFrame:
     """places x events x counts x taxa by their ids, each table filtered at its scan.
 
+    A dataset is asked for in all three of its tables: it is their partition,
+    so the other datasets' files are not read.
+
     Everything that can be said about one table is said before the join, so
     the count table, by far the largest, only meets the few events that
     remain; its own scan gets a runtime filter from them.
     """
-    star = qualified_star(tables)
+    star = of_dataset(qualified_star(tables), dataset_id)
     for name, condition in {"places": places, "events": events, "counts": counts, "taxa": taxa}.items():
         if condition is not None:
             star[name] = star[name].filter(condition)
@@ -89,11 +102,8 @@ def slice_json(
     lat: Range,
 ) -> DataFrame:
     """One dataset's slice with a value out of the event blob, where it has one."""
-    where = in_box(lng, lat)
-    if dataset_id is not None:
-        where = where & (F.col("place_dataset_id") == dataset_id)
     season = in_season(year, days) & json_has(F.col("event_json"), key)
-    rows = observations(tables, where, season, taxa=F.col("target"))
+    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id)
     value = json_get(F.col("event_json"), key).alias(out)
     return rows.select("lng", "lat", "year", "day", "count", "sci_name", value)
 
@@ -102,10 +112,8 @@ def checklist_count(
     tables: Tables, dataset_id: str | None, key: str, since: int, days: tuple[int, int], lng: Range, lat: Range
 ) -> DataFrame:
     """Number of events since a year, in a season and box, that carry the key."""
-    star = qualified_star(tables)
+    star = of_dataset(qualified_star(tables), dataset_id)
     places = star["places"].filter(in_box(lng, lat))
-    if dataset_id is not None:
-        places = places.filter(F.col("place_dataset_id") == dataset_id)
     season = (F.col("year") >= since) & within(F.col("day"), days) & json_has(F.col("event_json"), key)
     return places.join(star["events"].filter(season), "place_id").agg(F.count("*").alias("n"))
 
@@ -125,10 +133,8 @@ def slice_top(
 
     The blob is parsed after the limit, for the rows that are returned only.
     """
-    where = in_box(lng, lat)
-    if dataset_id is not None:
-        where = where & (F.col("place_dataset_id") == dataset_id)
-    rows = observations(tables, where, in_season(year, days), taxa=F.col("target"))
+    season = in_season(year, days)
+    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id)
     wanted = ["lng", "lat", "year", "day", "count", "sci_name", "event_json"]
     first = rows.select(*dict.fromkeys([*wanted, *order])).orderBy(*order).limit(limit)
     return json_expand(first, "event_json", blob)

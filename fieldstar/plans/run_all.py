@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldstar.formats import DATASETS
+from fieldstar.operators.constraints import split_by_rules, split_orphans
 from fieldstar.plans.arthropods import arthropods
 from fieldstar.plans.band_records import band_records
 from fieldstar.plans.banding_stations import banding_stations
 from fieldstar.plans.checklists import checklists
 from fieldstar.plans.common import Rows
+from fieldstar.plans.exchange import geo_enrich
 from fieldstar.plans.july_counts import july_counts
 from fieldstar.plans.nest_attempts import nest_attempts
 from fieldstar.plans.survey_routes import survey_routes
 from fieldstar.plans.taxonomy import base_taxonomy
 from fieldstar.plans.transects import transects
 from fieldstar.schema import SPLIT_TABLES
-from fieldstar.session import stage
+from fieldstar.session import released_staging, stage
 from fieldstar.sinks.tables import Warehouse
 
 # Order matters: later datasets look up the taxa of earlier ones. The arthropod
@@ -37,24 +40,70 @@ PLANS: dict[str, Callable[..., Rows]] = {
 OPTIONAL = {"caterpillar": arthropods}
 
 
+def reject_rows(rejected: DataFrame, table: str) -> DataFrame:
+    """Rows with a reason in the shape of the rejects table."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rejected.columns if c not in ("reason", "geopoint")]))
+    return rejected.select(F.lit(table).alias("table"), "reason", row.alias("row"))
+
+
+def ruled(rows: Rows) -> tuple[Rows, DataFrame | None]:
+    """Staged rows by table that keep the declared rules, and those that do not.
+
+    A row without a required value is rejected, and so is one whose place or
+    event was.
+    """
+    kept, rejected, lost = {}, [], {}
+    for table in SPLIT_TABLES:
+        if table not in rows:
+            continue
+        good, bad = split_by_rules(stage(rows[table], table), table)
+        rejected.append(reject_rows(bad, table))
+        lost[table] = bad
+        for parent, column in (("places", "place_id"), ("events", "event_id")):
+            if parent in lost and parent != table and column in good.columns and not lost[parent].isEmpty():
+                good, orphans = split_orphans(good, table, lost[parent], column, parent)
+                rejected.append(reject_rows(orphans, table))
+                lost[table] = lost[table].unionByName(orphans)
+        kept[table] = good
+    if "rejects" in rows:
+        rejected.append(reject_rows(split_by_rules(rows["rejects"], "counts")[1], "counts"))
+    return kept, reduce(DataFrame.unionByName, rejected) if rejected else None
+
+
 def ingest(spark: SparkSession, warehouse: Warehouse, name: str, raw: Mapping[str, DataFrame], **options) -> Rows:
-    """Replace one dataset's rows, extend the taxonomy, register the dataset."""
+    """Replace one dataset's rows, extend the taxonomy, register the dataset.
+
+    The plan is worked out and staged against the tables without this dataset
+    before anything is replaced, so a plan that fails leaves the old rows.
+    Rows that the declared rules forbid go to the warehouse's rejects. What
+    was staged is removed at the end. Returns the dataset's stored rows.
+    """
     plan = {**PLANS, **OPTIONAL}[name]
-    warehouse.delete_dataset(name)
-    # The plan works on a copy of the taxonomy, which is rewritten below.
-    tables = {**warehouse.tables(), "taxa": stage(warehouse.load("taxa"), "taxa")}
-    rows = plan(spark, raw, tables, **options)
-    changes = {c: stage(rows[f"taxon_{c}"], c) for c in ("json", "spec") if f"taxon_{c}" in rows}
-    if "taxa" in rows:
-        warehouse.append(stage(rows["taxa"], "taxa"), "taxa")
-    for kind, frame in changes.items():
-        column = "taxon_json" if kind == "json" else kind
-        warehouse.update_column("taxa", frame, "taxon_id", column)
-    for table in SPLIT_TABLES:
-        if table in rows:
-            warehouse.replace_dataset(rows[table], table, name)
-    warehouse.register_dataset(DATASETS[name])
-    return rows
+    others = F.col("dataset_id") != name
+    with released_staging(spark):
+        tables = {t: df.filter(others) if t in SPLIT_TABLES else df for t, df in warehouse.tables().items()}
+        # The plan works on a copy of the taxonomy, which is rewritten below.
+        tables["taxa"] = stage(tables["taxa"], "taxa")
+        rows = plan(spark, raw, tables, **options)
+        changes = {c: stage(rows[f"taxon_{c}"], c) for c in ("json", "spec") if f"taxon_{c}" in rows}
+        fresh = stage(rows["taxa"], "taxa") if "taxa" in rows else None
+        kept, rejected = ruled(rows)
+        if "places" in kept:
+            kept["places"] = geo_enrich(kept["places"])
+        warehouse.delete_dataset(name)
+        if fresh is not None:
+            warehouse.append(fresh, "taxa")
+        for kind, frame in changes.items():
+            column = "taxon_json" if kind == "json" else kind
+            warehouse.update_column("taxa", frame, "taxon_id", column)
+        for table, frame in kept.items():
+            warehouse.replace_dataset(frame, table, name)
+        if rejected is not None:
+            warehouse.replace_rejects(rejected, name)
+        warehouse.register_dataset(DATASETS[name])
+    own = F.col("dataset_id") == name
+    stored = {t: warehouse.load(t).filter(own) for t in kept}
+    return stored | {"rejects": warehouse.rejects().filter(own)}
 
 
 def run_all(
@@ -66,10 +115,12 @@ def run_all(
     **options,
 ) -> dict[str, Rows]:
     """Ingest the wanted datasets (default: all given ones) in the fixed order."""
-    wanted = set(datasets or [*PLANS])
+    wanted = set(datasets or [*PLANS]) & set(sources)
+    if "nestwatch" in wanted and as_of_year is None:
+        raise ValueError("nest attempts need as_of_year: years after it belong to the century before")
     done = {}
     for name in [*PLANS, *OPTIONAL]:
-        if name not in wanted or name not in sources:
+        if name not in wanted:
             continue
         extra = {"as_of_year": as_of_year} if name == "nestwatch" else {}
         done[name] = partial(ingest, spark, warehouse)(name, sources[name], **extra, **options)

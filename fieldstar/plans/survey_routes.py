@@ -16,7 +16,7 @@ from fieldstar.formats import (
     ROUTE_TAXON_JSON,
 )
 from fieldstar.functions.jsonblob import json_blob
-from fieldstar.functions.numbers import fill, to_int, to_num
+from fieldstar.functions.numbers import to_int, to_num, total_or_zero
 from fieldstar.functions.text import join_name, squeeze_ws, tight_slash
 from fieldstar.functions.times import date_from_parts, day_of, int_hhmm
 from fieldstar.operators.filters import require
@@ -84,7 +84,7 @@ def survey_routes(
     seen = lookup(seen, codes, "aou", ["taxon_id"])
     seen = lookup(seen, last_per_key(runs, RUN_KEY, "event_id"), RUN_KEY, ["event_id"])
     counts = json_blob(require(seen, ["event_id", "taxon_id"]), ROUTE_COUNT_JSON.split(), "count_json")
-    counts = counts.withColumn("count", fill(to_int(F.col("speciestotal")), 0))
+    counts = counts.withColumn("count", total_or_zero(F.col("speciestotal")))
 
     return {
         "taxa": fresh,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstar.formats import BUTTERFLIES, TRANSECT_COUNT_JSON, TRANSECT_EVENT_JSON, TRANSECT_PLACE_JSON
 from fieldstar.functions.jsonblob import json_blob
-from fieldstar.functions.numbers import fill, to_int, to_num
+from fieldstar.functions.numbers import to_num, total_or_zero
 from fieldstar.functions.text import squeeze_ws
 from fieldstar.functions.times import day_of, hhmm, parse_date, year_of
 from fieldstar.operators.columns import blanks_to_underscores
@@ -66,7 +66,7 @@ def transects(
     )
     counts = lookup(rows, known, "sci_name", ["taxon_id"], how="inner")
     counts = json_blob(counts, TRANSECT_COUNT_JSON.split(), "count_json")
-    counts = counts.withColumn("count", fill(to_int(F.col("Total")), 0))
+    counts = counts.withColumn("count", total_or_zero(F.col("Total")))
 
     return {
         "taxa": fresh,

@@ -6,6 +6,8 @@ import pathlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,29 @@ def staging_dir(spark: SparkSession) -> str:
     return folder
 
 
+_staged: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the staging folder."""
-    return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+@contextmanager
+def released_staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block when it ends, also on failure.
+
+    Frames that read staged tables are of no use afterwards.
+    """
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[mark:]:
+            delete_path(spark, path)
+        del _staged[mark:]
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

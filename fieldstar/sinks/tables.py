@@ -13,10 +13,11 @@ from fieldstar.session import delete_path, path_exists, stage
 
 PARTITIONED = ("datasets", "places", "events", "counts")
 PARTITION = "dataset_id"
+REJECTS = "dataset_id string, `table` string, reason string, row string"
 
 # What slices are cut by: rows are written in this order within each file, so
 # the row groups' statistics skip the seasons and latitudes not asked for.
-CLUSTERED = {"places": ("lat", "lng"), "events": ("year", "day")}
+CLUSTERED = {"places": ("lat", "lng"), "events": ("year", "day"), "counts": ("event_id",)}
 
 
 class Warehouse:
@@ -77,6 +78,18 @@ class Warehouse:
         )
         self.replace_dataset(row.withColumn("extracted", F.current_timestamp()), "datasets", meta["dataset_id"])
 
+    def rejects(self) -> DataFrame:
+        """Rows that the declared rules kept out: dataset_id, table, reason, row (JSON)."""
+        if not self.exists("rejects"):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(self.path("rejects"))
+
+    def replace_rejects(self, df: DataFrame, dataset_id: str) -> None:
+        """Make `df` the only rejects of that dataset."""
+        delete_path(self.spark, f"{self.path('rejects')}/{PARTITION}={dataset_id}")
+        slice_ = df.withColumn(PARTITION, F.lit(dataset_id))
+        slice_.write.partitionBy(PARTITION).mode("append").parquet(self.path("rejects"))
+
     def update_column(self, table: str, changes: DataFrame, key: str, col: str) -> None:
         """Back-fill one column of an unpartitioned table from (key, col) rows."""
         table_df = self.load(table)
