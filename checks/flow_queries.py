@@ -1,6 +1,5 @@
 """Sinks, exchange formats, streams and binary sources, through real files."""
 
-import os
 import struct
 import uuid
 
@@ -161,8 +160,11 @@ def write_dbf(path, fields):
     def write(batches):
         rows = pd.concat([b for b in batches] or [pd.DataFrame(columns=[f for f, _, _ in fields])])
         length = 1 + sum(w for _, _, w in fields)
-        os.makedirs(path, exist_ok=True)
-        with open(f"{path}/{uuid.uuid4().hex}.dbf", "wb") as f:
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+        system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{folder}/{uuid.uuid4().hex}.dbf") as f:
             f.write(struct.pack("<4BLHH20x", 3, 124, 1, 1, len(rows), 32 + 32 * len(fields) + 1, length))
             for name, kind, width in fields:
                 f.write(struct.pack("<11sc4xB15x", name.encode(), kind.encode(), width))
@@ -190,6 +192,68 @@ def read_dbf_query(spark, sf_dir):
     return read_dbf(spark, path, records=300)
 
 
+@query(
+    "read_dbf_union",
+    """select cast(p_partkey as varchar) as "SPEC", case when p_partkey % 2 = 0 then p_name end as "COMMONNAME",
+      case when p_partkey % 2 = 1 then p_brand end as "GENUS" from {part}""",
+)
+def read_dbf_union(spark, sf_dir):
+    """A folder of files with different columns."""
+    path = staging_path(spark, "dbf")
+    part = table(spark, sf_dir, "part")
+    for rest, column, field in ((0, "p_name", "COMMONNAME"), (1, "p_brand", "GENUS")):
+        rows = part.filter(F.col("p_partkey") % 2 == rest).select("p_partkey", column).repartition(2)
+        fields = [("SPEC", "C", 12), (field, "C", 40)]
+        rows.mapInPandas(write_dbf(path, fields), "rows long").collect()
+    return read_dbf(spark, path, records=300).select("SPEC", "COMMONNAME", "GENUS")
+
+
+def write_lines(spark, line, rows):
+    """Lines of text below one header line per file."""
+
+    def with_header(batches):
+        yield pd.DataFrame({"value": ["key,priority"]})
+        yield from batches
+
+    path = staging_path(spark, "text")
+    rows.select(line.alias("value")).repartition(4).mapInPandas(with_header, "value string").write.text(path)
+    return path
+
+
+@query(
+    "text_na_tokens",
+    """select cast(o_orderkey as varchar) as key, case when o_orderkey % 5 > 2 then o_orderpriority end as priority
+    from {orders}""",
+)
+def text_na_tokens(spark, sf_dir):
+    """Tokens that stand for a missing value."""
+    from fieldstar.formats import NA_TOKENS
+    from fieldstar.sources.text import read_text_table
+
+    token = F.when(F.col("o_orderkey") % 5 == 0, "NA").when(F.col("o_orderkey") % 5 == 1, "n/a")
+    cell = token.when(F.col("o_orderkey") % 5 == 2, "NULL").otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), cell)
+    path = write_lines(spark, line, table(spark, sf_dir, "orders"))
+    return read_text_table(spark, path, na_values=NA_TOKENS)
+
+
+@query(
+    "text_ragged",
+    """select cast(o_orderkey as varchar) as key, case when o_orderkey % 7 > 0 then o_orderpriority end as priority,
+      case o_orderkey % 7 when 0 then cast(o_orderkey as varchar)
+        when 1 then o_orderkey || ',' || o_orderpriority || ',more' end as malformed from {orders}""",
+)
+def text_ragged(spark, sf_dir):
+    """Rows with too few and too many cells are kept whole."""
+    from fieldstar.sources.text import read_text_table
+
+    key = F.col("o_orderkey").cast("string")
+    whole = F.concat_ws(",", key, "o_orderpriority")
+    line = F.when(F.col("o_orderkey") % 7 == 0, key).when(F.col("o_orderkey") % 7 == 1, F.concat(whole, F.lit(",more")))
+    path = write_lines(spark, line.otherwise(whole), table(spark, sf_dir, "orders"))
+    return read_text_table(spark, path, ragged="malformed")
+
+
 @query(
     "text_table",
     """select cast(o_orderkey as varchar) as o_orderkey, o_orderpriority, 'a "b' as note,

@@ -184,7 +184,6 @@ BAND_KINDS = {
     },
 }
 BAND_KINDS["recapture"] = BAND_KINDS["encounter"]
-BAND_CODE_COLUMNS = ("Scientific Name", "Species Number")
 BAND_TOO_COARSE = ("12", "72")  # country, state
 BAND_RADIUS = {0.0: ("0",), 111.32 * 1000: ("1", "60")}
 BAND_RADIUS_DEFAULT = 111.32 * 1000 * 10
@@ -216,3 +215,25 @@ METADATA_COLUMNS = "table column primary_key foreign_key1 foreign_key2 foreign_k
 
 # Report columns of the missing-names report.
 MISSING_COLUMNS = "dataset sci_name common_name key"
+
+# Cell texts that mean "missing" in the raw files.
+NA_TOKENS = (
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldstar.formats import CARD_FILES, METADATA_COLUMNS
 from fieldstar.operators.textrepair import card_lines, header_names, parsed_records, quoted_lines, width_faults
 from fieldstar.session import stage
-from fieldstar.sinks.files import FAULT_COLUMNS
+from fieldstar.sinks.files import FAULT_COLUMNS, write_uniform
 from fieldstar.sources.text import read_lines
 
 SINGLE = "'"
@@ -81,6 +81,6 @@ def card_files(
         if len(names) != cols:
             raise ValueError(f"{name}: the header has {len(names)} columns, {cols} are declared")
         cells = parsed_records(lines, names, quote).filter("record > 1").drop("file", "record")
-        cells.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target}/uniform/{name}.csv")
+        write_uniform(cells, f"{target}/uniform/{name}.csv")
         uniform[name] = cells
     return {"faults": reduce(DataFrame.unionByName, faults), "metadata": table_metadata(uniform)}

@@ -67,11 +67,16 @@ def import_tables(spark: SparkSession, path: str, pieces: Mapping[str, Iterable[
     return tables
 
 
+def write_uniform(df: DataFrame, path: str) -> None:
+    """Write CSV with a header under the one dialect; blanks at the edges of cells are kept."""
+    df.write.mode("overwrite").options(**{**_BOTH, "header": "true"}, escape='"').csv(path)
+
+
 def write_report(df: DataFrame | Iterable[DataFrame], path: str) -> None:
     """Write one or several like-shaped frames as one CSV report with a header."""
     frames = [df] if isinstance(df, DataFrame) else list(df)
     stacked = reduce(DataFrame.unionByName, frames)
-    stacked.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    write_uniform(stacked, path)
 
 
 def normalise_dialect(
@@ -92,6 +97,6 @@ def normalise_dialect(
         if not names:
             raise ValueError(f"{source}/{name} has no header")
         body = parsed_records(lines, names, quote).filter("record > 1").drop("file", "record")
-        body.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{target}/{name}")
+        write_uniform(body, f"{target}/{name}")
         faults.append(width_faults(lines, len(names)).select(F.lit(name).alias("table"), *FAULT_COLUMNS))
     return reduce(DataFrame.unionByName, faults)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -56,9 +57,21 @@ def read_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int]]]:
     return records, offset, length, fields
 
 
-def _iso(date: str | None) -> str | None:
-    """YYYYMMDD with dashes."""
-    return f"{date[:4]}-{date[4:6]}-{date[6:]}" if date and len(date) == 8 else date
+def _texts(block: np.ndarray, start: int, end: int, encoding: str, date: bool) -> pa.Array:
+    """One field of all records as trimmed text, blanks as NULL, dates (YYYYMMDD) with dashes."""
+    cells = np.ascontiguousarray(block[:, start:end]).view(f"S{end - start}").ravel()
+    texts = np.char.strip(np.char.decode(cells, encoding))
+    if date:
+        whole = np.char.str_len(texts) == 8
+        parts = np.char.add(np.char.add(texts.astype("U4"), "-"), _cut(texts, 4, 6))
+        texts = np.where(whole, np.char.add(np.char.add(parts, "-"), _cut(texts, 6, 8)), texts)
+    return pa.array(texts.tolist(), pa.string(), mask=texts == "")
+
+
+def _cut(texts: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Characters start to end of every text."""
+    wide = np.ascontiguousarray(texts.astype("U8")).view("U1").reshape(len(texts), 8)
+    return np.ascontiguousarray(wide[:, start:end]).view(f"U{end - start}").ravel()
 
 
 class RecordRange(InputPartition):
@@ -98,13 +111,17 @@ class DbfReader(DataSourceReader):
                 size = min(left, BATCH_RECORDS)
                 left -= size
                 data = f.read(size * length)
-                rows = [data[i : i + length] for i in range(0, len(data), length)]
-                rows = [r for r in rows if len(r) == length and r[0] != DELETED]
+                if len(data) < size * length:
+                    raise ValueError(f"{partition.path} is truncated: its header promises more records than it holds")
+                block = np.frombuffer(data, "u1").reshape(size, length)
+                block = block[block[:, 0] != DELETED]
                 arrays = []
                 for name in self.columns:
-                    a, b, kind = cuts.get(name, (0, 0, ""))
-                    values = [r[a:b].decode(self.encoding).strip() or None for r in rows]
-                    arrays.append(pa.array([_iso(v) for v in values] if kind == DATE else values, pa.string()))
+                    if name in cuts:
+                        a, b, kind = cuts[name]
+                        arrays.append(_texts(block, a, b, self.encoding, kind == DATE))
+                    else:  # a column of other files of the folder
+                        arrays.append(pa.nulls(len(block), pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
@@ -119,14 +136,20 @@ class DbfSource(DataSource):
         files = _files(self.options["path"])
         if not files:
             raise FileNotFoundError(f"no DBF file under {self.options['path']}")
-        return ", ".join(f"`{name}` string" for name, *_ in read_header(files[0])[3])
+        names = dict.fromkeys(name for path in files for name, *_ in read_header(path)[3])
+        return ", ".join(f"`{name}` string" for name in names)
 
     def reader(self, schema):
         return DbfReader(schema, self.options)
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str = "latin-1", records: int = 1_000_000) -> DataFrame:
-    """Read a DBF file, or all DBF files of a folder, as text columns."""
+    """Read a DBF file, or all DBF files of a folder, as text columns.
+
+    The columns are those of all files in the order of their first appearance;
+    a file without one gives NULL there. A file that ends before its header
+    says so raises.
+    """
     ship_package(spark)
     spark.dataSource.register(DbfSource)
     reader = spark.read.format("dbf").option("encoding", encoding).option("recordsPerPartition", records)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,9 +22,16 @@ def read_text_table(
     schema: T.StructType | None = None,
     multi_line: bool = False,
     row_order: bool = False,
+    na_values: Sequence[str] = (),
+    ragged: str | None = None,
 ) -> DataFrame:
     """Read delimited files with a header; all columns are text unless a schema is given.
 
+    Cells that are one of `na_values` are NULL. A row with too many or too few
+    cells raises; with `ragged` it is kept, its cells as far as they go and the
+    whole row in a column of that name (NULL for sound rows). Under a given
+    schema, cells that do not fit their type are NULL.
+
     quote="" keeps quote characters as data. A gzip file is one split, so
     redistribute it right after the scan (see `spread`). With `row_order` the
     columns _file, _block, _row give every row its place in the input.
@@ -40,7 +47,17 @@ def read_text_table(
     )
     if schema is not None:
         reader = reader.schema(schema)
+    elif ragged is not None:
+        # The width of a row is only checked where all its cells are parsed.
+        header = reader.csv(path).schema
+        reader = reader.schema(header.add(ragged, "string")).option("columnNameOfCorruptRecord", ragged)
+        reader = reader.option("columnPruning", False)
+    else:
+        reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
     df = reader.csv(path)
+    if na_values:
+        text = [f.name for f in df.schema.fields if f.dataType == T.StringType() and f.name != ragged]
+        df = df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*na_values), F.col(f"`{c}`")) for c in text})
     return with_row_order(df) if row_order else df
 
 

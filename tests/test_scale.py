@@ -96,10 +96,71 @@ def test_only_bounded_tables_are_hinted_into_a_broadcast():
     import pathlib
 
     package = pathlib.Path(keys.__file__).parents[1]
-    hints = [p for p in package.rglob("*.py") if "broadcast(" in p.read_text()]
-    assert [p.name for p in hints] == ["keys.py"]  # offsets: one row per partition
     banned = ("localCheckpoint", "crossJoin", "toPandas(", ".rdd.map")
     assert [p for p in package.rglob("*.py") if any(b in p.read_text() for b in banned)] == []
+    core = [p for p in package.rglob("*.py") if p.parent.name != "llm"]
+    hints = [p for p in core if "broadcast(" in p.read_text()]
+    assert [p.name for p in hints] == ["keys.py"]  # offsets: one row per partition
+
+
+def test_slices_of_one_dataset_prune_all_three_tables(spark, tmp_path):
+    from fieldstar.plans.reports import slice_json
+    from fieldstar.schema import SCHEMAS
+    from fieldstar.sinks.tables import Warehouse
+
+    warehouse = Warehouse(spark, str(tmp_path))
+    for table in ("places", "events", "counts"):
+        for name in ("a", "b"):
+            warehouse.replace_dataset(spark.createDataFrame([], SCHEMAS[table]).unionByName(
+                spark.range(1).select(F.lit(name).alias("dataset_id")), allowMissingColumns=True), table, name)
+    df = slice_json(warehouse.tables(), "a", "K", "k", 2000, (1, 9), (-1.0, 1.0), (-1.0, 1.0))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len([s for s in scans if "PartitionFilters: [isnotnull(dataset_id" in s]) == 3
+
+
+def test_ingest_leaves_no_staged_folders_and_stores_rejects(spark, tmp_path):
+    import os
+
+    from fieldstar.operators.constraints import check_constraints
+    from fieldstar.plans.run_all import PLANS, ingest
+    from fieldstar.schema import conform
+    from fieldstar.session import stage
+    from fieldstar.sinks.tables import Warehouse
+
+    folder = staging_dir(spark)
+    before = set(os.listdir(folder))
+
+    def plan(spark, raw, tables):
+        places = stage(raw["p"])
+        return {"places": places, "events": raw["e"], "counts": raw["c"], "taxa": raw["t"]}
+
+    raw = {
+        "p": spark.createDataFrame([(1, 2.0, 3.0), (2, None, 3.0)], "place_id long, lng double, lat double"),
+        "e": spark.createDataFrame([(1, 1, 2000, 5), (2, 2, 2000, 5), (3, 1, None, 5)], "event_id long, place_id long, year int, day int"),
+        "c": spark.createDataFrame([(1, 1, 1, 4), (2, 1, 1, None), (3, 2, 1, 4), (4, 3, 1, 4)], "count_id long, event_id long, taxon_id long, count int"),
+        "t": spark.createDataFrame([(1, "x")], "taxon_id long, sci_name string"),
+    }
+    names = {"p": "places", "e": "events", "c": "counts", "t": "taxa"}
+    raw = {k: conform(df.withColumn("dataset_id", F.lit("bbs")), names[k]) for k, df in raw.items()}
+    warehouse, old = Warehouse(spark, str(tmp_path)), PLANS["bbs"]
+    PLANS["bbs"] = plan
+    try:
+        stored = ingest(spark, warehouse, "bbs", raw)
+        assert set(os.listdir(folder)) == before
+        got = sorted((r["table"], r["reason"]) for r in stored["rejects"].collect())
+        assert got == [
+            ("counts", "count"), ("counts", "events was rejected"), ("counts", "events was rejected"),
+            ("events", "places was rejected"), ("events", "year"), ("places", "lng"),
+        ]
+        assert check_constraints(warehouse.tables()).count() == 0
+        PLANS["bbs"] = lambda *_: 1 / 0
+        with pytest.raises(ZeroDivisionError):
+            ingest(spark, warehouse, "bbs", raw)
+        assert warehouse.load("counts").count() == 1
+        assert set(os.listdir(folder)) == before
+    finally:
+        PLANS["bbs"] = old
 
 
 def test_staging_needs_a_shared_folder_on_a_cluster():

@@ -175,6 +175,56 @@ def test_dialects_become_uniform(spark, tmp_path, rows):
     assert rows(read_text_table(spark, str(tmp_path / "out" / "d.csv"))) == [("1,2", "x")]
 
 
+@pytest.mark.parametrize("split", ["100m", "4k"])
+def test_records_do_not_depend_on_how_a_file_is_split(spark, tmp_path, split):
+    cells = [(str(i), f"note {i},\nmore 'of' \"it\"\n{'x' * (i % 50)}", "end") for i in range(3000)]
+    double = "".join('"{}","{}","{}"\n'.format(*[c.replace('"', '""') for c in row]) for row in [("id", "note", "end"), *cells])
+    single = double.replace("'", "\0").replace('""', "\1").replace('"', "'").replace("\0", "''").replace("\1", '"')
+    (tmp_path / "d.csv").write_text(double)
+    (tmp_path / "s.csv").write_text(single)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        faults = normalise_dialect(spark, {"d.csv": '"', "s.csv": "'"}, str(tmp_path), str(tmp_path / "out"), "UTF-8")
+        assert faults.count() == 0
+        for name in ("d.csv", "s.csv"):
+            found = spark.read.csv(str(tmp_path / "out" / name), header=True, multiLine=True, escape='"').collect()
+            assert sorted(map(tuple, found)) == sorted(cells)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def test_an_open_quote_is_a_fault_and_not_a_table(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("'a','b','c'\n'1','x','y'\n'2','open\n" + "more\n" * 500)
+    faults = check_files(spark, str(tmp_path), {"x": ("'", 3)}).collect()
+    assert [(r["record"], r["first_line"], r["fields"]) for r in faults] == [(3, 2, 2)]
+
+
+def test_ragged_rows_raise_or_are_kept(spark, tmp_path, rows):
+    (tmp_path / "r.csv").write_text("a,b\n1,2,3\n4\n5,NA\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_text_table(spark, str(tmp_path / "r.csv")).collect()
+    kept = read_text_table(spark, str(tmp_path / "r.csv"), ragged="_malformed", na_values=["NA"])
+    assert rows(kept) == [("1", "2", "1,2,3"), ("4", None, "4"), ("5", None, None)]
+
+
+def test_dbf_truncation_raises_and_columns_are_those_of_all_files(spark, tmp_path, rows):
+    write_dbf(tmp_path / "a.dbf", [(b" ", "s1", "1", "20180704")])
+    whole = (tmp_path / "a.dbf").read_bytes()
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "b.dbf").write_bytes(whole[:-8])
+    with pytest.raises(Exception, match="truncated"):
+        read_dbf(spark, str(tmp_path / "cut" / "b.dbf")).collect()
+    (tmp_path / "both").mkdir()
+    (tmp_path / "both" / "a.dbf").write_bytes(whole)
+    (tmp_path / "both" / "b.dbf").write_bytes(whole.replace(b"SPEC\0", b"CODE\0", 1))
+    df = read_dbf(spark, str(tmp_path / "both"))
+    assert df.columns == ["SPEC", "N", "DATE", "CODE"]
+    assert rows(df) == [("s1", "1", "2018-07-04", None), (None, "1", "2018-07-04", "s1")]
+
+
 def test_metadata_rows(spark):
     df = spark.createDataFrame([], "a int, b int")
     got = [(r.table, r.column, r.primary_key) for r in table_metadata({"t": df}).collect()]
