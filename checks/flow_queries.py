@@ -315,6 +315,24 @@ def checklist_volumes(spark, sf_dir):
     return dataset_volumes(warehouse.tables())
 
 
+@query(
+    "rejects_by_reason",
+    """select 'counts' as "table", 'count' as reason, count(*) as n from {kept_obs}
+    where SCIENTIFIC_NAME in (select sci_name from {obs_taxa} where target) and l_orderkey % 11 = 0""",
+)
+def rejects_by_reason(spark, sf_dir):
+    """Unreadable numbers of birds end in the warehouse's rejects, not in its counts."""
+    from checks.views import ROW_ORDER
+    from fieldstar.plans.run_all import ingest as ingest_dataset
+
+    warehouse = Warehouse(spark, staging_path(spark, "warehouse"))
+    warehouse.append(view(spark, sf_dir, "obs_taxa"), "taxa")
+    unreadable = F.when(F.col("l_orderkey") % 11 == 0, F.lit("lots")).otherwise(F.col("OBSERVATION_COUNT"))
+    raw = view(spark, sf_dir, "raw_obs").withColumn("OBSERVATION_COUNT", unreadable)
+    ingest_dataset(spark, warehouse, "ebird", {"checklists": raw}, order=ROW_ORDER)
+    return warehouse.rejects().groupBy("table", "reason").agg(F.count("*").alias("n"))
+
+
 @query(
     "backfill_species",
     f"""select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as count_id,
