@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstar.formats import BAND_KINDS, BAND_RADIUS, BAND_RADIUS_DEFAULT, BAND_TOO_COARSE, BIRDS
+from fieldstar.formats import BAND_CODE_COLUMNS, BAND_KINDS, BAND_RADIUS, BAND_RADIUS_DEFAULT, BAND_TOO_COARSE, BIRDS
 from fieldstar.functions.jsonblob import json_blob
 from fieldstar.functions.numbers import radius_m
 from fieldstar.functions.times import day_of, parse_date, year_of
@@ -19,17 +19,29 @@ from fieldstar.operators.reshape import star_split
 from fieldstar.plans.common import Rows, Tables, last_per_key, of_class, start_ids, tagged
 from fieldstar.schema import conform
 from fieldstar.session import stage
-from fieldstar.sources.html import html_rows
+from fieldstar.sources.html import CELL, TABLE_ROW, strip_tags
 from fieldstar.sources.text import normalize_columns_but_order
 
 PLACE_KEY = ("lng", "lat", "radius")
 
 
-def species_codes(pages: DataFrame, html: str = "html", name_cell: int = 1, code_cell: int = 0) -> DataFrame:
-    """(sci_name, species_id) from the markup rows of the code list's pages."""
-    width = max(name_cell, code_cell) + 1
-    rows = html_rows(pages.select(html), html, [f"cell{i}" for i in range(width)])
-    named = rows.select(F.col(f"cell{name_cell}").alias("sci_name"), F.col(f"cell{code_cell}").alias("species_id"))
+def species_codes(pages: DataFrame, html: str = "html", columns: tuple[str, str] = BAND_CODE_COLUMNS) -> DataFrame:
+    """(sci_name, species_id) from the code list's pages, by the columns that a page's header row names.
+
+    A page without such a header has no codes.
+    """
+    cells = F.transform(
+        F.regexp_extract_all(F.col(html), F.lit(TABLE_ROW), 1),
+        lambda row: F.transform(F.regexp_extract_all(row, F.lit(CELL), 1), strip_tags),
+    )
+    has = lambda row, name: F.coalesce(F.array_contains(row, name), F.lit(False))
+    rows = pages.select(cells.alias("_rows"))
+    header = F.get(F.filter("_rows", lambda row: has(row, columns[0]) & has(row, columns[1])), F.lit(0))
+    found = rows.select(header.alias("_header"), F.explode("_rows").alias("_cells"))
+    place = lambda name: (F.array_position("_header", name) - 1).cast("int")
+    named = found.select(
+        F.get("_cells", place(columns[0])).alias("sci_name"), F.get("_cells", place(columns[1])).alias("species_id")
+    )
     return named.filter(F.col("sci_name").isNotNull() & F.col("species_id").rlike("^[0-9]+$"))
 
 
@@ -76,9 +88,10 @@ def band_records(
     order: Sequence[str] = FILE_ORDER,
     dataset_id: str = "bbl",
 ) -> Rows:
-    """Conform the band records; raw: banding, encounter, recapture, codes."""
+    """Conform the band records; raw: banding, encounter, recapture, and codes or the code_pages they are on."""
     start = start_ids(tables)
-    bridge = code_bridge(raw["codes"], of_class(tables["taxa"], BIRDS))
+    listed = raw["codes"] if "codes" in raw else species_codes(raw["code_pages"])
+    bridge = code_bridge(listed, of_class(tables["taxa"], BIRDS))
     codes = last_per_key(bridge, ["species_id"], "taxon_id")
     rows = stage(usable_records(band_union(raw, order), codes), "bands")
 

@@ -105,13 +105,17 @@ def checklists(
     }
 
 
-def backfill_rows(raw: DataFrame, events: DataFrame, taxa: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Counts of the named species on checklists that are already events."""
+def event_keys(events: DataFrame) -> DataFrame:
+    """(sample_id, event_id): the checklist identifier out of each event's blob."""
+    sample = json_get(F.col("event_json"), EVENT_KEY[0])
+    return last_per_key(events.select(sample.alias("sample_id"), "event_id"), ["sample_id"], "event_id")
+
+
+def backfill_rows(raw: DataFrame, known: DataFrame, taxa: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Counts of the named species on checklists that are already events (`known`: their `event_keys`)."""
     rows = normalize_columns_but_order(raw).filter(F.col("SCIENTIFIC_NAME").isin(*names))
     rows = rename(rows, {"OBSERVATION_COUNT": "count"})
     wanted = taxa.filter(F.col("sci_name").isin(*names)).select("sci_name", "taxon_id")
-    sample = json_get(F.col("event_json"), EVENT_KEY[0])
-    known = last_per_key(events.select(sample.alias("sample_id"), "event_id"), ["sample_id"], "event_id")
     located = lookup(rows, known, {EVENT_KEY[0]: "sample_id"}, ["event_id"], how="inner")
     return count_rows(located, wanted)
 
@@ -126,7 +130,7 @@ def backfill_species(
 ) -> Rows:
     """Add counts of species that were missed before; raw: checklists."""
     events = tables["events"].filter(F.col("dataset_id") == dataset_id)
-    missed = backfill_rows(raw["checklists"], events, tables["taxa"], names)
+    missed = backfill_rows(raw["checklists"], event_keys(events), tables["taxa"], names)
     counts = tagged(assign_ids(missed, "count_id", start_ids(tables)["counts"], order), dataset_id)
     return {
         "counts": conform(counts.filter(F.col("count").isNotNull()), "counts"),

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldstar.operators.filters import extract_bbox
-from fieldstar.operators.keys import first_seen
-from fieldstar.plans.checklists import backfill_rows
-from fieldstar.session import path_exists
+from fieldstar.operators.keys import assign_ids, first_seen, next_id
+from fieldstar.plans.checklists import backfill_rows, event_keys
+from fieldstar.plans.common import tagged
+from fieldstar.schema import SCHEMAS, conform
+from fieldstar.session import path_exists, stage
 
 BATCH = "batch_id"
 
@@ -88,11 +90,28 @@ def stream_bbox(source: DataFrame, target: str, checkpoint: str, lng: tuple, lat
 
 
 def stream_backfill(
-    source: DataFrame, target: str, checkpoint: str, events: DataFrame, taxa: DataFrame, names: Sequence[str]
+    source: DataFrame,
+    target: str,
+    checkpoint: str,
+    events: DataFrame,
+    taxa: DataFrame,
+    names: Sequence[str],
+    start: int = 1,
+    dataset_id: str = "ebird",
+    order: Sequence[str] = ("GLOBAL_UNIQUE_IDENTIFIER",),
 ) -> StreamingQuery:
-    """Counts of missed species, only for checklists that are already events."""
+    """Counts of missed species, only for checklists that are already events, ready to be appended.
+
+    The events' keys are parsed once for the whole stream. Count ids go on
+    from `start`, a batch from the last id of the batches before it, in the
+    given row order; a batch that is run again gets the same ids.
+    """
+    known = stage(event_keys(events), "event-keys")
 
     def step(df: DataFrame, batch_id: int) -> DataFrame:
-        return backfill_rows(df, events, taxa, names)
+        earlier = _before(df.sparkSession, target, SCHEMAS["counts"], batch_id)
+        first = max(start, next_id(earlier, "count_id"))
+        rows = assign_ids(backfill_rows(df, known, taxa, names), "count_id", first, order)
+        return conform(tagged(rows, dataset_id), "counts")
 
     return stream_ingest(source, target, checkpoint, step)

@@ -87,6 +87,10 @@ def test_species_codes_from_markup(spark, rows):
     <tr class=x><td>7</td><td><i>Larus&nbsp;argentatus</i></td></tr><tr><td>8</td><td></td></tr></table>"""
     pages = spark.createDataFrame([(html,)], "html string")
     assert rows(species_codes(pages), "sci_name", "species_id") == [("Larus argentatus", "7")]
+    turned = """<table><tr><td>x</td><th>Scientific Name</th><th>Note</th><th>Species Number</th></tr>
+    <tr><td>1</td><td>Corvus corax</td><td>9</td><td>8</td></tr></table><table><tr><td>no header</td></tr></table>"""
+    pages = spark.createDataFrame([(turned,), ("<p>nothing</p>",)], "html string")
+    assert rows(species_codes(pages), "sci_name", "species_id") == [("Corvus corax", "8")]
 
 
 @pytest.fixture

@@ -81,6 +81,11 @@ def test_backfill_only_known_events(spark, folders, rows):
     stream = ingest.stream_files(spark, source, df.schema, "parquet")
     run(lambda: ingest.stream_backfill(stream, target, progress, events, taxa, ["rare"]))
     assert rows(spark.read.parquet(target), "event_id", "taxon_id", "count") == [(7, 3, -1)]
+    assert rows(spark.read.parquet(target), "count_id", "dataset_id") == [(1, "ebird")]
+    more = observations(spark, ("e", "S1", "rare", "40", "5"), ("d", "S1", "rare", "40", "4"))
+    arrive(more, source)
+    run(lambda: ingest.stream_backfill(stream, target, progress, events, taxa, ["rare"]))
+    assert rows(spark.read.parquet(target), "count_id", "count") == [(1, -1), (2, 4), (3, 5)]
 
 
 def test_empty_batches_are_skipped(spark):
