@@ -1,0 +1,33 @@
+"""Operators do their whole job: one test per shortfall that a review found."""
+
+import random
+
+from fixtures import frame
+
+from fieldstar.llm import maxent_lm
+
+
+def chained(count=400, names=60):
+    """Texts in which most words settle the next one."""
+    rng = random.Random(3)
+    follow = {w: rng.sample(range(names), 2) for w in range(names)}
+    rows = []
+    for i in range(count):
+        word, text = rng.randrange(names), []
+        for _ in range(40):
+            text.append(f"w{word}")
+            word = rng.choice(follow[word]) if rng.random() < 0.9 else rng.randrange(names)
+        rows.append((i, " ".join(text), "s"))
+    return rows
+
+
+def held_out_score(scored):
+    held = [r for r in scored.collect() if r["held_out"]]
+    return sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)
+
+
+def test_language_model_trains_again_from_shared_weights(spark):
+    docs = frame(spark, chained())
+    one, default = (held_out_score(maxent_lm.score_language(docs, **k)) for k in ({"rounds": 1}, {}))
+    print("held-out score per token:", one, default)
+    assert default > one + 0.001
