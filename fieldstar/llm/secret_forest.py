@@ -36,11 +36,14 @@ SEED = 7
 
 TOKEN = r"[A-Za-z0-9+/_=.~-]"
 CREDENTIAL = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|bearer|private[_-]?key)"
+# What may follow the credential word in a name: SECRET_ACCESS_KEY, token-prod. Parts before it need no pattern.
+NAME_PARTS = r"(?:[_.-]{1,2}[A-Za-z0-9]{1,64}+){0,8}+"
 # Each rule's matches are single words or assignments; every quantifier is possessive or bounded.
 RULES = {
     "provider": rf"(?<!{TOKEN})(?:AKIA[0-9A-Z]{{16}}|gh[oprsu]_[A-Za-z0-9]{{36}}|xox[abprs]-[A-Za-z0-9-]{{10,72}}"
     rf"|sk_live_[A-Za-z0-9]{{16,64}}|AIza[A-Za-z0-9_-]{{35}})(?!{TOKEN})",
-    "assigned": rf"(?i)\b{CREDENTIAL}[\"']?[\x20\t]{{0,4}}[:=][\x20\t]{{0,4}}[\"']?[^\x20\x09-\x0D\"']{{8,256}}+",
+    "assigned": rf"(?i)(?<![A-Za-z0-9]){CREDENTIAL}{NAME_PARTS}[\"']?[\x20\t]{{0,4}}[:=][\x20\t]{{0,4}}[\"']?"
+    rf"[^\x20\x09-\x0D\"']{{8,256}}+",
     "generic": rf"(?<!{TOKEN})(?=[^\x20\x09-\x0D]{{0,256}}[0-9])(?=[^\x20\x09-\x0D]{{0,256}}[A-Za-z]){TOKEN}{{16,256}}+",
 }
 NEEDS = {"provider": r"AKIA|gh[oprsu]_|xox|sk_live_|AIza", "assigned": r"[:=]", "generic": r"[0-9]"}
@@ -114,7 +117,7 @@ def _features(found: DataFrame, dictionary: list[str]) -> DataFrame:
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / size,
         "coverage": covered / size,
         "test_path": F.coalesce("_path", F.lit("")).rlike(r"(?i)test|example|sample|fixture|docs?/").cast("double"),
-        "named": F.col("before").rlike(rf"(?i){CREDENTIAL}[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?$").cast("double"),
+        "named": F.col("before").rlike(rf"(?i){CREDENTIAL}{NAME_PARTS}[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?$").cast("double"),
         "before_short": (F.length(last) <= 3).cast("double"),
         "words_before": F.size(F.split(F.trim("before"), r"[\x20\x09-\x0D]+")).cast("double"),
     })

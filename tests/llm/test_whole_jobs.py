@@ -5,6 +5,7 @@ import random
 from fixtures import frame
 
 from fieldstar.llm import maxent_lm
+from fieldstar.llm.secret_forest import scan_secrets
 
 
 def chained(count=400, names=60):
@@ -31,3 +32,24 @@ def test_language_model_trains_again_from_shared_weights(spark):
     one, default = (held_out_score(maxent_lm.score_language(docs, **k)) for k in ({"rounds": 1}, {}))
     print("held-out score per token:", one, default)
     assert default > one + 0.001
+
+
+def spans(spark, rows, rule=None):
+    """(id, text of the span) of every candidate, or of one rule's."""
+    texts = {i: t for i, t, _ in rows}
+    found = scan_secrets(frame(spark, rows)).collect()
+    return {(r["doc_id"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in found if rule in (None, r["rule"])}
+
+
+def test_assignments_to_names_of_several_parts(spark):
+    values = {
+        "DB_PASSWORD=p@ss!w0rd99": "p@ss!w0rd99",
+        "client_secret: hunter2!x": "hunter2!x",
+        "secret_token=s3cr#t-tok": "s3cr#t-tok",
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG": "wJalrXUtnFEMI/K7MDENG",
+        "export CLIENT_SECRET='a%b%c%d%9'": "a%b%c%d%9",
+        '{"prod.api-key.v2": "k$y-0192x"}': "k$y-0192x",
+    }
+    rows = [(i, f"set {text} here", "src/app") for i, text in enumerate(values)]
+    rows += [(50, "compass=northwest9 and mypassword1=abcdefgh9", "src/app")]
+    assert spans(spark, rows, "assigned") == set(enumerate(values.values()))
