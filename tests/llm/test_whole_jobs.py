@@ -53,3 +53,18 @@ def test_assignments_to_names_of_several_parts(spark):
     rows = [(i, f"set {text} here", "src/app") for i, text in enumerate(values)]
     rows += [(50, "compass=northwest9 and mypassword1=abcdefgh9", "src/app")]
     assert spans(spark, rows, "assigned") == set(enumerate(values.values()))
+
+
+def test_long_secrets_come_out_whole(spark):
+    rng = random.Random(9)
+    mixed = lambda n: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    values = [mixed(257), mixed(5000), "x" * 300 + "7" * 100, "7" * 300 + "x" * 100]
+    rows = [(i, f"see {v} here", "src/app") for i, v in enumerate(values)]
+    given = [mixed(257) + "!", mixed(5000) + "%9"]
+    given[0] += "z"
+    rows += [(10 + i, f"password={v} here", "src/app") for i, v in enumerate(given)]
+    slack, live = "xoxb-" + mixed(257), "sk_live_" + mixed(5000)
+    rows += [(20, f"see {slack} here", "src/app"), (21, f"see {live} here", "src/app")]
+    assert spans(spark, rows, "generic") == set(enumerate(values))
+    assert spans(spark, rows, "assigned") == {(10, given[0]), (11, given[1])}
+    assert spans(spark, rows, "provider") == {(20, slack), (21, live)}
