@@ -9,10 +9,12 @@ findings: those given, or by default findings that rules can label surely.
 
 Plan at scale: one pass over the text makes candidates with their features and
 is written once; everything later works on candidates only. The dictionary is
-the DICTIONARY most frequent words of the whole corpus, counted with early
-reduction. The forest is fitted on at most MAX_FINDINGS labelled findings, the
-first by a hash of their value, so that one value which a third of all findings
-share counts once. All of it is built-in functions and Spark's own forest.
+every word of at least MIN_DOCS documents, counted with early reduction and kept
+as a table that is joined to the candidates' runs of letters. The forest is
+fitted on at most MAX_FINDINGS labelled values of each label, the first by a
+hash of the value, so that one value which a third of all findings share counts
+once; the labels weigh the same, however rare one is. All of it is built-in
+functions and Spark's own forest.
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ from fieldstar.llm.common import query, table
 from fieldstar.llm.spans import matches
 from fieldstar.session import stage
 
-DICTIONARY = 2000
+MIN_DOCS = 5
+# Of each label.
 MAX_FINDINGS = 20_000
 TREES = 20
 DEPTH = 6
 ACCEPT = 0.5
+# Changes between letters and digits per character from which a bare token may be random.
+MIXED = 0.1
 SEED = 7
 
 TOKEN = r"[A-Za-z0-9+/_=.~-]"
@@ -91,47 +96,58 @@ def _one_per_place(found: DataFrame) -> DataFrame:
     return met.filter(~beaten).drop("_order", "_at", "_sure")
 
 
-def frequent_words(df: DataFrame, text_col: str, most: int) -> list[str]:
-    """The most frequent lower-case words of 3 to 12 letters: at most `most` of them."""
+def common_words(df: DataFrame, text_col: str, least: int) -> DataFrame:
+    """The lower-case words of 3 to 12 letters that at least `least` documents have: column word."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(r"\p{L}++"), F.lit(0))
-    counted = df.select(F.explode(words).alias("w")).filter(F.length("w").between(3, 12)).groupBy("w").count()
-    return sorted(row["w"] for row in counted.orderBy(F.col("count").desc(), "w").limit(most).collect())
+    words = F.array_distinct(F.filter(words, lambda w: F.length(w).between(3, 12)))
+    counted = df.select(F.explode(words).alias("word")).groupBy("word").count()
+    return counted.filter(F.col("count") >= least).select("word")
 
 
-def _features(found: DataFrame, dictionary: list[str]) -> DataFrame:
+def _covered(found: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Candidates with `covered`, the letters of their values that are dictionary words."""
+    key = ["_row", "start", "rule"]
+    runs = F.split(F.regexp_replace("value", r"([a-z])(?=[A-Z])", "$1 "), r"[^A-Za-z]+", -1)
+    parts = found.select(*key, F.explode(runs).alias("_run")).filter(F.length("_run").between(3, 12))
+    met = parts.join(dictionary, F.lower("_run") == F.col("word"))
+    sums = met.groupBy(*key).agg(F.sum(F.length("_run")).alias("covered"))
+    return found.join(sums, key, "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
+
+
+def _features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     value, size = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / size
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "0")
     same = F.regexp_count(shape, F.lit(r"([aB0])(?=\1)"))
-    runs = F.split(F.regexp_replace(value, r"([a-z])(?=[A-Z])", "$1 "), r"[^A-Za-z]+", -1)
-    known = F.array(*[F.lit(w) for w in dictionary]) if dictionary else F.array().cast("array<string>")
-    covered = F.aggregate(
-        F.filter(runs, lambda r: F.array_contains(known, F.lower(r))), F.lit(0), lambda sum_, r: sum_ + F.length(r)
-    )
     last = F.regexp_extract("before", r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D\"']*$", 1)
-    return found.withColumns({
+    return _covered(found, dictionary).withColumns({
         "length": size,
         "transitions": (size - 1 - same) / size,
         "digits": share("[0-9]"),
         "capitals": share("[A-Z]"),
         "hex": share("[0-9a-fA-F]"),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / size,
-        "coverage": covered / size,
+        "coverage": F.col("covered") / size,
         "test_path": F.coalesce("_path", F.lit("")).rlike(r"(?i)test|example|sample|fixture|docs?/").cast("double"),
         "named": F.col("before").rlike(rf"(?i){CREDENTIAL}{NAME_PARTS}[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?$").cast("double"),
         "before_short": (F.length(last) <= 3).cast("double"),
         "words_before": F.size(F.split(F.trim("before"), r"[\x20\x09-\x0D]+")).cast("double"),
-    })
+    }).drop("covered")
 
 
 def surely_labelled(found: DataFrame) -> DataFrame:
-    """Findings that rules can label: 1 for a secret, 0 for a false positive; the rest are left out."""
+    """Findings that rules can label: 1 for a secret, 0 for a false positive; the rest are left out.
+
+    Among those left out are bare tokens whose digits stand among letters all along, as in a random key.
+    """
     fake = F.col("value").rlike(PLACEHOLDER) | (F.col("coverage") >= 0.5)
     random = (F.col("distinct") * F.col("length") >= 8) & (F.col("digits") > 0) & (F.col("digits") < 1)
+    mixed = F.regexp_count("value", F.lit(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")) / F.col("length") >= MIXED
+    plain = ~mixed & ((F.col("digits") < 0.15) | (F.col("hex") < 0.4))
     label = (
         F.when(fake, 0)
         .when((F.col("rule") != "generic") & random, 1)
-        .when((F.col("rule") == "generic") & (F.col("named") == 0) & ((F.col("digits") < 0.15) | (F.col("hex") < 0.4)), 0)
+        .when((F.col("rule") == "generic") & (F.col("named") == 0) & plain, 0)
     )
     return found.withColumn("label", label.cast("double")).filter("label is not null")
 
@@ -148,30 +164,36 @@ def scan_secrets(
     """One row per candidate: id, start, end, rule, value_sha256, score, is_secret.
 
     Places are code points, end exclusive; the value itself is not returned.
-    `labelled` maps the featurised findings to those with a label column. NULL
+    `labelled` maps the featurised findings to those with a label column, 0 or
+    1; up to `max_findings` distinct values of each label are learnt from. NULL
     and empty texts have no candidates; rows that repeat an id are scanned each.
     Without findings of both labels no forest can be fitted: then a provider's
     format or an assignment scores 1 unless it looks like a placeholder, and
     anything else 0. An empty table gives no row. Other columns are ignored.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
-    dictionary = frequent_words(df, text_col, DICTIONARY)
+    dictionary = common_words(df, text_col, MIN_DOCS)
     found = stage(_candidates(df, id_col, text_col, path), "secret-candidates")
     found = stage(_features(_one_per_place(found), dictionary), "secret-features")
     known = labelled(found).groupBy("value", "label").agg(*[F.max(c).alias(c) for c in FEATURES])
-    known = stage(known.orderBy(F.xxhash64("value"), "value", "label").limit(max_findings), "secret-labels")
+    known = stage(known, "secret-labelled")
+    first = lambda label: known.filter(F.col("label") == label).orderBy(F.xxhash64("value"), "value").limit(max_findings)
+    known = stage(first(0).unionByName(first(1)), "secret-labels")
     out = [
         F.col("_id").alias(id_col), "start", "end", "rule", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
         "score", (F.col("score") >= accept).alias("is_secret"),
     ]
-    if known.select("label").distinct().count() < 2:
+    sizes = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    if len(sizes) < 2:
         plain = (F.col("rule") != "generic") & ~F.col("value").rlike(PLACEHOLDER)
         return found.withColumn("score", plain.cast("double")).select(*out)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label", cacheNodeIds=False
+        numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label", weightCol="weight", cacheNodeIds=False
     )
-    model = forest.fit(assembler.transform(known))
+    half = sum(sizes.values()) / 2
+    weight = F.when(F.col("label") == 1, half / sizes[1.0]).otherwise(half / sizes[0.0])
+    model = forest.fit(assembler.transform(known.withColumn("weight", weight)))
     scored = model.transform(assembler.transform(found))
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*out)
 

@@ -5,7 +5,7 @@ import random
 from fixtures import frame
 
 from fieldstar.llm import maxent_lm
-from fieldstar.llm.secret_forest import scan_secrets
+from fieldstar.llm.secret_forest import MIN_DOCS, common_words, scan_secrets, surely_labelled
 
 
 def chained(count=400, names=60):
@@ -68,3 +68,36 @@ def test_long_secrets_come_out_whole(spark):
     assert spans(spark, rows, "generic") == set(enumerate(values))
     assert spans(spark, rows, "assigned") == {(10, given[0]), (11, given[1])}
     assert spans(spark, rows, "provider") == {(20, slack), (21, live)}
+
+
+def test_rare_secrets_are_learnt_among_many_look_alikes(spark):
+    rng = random.Random(4)
+    rows = [(i, f"use password={rng.randrange(16**18):018x} now", "src/app") for i in range(12)]
+    rows += [(100 + i, f"see mail{i}.hostnumber{i}.com and the build-of-version-{i}x today", "src/app") for i in range(600)]
+    found = scan_secrets(frame(spark, rows), max_findings=40).collect()
+    assert {r["doc_id"] for r in found if r["is_secret"]} == set(range(12))
+    assert any(r["score"] not in (0.0, 1.0) for r in found)  # of the forest, not of the plain rules
+
+
+def test_bare_random_tokens_are_not_taught_as_false_positives(spark):
+    rng = random.Random(6)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "see " + "".join(rng.choice(signs) for _ in range(40)) + " here", "src/app") for i in range(100)]
+    rows += [(200 + i, f"the build-of-version-{i}x today", "src/app") for i in range(100)]
+    taught = []
+
+    def labelled(found):
+        known = surely_labelled(found)
+        taught.extend((r["_id"], r["label"]) for r in known.collect())
+        return known
+
+    scan_secrets(frame(spark, rows), labelled=labelled)
+    assert sum(i < 200 and label == 0 for i, label in taught) <= 2
+    assert sum(i >= 200 and label == 0 for i, label in taught) == 100
+
+
+def test_dictionary_keeps_words_of_few_documents(spark):
+    hot = " ".join("hot" + "".join("abcdefghij"[int(d)] for d in str(i)) for i in range(2500))
+    rows = [(i, hot, "hot") for i in range(8)] + [(100 + i, "walnut harbour meadow", "s") for i in range(6)]
+    words = {r["word"] for r in common_words(frame(spark, rows), "text", MIN_DOCS).collect()}
+    assert {"walnut", "harbour", "meadow"} <= words
