@@ -101,3 +101,13 @@ def test_dictionary_keeps_words_of_few_documents(spark):
     rows = [(i, hot, "hot") for i in range(8)] + [(100 + i, "walnut harbour meadow", "s") for i in range(6)]
     words = {r["word"] for r in common_words(frame(spark, rows), "text", MIN_DOCS).collect()}
     assert {"walnut", "harbour", "meadow"} <= words
+
+
+def test_language_model_keeps_what_few_tasks_met(spark):
+    """Each group of texts has words of its own: their features occur in few of many tasks."""
+    rows = [(i, " ".join(f"g{i % 20}{w}" for w in t.split()), s) for i, t, s in chained(names=20)]
+    docs = frame(spark, rows)
+    few = held_out_score(maxent_lm.score_language(docs.coalesce(1)))
+    many = held_out_score(maxent_lm.score_language(docs.repartition(40)))
+    print("held-out score per token, 1 and 40 partitions:", few, many)
+    assert many > few - 0.02
