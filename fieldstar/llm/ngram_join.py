@@ -282,7 +282,8 @@ def ngram_join(
     ), "candidates")
     keyed = own.select("_id", F.unhex(F.md5(F.coalesce(F.col("_text"), F.lit("")).cast("binary"))).alias("_copy"), "_text")
     texts = keyed.join(wanted, F.col("_copy").eqNullSafe(F.col("_key")) & F.col("_id").eqNullSafe(F.col("_of")))
-    texts = texts.select(F.col("_node").alias("_at"), "_n", "_bands", "_text")
+    # Rows that repeat id and text all meet their node: one text each.
+    texts = texts.select(F.col("_node").alias("_at"), "_n", "_bands", "_text").dropDuplicates(["_at"])
     dealt = groups.join(texts, F.col("_node") == F.col("_at")).select(
         "_hash", "_band", "_lo", "_hi", "_node", "_n", "_block", "_bands", "_text"
     )

@@ -2,9 +2,10 @@
 
 import random
 
-from fixtures import frame
+from fixtures import frame, words
 
 from fieldstar.llm import maxent_lm
+from fieldstar.llm.ngram_join import ngram_join
 from fieldstar.llm.secret_forest import MIN_DOCS, common_words, scan_secrets, surely_labelled
 
 
@@ -111,3 +112,13 @@ def test_language_model_keeps_what_few_tasks_met(spark):
     many = held_out_score(maxent_lm.score_language(docs.repartition(40)))
     print("held-out score per token, 1 and 40 partitions:", few, many)
     assert many > few - 0.02
+
+
+def test_repeated_rows_and_null_ids_are_counted_once_per_row(spark):
+    rng = random.Random(8)
+    one, two = words(rng, 200), words(rng, 200)
+    rows = [(3, one, "s")] * 3 + [(4, one + " changed", "s")] + [(None, two, "s")] * 5 + [(20, two + " changed", "s")]
+    found = ngram_join(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_copies"], r["n_links"]) for r in found) == [
+        *[(0, 5, 5)] * 5, *[(3, 3, 3)] * 3, (4, 1, 3), (20, 1, 5)
+    ]
