@@ -106,12 +106,31 @@ def streamed(spark, df, start, columns, files_per_batch=2):
     return ingest.read_target(spark, target, T.StructType.fromDDL(columns)).drop(ingest.BATCH)
 
 
-@query("stream_first_seen", "select distinct user_id, event_type from {events}")
-def stream_first_seen(spark, sf_dir):
-    def start(source, target, progress):
-        return ingest.stream_first_seen(source, target, progress, ["user_id", "event_type"], ["ts", "event_id"])
+def arriving(df, parts, step):
+    """Folder that the rows reach file by file: first those of part 0, then those of part 1, and so on."""
+    path = staging_path(df.sparkSession, "incoming")
+    for k in range(step):
+        df.filter(parts == k).coalesce(1).write.mode("append").parquet(path)
+    return path
 
-    return streamed(spark, table(spark, sf_dir, "events"), start, "user_id long, event_type string")
+
+@query(
+    "stream_first_seen",
+    """select event_id, user_id, event_type, epoch_us(ts) as seen, value from (
+      select *, row_number() over (partition by user_id, event_type order by event_id % 3, ts, event_id) as n
+      from {events}) where n = 1""",
+)
+def stream_first_seen(spark, sf_dir):
+    """Whole rows: which one wins goes by file, then by time."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    source = ingest.stream_files(spark, arriving(rows, F.col("event_id") % 3, 3), rows.schema, "parquet", 1)
+    target = staging_path(spark, "target")
+    query = ingest.stream_first_seen(
+        source, target, staging_path(spark, "progress"), ["user_id", "event_type"], ["ts", "event_id"]
+    )
+    query.awaitTermination()
+    found = ingest.read_target(spark, target, rows.schema)
+    return found.select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("seen"), "value")
 
 
 @query(
@@ -137,7 +156,8 @@ MISSED = ["red widget 1", "blue plate 7", "hot rod 3", "old anvil 12", "small ri
     f"""select l_orderkey as event_id, taxon_id,
       case when OBSERVATION_COUNT = 'X' then -1 else cast(OBSERVATION_COUNT as int) end as count,
       cast(json_object('SCIENTIFIC_NAME', SCIENTIFIC_NAME, 'GLOBAL_UNIQUE_IDENTIFIER', GLOBAL_UNIQUE_IDENTIFIER)
-        as varchar) as count_json
+        as varchar) as count_json, 'ebird' as dataset_id,
+      1000 + row_number() over (order by l_orderkey % 3, GLOBAL_UNIQUE_IDENTIFIER) as count_id
     from {{raw_obs}} join {{obs_taxa}} on sci_name = SCIENTIFIC_NAME join {{orders}} on o_orderkey = l_orderkey
     where sci_name in ({', '.join(repr(n) for n in MISSED)}) and o_orderstatus <> 'F'""",
 )
@@ -147,11 +167,13 @@ def stream_backfill(spark, sf_dir):
     events = orders.select(F.col("o_orderkey").alias("event_id"), F.to_json(F.struct(name)).alias("event_json"))
     taxa = view(spark, sf_dir, "obs_taxa")
 
-    def start(source, target, progress):
-        return ingest.stream_backfill(source, target, progress, events, taxa, MISSED)
-
-    columns = "event_id long, taxon_id long, `count` int, count_json string"
-    return streamed(spark, view(spark, sf_dir, "raw_obs"), start, columns)
+    rows = view(spark, sf_dir, "raw_obs")
+    source = ingest.stream_files(spark, arriving(rows, F.col("l_orderkey") % 3, 3), rows.schema, "parquet", 1)
+    target = staging_path(spark, "target")
+    query = ingest.stream_backfill(source, target, staging_path(spark, "progress"), events, taxa, MISSED, start=1001)
+    query.awaitTermination()
+    columns = "count_id long, event_id long, dataset_id string, taxon_id long, `count` int, count_json string"
+    return ingest.read_target(spark, target, T.StructType.fromDDL(columns)).drop(ingest.BATCH)
 
 
 def write_dbf(path, fields):

@@ -199,45 +199,45 @@ select *, row_number() over (order by {ORDER_SQL}) as event_id from (
 """
 
 
-@query(
-    "star_places",
-    f"""select place_id, lng, lat, case when EFFORT_DISTANCE_KM is null then null
+STAR_PLACES = f"""select place_id, lng, lat, case when EFFORT_DISTANCE_KM is null then null
       else coalesce(try_cast(EFFORT_DISTANCE_KM as double), 0) * 1000 end as radius,
       cast(json_merge_patch('{{{{}}}}', json_object('STATE_CODE', STATE_CODE, 'LOCALITY_TYPE', nullif(LOCALITY_TYPE, '')))
-        as varchar) as place_json from ({PLACE_ROWS})""",
-)
+        as varchar) as place_json from ({PLACE_ROWS})"""
+
+
+@query("star_places", STAR_PLACES)
 def star_places(spark, sf_dir):
     (places,) = numbered(spark, sf_dir, "places")
     return places.select("place_id", "lng", "lat", "radius", "place_json")
 
 
-@query(
-    "star_events",
-    f"""select event_id, p.place_id, cast(year(seen) as int) as year, cast(dayofyear(seen) as int) as day,
+STAR_EVENTS = f"""select event_id, p.place_id, cast(year(seen) as int) as year, cast(dayofyear(seen) as int) as day,
       substr(TIME_OBSERVATIONS_STARTED, 1, 5) as started,
       strftime(cast('2000-01-01 ' || TIME_OBSERVATIONS_STARTED as timestamp)
         + to_minutes(try_cast(DURATION_MINUTES as bigint)), '%H:%M') as ended,
       cast(json_merge_patch('{{{{}}}}', json_object('SAMPLING_EVENT_IDENTIFIER', SAMPLING_EVENT_IDENTIFIER,
         'APPROVED', APPROVED, 'ALL_SPECIES_REPORTED', ALL_SPECIES_REPORTED, 'OBSERVATION_DATE', OBSERVATION_DATE,
         'DURATION_MINUTES', DURATION_MINUTES)) as varchar) as event_json
-    from ({EVENT_ROWS}) e join (select place_id, lng, lat from ({PLACE_ROWS})) p using (lng, lat)""",
-)
+    from ({EVENT_ROWS}) e join (select place_id, lng, lat from ({PLACE_ROWS})) p using (lng, lat)"""
+
+
+@query("star_events", STAR_EVENTS)
 def star_events(spark, sf_dir):
     places, events = numbered(spark, sf_dir, "places", "events")
     events = lookup(events, places, PLACE_KEY, ["place_id"])
     return events.select("event_id", "place_id", "year", "day", "started", "ended", "event_json")
 
 
-@query(
-    "star_counts",
-    f"""select count_id, event_id, taxon_id, case when OBSERVATION_COUNT = 'X' then -1
+STAR_COUNTS = f"""select count_id, event_id, taxon_id, case when OBSERVATION_COUNT = 'X' then -1
       else cast(OBSERVATION_COUNT as int) end as count,
       cast(json_object('SCIENTIFIC_NAME', SCIENTIFIC_NAME, 'GLOBAL_UNIQUE_IDENTIFIER', GLOBAL_UNIQUE_IDENTIFIER)
         as varchar) as count_json
     from (select k.*, taxon_id, row_number() over (order by {ORDER_SQL}) as count_id
       from {{kept_obs}} k join {{obs_taxa}} t on t.sci_name = k.SCIENTIFIC_NAME where target) c
-    join (select event_id, SAMPLING_EVENT_IDENTIFIER from ({EVENT_ROWS})) using (SAMPLING_EVENT_IDENTIFIER)""",
-)
+    join (select event_id, SAMPLING_EVENT_IDENTIFIER from ({EVENT_ROWS})) using (SAMPLING_EVENT_IDENTIFIER)"""
+
+
+@query("star_counts", STAR_COUNTS)
 def star_counts(spark, sf_dir):
     events, counts = numbered(spark, sf_dir, "events", "counts")
     counts = lookup(counts, events, EVENT_KEY, ["event_id"])
@@ -253,3 +253,39 @@ def radius_case(spark, sf_dir):
     table_ = {30.92: ("AUTOMOBILE",), 30.92 * 5: ("BUILDING",), 111.32 * 1000 * 10: ("MACHINERY", "HOUSEHOLD")}
     rows = table(spark, sf_dir, "customer")
     return rows.select("c_custkey", radius_m(F.col("c_mktsegment"), table_).alias("radius"))
+
+
+def by_arrival(sql):
+    """The oracle's text with rows taken in the order in which the stream gets them."""
+    return sql.replace(f"order by {ORDER_SQL}", f"order by l_orderkey % 3, {ORDER_SQL}")
+
+
+def streamed_star(spark, sf_dir):
+    """The checklist star grown from three files, one after the other."""
+    from checks.flow_queries import arriving
+    from fieldstar.session import staging_path
+    from fieldstar.streaming.ingest import stream_files
+    from fieldstar.streaming.star import StreamedStar, stream_checklists
+
+    rows = view(spark, sf_dir, "raw_obs")
+    source = stream_files(spark, arriving(rows, F.col("l_orderkey") % 3, 3), rows.schema, "parquet", 1)
+    root = staging_path(spark, "streamed-star")
+    taxa = view(spark, sf_dir, "obs_taxa")
+    stream_checklists(source, root, staging_path(spark, "progress"), taxa, ROW_ORDER).awaitTermination()
+    return StreamedStar(spark, root)
+
+
+@query("stream_checklists_places", by_arrival(STAR_PLACES))
+def stream_checklists_places(spark, sf_dir):
+    return streamed_star(spark, sf_dir).load("places").select("place_id", "lng", "lat", "radius", "place_json")
+
+
+@query("stream_checklists_events", by_arrival(STAR_EVENTS))
+def stream_checklists_events(spark, sf_dir):
+    events = streamed_star(spark, sf_dir).load("events")
+    return events.select("event_id", "place_id", "year", "day", "started", "ended", "event_json")
+
+
+@query("stream_checklists_counts", by_arrival(STAR_COUNTS))
+def stream_checklists_counts(spark, sf_dir):
+    return streamed_star(spark, sf_dir).load("counts").select("count_id", "event_id", "taxon_id", "count", "count_json")

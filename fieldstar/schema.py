@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -85,12 +86,13 @@ RULES: dict[str, Rules] = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project onto a table's column contract, adding typed NULLs for absent columns."""
+def conform(df: DataFrame, table: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Project onto a table's column contract, adding typed NULLs for absent columns; `keep` stays beside it."""
     known = {c.lower() for c in df.columns}
     return df.select(
         *[
             (F.col(f"`{f.name}`") if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in SCHEMAS[table].fields
-        ]
+        ],
+        *[F.col(f"`{c}`") for c in keep],
     )

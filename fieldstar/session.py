@@ -6,7 +6,7 @@ import pathlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,15 +101,58 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; its new parent is made if needed."""
+    fs, old = _file_system(spark, source)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears at once: beside, then renamed."""
+    beside = f"{path}.{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, beside)
+    fs.mkdirs(target.getParent())
+    out = fs.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    delete_path(spark, path)
+    move_path(spark, beside, path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None if it is not there."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def list_paths(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    fs, target = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def file_states(spark: SparkSession, paths: Iterable[str]) -> Iterator[tuple[str, int, int]]:
+    """(path, length, time of change) of files: metadata only, no content is read."""
+    for path in paths:
+        fs, target = _file_system(spark, path)
+        status = fs.getFileStatus(target)
+        yield path, status.getLen(), status.getModificationTime()
+
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the workers this package, once per application.
-
-    Only the two places that run Python in tasks (packing points, reading
-    binary files) need it; everything else is evaluated in the JVM.
-    """
+    """Give the workers this package, once per application: whatever runs Python in tasks needs it."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,11 +10,14 @@ from pyspark.sql import functions as F
 
 from fieldstar.operators.joins import lookup
 from fieldstar.schema import SCHEMAS, TABLES, conform
-from fieldstar.session import delete_path, path_exists, stage
+from fieldstar.session import delete_path, list_paths, move_path, path_exists, read_note, write_note
 
 PARTITIONED = ("datasets", "places", "events", "counts")
 PARTITION = "dataset_id"
 REJECTS = "dataset_id string, `table` string, reason string, row string"
+RUNS = "dataset_id string, fingerprint string, finished timestamp"
+SIDE_TABLES = ("rejects", "runs")  # by dataset too, but no part of the star
+BESIDE, READY = "_beside", "_ready"
 
 # What slices are cut by: rows are written in this order within each file, so
 # the row groups' statistics skip the seasons and latitudes not asked for.
@@ -70,45 +74,124 @@ class Warehouse:
         for table in PARTITIONED:
             delete_path(self.spark, f"{self.path(table)}/{PARTITION}={dataset_id}")
 
-    def register_dataset(self, meta: Mapping[str, str]) -> None:
-        """Write the dataset's registry row, stamped with the current time."""
+    def commit(
+        self, dataset_id: str, slices: Mapping[str, DataFrame], whole: Mapping[str, DataFrame] | None = None
+    ) -> None:
+        """Replace a dataset's rows in every table that has any, and whole tables with them, in one step.
+
+        All frames are written beside the tables first; nothing of the old rows
+        is touched before the last write is done. Then a note lists what was
+        written, and folders are renamed into place. A session that dies among
+        the writes leaves the old rows; one that dies among the renames leaves
+        the note, and `recover` ends its work. A table without a slice loses
+        the dataset's rows; the taxonomy is shared and only replaced as a whole.
+        """
+        self.recover()
+        beside = self._beside(dataset_id)
+        delete_path(self.spark, beside)
+        for table, df in slices.items():
+            slice_ = (conform(df, table) if table in SCHEMAS else df).withColumn(PARTITION, F.lit(dataset_id))
+            self._writer(slice_, table).parquet(f"{beside}/{table}")
+        for table, df in (whole or {}).items():
+            conform(df, table).write.parquet(f"{beside}/{table}")
+        note = {"dataset": dataset_id, "slices": list(slices), "whole": list(whole or {})}
+        write_note(self.spark, f"{beside}/{READY}", json.dumps(note))
+        self._move_in(dataset_id)
+
+    def recover(self) -> list[str]:
+        """End the commits of sessions that died while they moved folders; returns their datasets."""
+        waiting = [n for n in list_paths(self.spark, self.path(BESIDE)) if self._note(n)]
+        for name in waiting:
+            self._move_in(name)
+        return waiting
+
+    def _beside(self, dataset_id: str) -> str:
+        return f"{self.root}/{BESIDE}/{dataset_id}"
+
+    def _note(self, dataset_id: str) -> dict | None:
+        text = read_note(self.spark, f"{self._beside(dataset_id)}/{READY}")
+        return json.loads(text) if text else None
+
+    def _move_in(self, dataset_id: str) -> None:
+        """Move what a commit has written into place; a second run goes on where the first one ended."""
+        note, beside = self._note(dataset_id), self._beside(dataset_id)
+        for table in note["whole"]:
+            self._swap(f"{beside}/{table}", self.path(table))
+        slice_ = f"{PARTITION}={dataset_id}"
+        for table in (*PARTITIONED, *SIDE_TABLES):
+            live = f"{self.path(table)}/{slice_}"
+            written = table in note["slices"]
+            if written and not path_exists(self.spark, f"{beside}/{table}"):
+                continue  # moved by an earlier run
+            if written and path_exists(self.spark, f"{beside}/{table}/{slice_}"):
+                self._swap(f"{beside}/{table}/{slice_}", live)
+            else:
+                delete_path(self.spark, live)  # no rows, or no such table in this commit
+            delete_path(self.spark, f"{beside}/{table}")
+        delete_path(self.spark, beside)
+
+    def _swap(self, written: str, live: str) -> None:
+        if path_exists(self.spark, written):
+            delete_path(self.spark, live)
+            move_path(self.spark, written, live)
+
+    def registry_row(self, meta: Mapping[str, str]) -> DataFrame:
+        """The dataset's registry row, stamped with the current time."""
         names = ("dataset_id", "title", "version", "url")
         row = self.spark.createDataFrame(
             [tuple(meta.get(n) for n in names)], ", ".join(f"{n} string" for n in names)
         )
-        self.replace_dataset(row.withColumn("extracted", F.current_timestamp()), "datasets", meta["dataset_id"])
+        return row.withColumn("extracted", F.current_timestamp())
+
+    def register_dataset(self, meta: Mapping[str, str]) -> None:
+        """Write the dataset's registry row."""
+        self.replace_dataset(self.registry_row(meta), "datasets", meta["dataset_id"])
+
+    def _side(self, table: str, schema: str) -> DataFrame:
+        if not self.exists(table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def rejects(self) -> DataFrame:
         """Rows that the declared rules kept out: dataset_id, table, reason, row (JSON)."""
-        if not self.exists("rejects"):
-            return self.spark.createDataFrame([], REJECTS)
-        return self.spark.read.schema(REJECTS).parquet(self.path("rejects"))
+        return self._side("rejects", REJECTS)
+
+    def runs(self) -> DataFrame:
+        """The ledger: one row per dataset that was ingested to its end, with the fingerprint of its input."""
+        return self._side("runs", RUNS)
 
-    def replace_rejects(self, df: DataFrame, dataset_id: str) -> None:
-        """Make `df` the only rejects of that dataset."""
-        delete_path(self.spark, f"{self.path('rejects')}/{PARTITION}={dataset_id}")
-        slice_ = df.withColumn(PARTITION, F.lit(dataset_id))
-        slice_.write.partitionBy(PARTITION).mode("append").parquet(self.path("rejects"))
+    def updated(self, table: str, changes: DataFrame, key: str, col: str) -> DataFrame:
+        """The table with one column back-filled from (key, col) rows."""
+        return back_filled(self.load(table), changes, key, col)
 
     def update_column(self, table: str, changes: DataFrame, key: str, col: str) -> None:
-        """Back-fill one column of an unpartitioned table from (key, col) rows."""
-        table_df = self.load(table)
-        filled = lookup(table_df, changes, key, {col: "_new"})
-        updated = filled.withColumn(col, F.coalesce("_new", col)).drop("_new")
-        stage(conform(updated, table), table).write.mode("overwrite").parquet(self.path(table))
+        """Back-fill one column of an unpartitioned table from (key, col) rows.
+
+        The new table is written beside the old one and renamed into its place.
+        """
+        beside = f"{self.root}/{BESIDE}-{table}"
+        delete_path(self.spark, beside)
+        conform(self.updated(table, changes, key, col), table).write.parquet(beside)
+        self._swap(beside, self.path(table))
 
     def drop(self, table: str) -> None:
         """Remove the table and its files, if it is there."""
         delete_path(self.spark, self.path(table))
 
     def _writer(self, df: DataFrame, table: str):
-        if table not in PARTITIONED:
+        if table not in (*PARTITIONED, *SIDE_TABLES):
             return df.write
         if table in CLUSTERED:
             df = df.sortWithinPartitions(PARTITION, *CLUSTERED[table])
         return df.write.partitionBy(PARTITION)
 
 
+def back_filled(table: DataFrame, changes: DataFrame, key: str, col: str) -> DataFrame:
+    """The frame with one column replaced where (key, col) rows have a value for it."""
+    filled = lookup(table, changes, key, {col: "_new"})
+    return filled.withColumn(col, F.coalesce("_new", col)).drop("_new")
+
+
 def stage_view(df: DataFrame, name: str) -> DataFrame:
     """Give an intermediate frame a name for SQL, replacing an earlier one."""
     df.createOrReplaceTempView(name)

@@ -1,26 +1,27 @@
 """Incremental ingest of append-only raw files with Structured Streaming.
 
-Keys have no event-time bound, so the target table itself is the state: each
-micro-batch is anti-joined with what earlier batches wrote. A batch writes
-into its own `batch_id` partition and overwrites it, so a batch that is
-replayed after a failure leaves the table as if it had run once.
+A batch writes into its own `batch_id` partition and overwrites it, so a batch
+that is replayed after a failure leaves the table as if it had run once. Which
+keys have been seen is kept in Spark's state store, on disk: a batch costs what
+its own rows cost, however much was written before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from fieldstar.operators.filters import extract_bbox
-from fieldstar.operators.keys import assign_ids, first_seen, next_id
+from fieldstar.operators.keys import assign_ids, next_id
 from fieldstar.plans.checklists import backfill_rows, event_keys
 from fieldstar.plans.common import tagged
 from fieldstar.schema import SCHEMAS, conform
-from fieldstar.session import path_exists, stage
+from fieldstar.session import path_exists, ship_package, stage
 
 BATCH = "batch_id"
 
@@ -71,15 +72,93 @@ def stream_ingest(
     return writer.trigger(availableNow=True).start()
 
 
+ORDERED = (
+    T.StringType,
+    T.BooleanType,
+    T.IntegralType,
+    T.FloatType,
+    T.DoubleType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def _sortable(schema: T.StructType, name: str) -> list[Column]:
+    """Columns without NULLs that sort like the given one (NULL first), structs field by field."""
+
+    def parts(kind: T.DataType, c: Column) -> list[Column]:
+        if isinstance(kind, T.StructType):
+            return [c.isNotNull(), *[p for f in kind.fields for p in parts(f.dataType, c[f.name])]]
+        if not isinstance(kind, ORDERED):
+            raise TypeError(f"rows cannot be ordered by {name}: {kind.simpleString()}")
+        least = F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast("int").cast("boolean")
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            c, least = F.unix_micros(c.cast("timestamp")), F.lit(0).cast("long")
+        elif not isinstance(kind, (T.StringType, T.BooleanType)):
+            least = F.lit(0).cast(kind)
+        return [c.isNotNull(), F.coalesce(c, least)]
+
+    return parts(schema[name].dataType, F.col(f"`{name}`"))
+
+
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def new_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Streaming frame of the first row (by `order`, within its batch) of every key no earlier batch has brought.
+
+    The state is one flag per key. Map tasks send one row per key and Arrow
+    batch at most, so a key that holds a third of a batch costs no more than
+    any other. Rows travel as text that keeps every value, keys too; NULL is a
+    key like any other.
+    """
+    schema = source.schema
+    parts = [p for c in order for p in _sortable(schema, c)]
+    names = [f"_o{i}" for i in range(len(parts))]
+    packed = source.select(
+        F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), JSON).alias("_key"),
+        F.to_json(F.struct("*"), JSON).alias("_row"),
+        *[p.alias(n) for n, p in zip(names, parts, strict=True)],
+    )
+
+    def least(frame):
+        return frame.sort_values(names, kind="stable").drop_duplicates("_key")
+
+    def reduced(frames):
+        for frame in frames:
+            yield least(frame)
+
+    def pick(key, frames, state):
+        import pandas as pd
+
+        if state.exists:
+            return
+        first = least(pd.concat([least(f) for f in frames]))
+        state.update((True,))
+        yield first[["_row"]]
+
+    ship_package(source.sparkSession)
+    once = packed.mapInPandas(reduced, packed.schema)
+    found = once.groupBy("_key").applyInPandasWithState(
+        pick, "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
+    return found.select(F.from_json("_row", schema, JSON).alias("_r")).select("_r.*")
+
+
 def stream_first_seen(
     source: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
 ) -> StreamingQuery:
-    """First row per key over all batches; later rows of a known key are dropped."""
+    """First row per key over all batches; later rows of a known key are dropped.
 
-    def step(df: DataFrame, batch_id: int) -> DataFrame:
-        return first_seen(df, _before(df.sparkSession, target, df.schema, batch_id), keys, order)
-
-    return stream_ingest(source, target, checkpoint, step)
+    "First" is by batch, and within a batch by `order`.
+    """
+    spark = source.sparkSession
+    if spark.conf.get(STATE_STORE, "") != ROCKS_DB:
+        spark.conf.set(STATE_STORE, ROCKS_DB)
+    return stream_ingest(new_keys(source, keys, order), target, checkpoint, lambda df, _: df)
 
 
 def stream_bbox(source: DataFrame, target: str, checkpoint: str, lng: tuple, lat: tuple, **clauses: bool) -> StreamingQuery:
