@@ -378,3 +378,115 @@ def backfill_species_query(spark, sf_dir):
     tables = {**empty, "events": conform(events, "events"), "taxa": conform(view(spark, sf_dir, "obs_taxa"), "taxa")}
     made = backfill_species(spark, {"checklists": view(spark, sf_dir, "raw_obs")}, tables, MISSED, ROW_ORDER)
     return made["counts"].select("count_id", "event_id", "taxon_id", "count")
+
+
+@query(
+    "import_splits",
+    f"""select place_id, p.dataset_id, lng, lat, {PLACE_TEXTS} as place_json, true as many_tasks
+    from {{places}} p join {{customer}} on place_id = c_custkey""",
+)
+def import_splits(spark, sf_dir):
+    """One exported file, cells with line breaks and all, imported by several tasks."""
+    path, setting = staging_path(spark, "export"), "spark.sql.files.maxPartitionBytes"
+    places = written_places(spark, sf_dir).coalesce(1)
+    export_csv({"places": places}, "places", path)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1024")
+    try:
+        back = import_tables(spark, path, {"places": ["places.csv"]})["places"]
+        splits = spark.read.text(f"{path}/places.csv").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set(setting, before)
+    return back.select("place_id", "dataset_id", "lng", "lat", "place_json", F.lit(splits >= 4).alias("many_tasks"))
+
+
+@query(
+    "registry_rows",
+    """select cast(n_nationkey as varchar) as dataset_id, case when n_nationkey % 2 = 0 then 'again ' || n_name else n_name end
+      as title, 'v1' as version, true as stamped from {nation}""",
+)
+def registry_rows(spark, sf_dir):
+    """Datasets registered, some of them twice: the last row holds."""
+    warehouse = Warehouse(spark, staging_path(spark, "warehouse"))
+    for row in view(spark, sf_dir, "datasets").orderBy("dataset_id").collect():
+        meta = row.asDict()
+        warehouse.register_dataset(meta)
+        if int(meta["dataset_id"]) % 2 == 0:
+            warehouse.register_dataset({**meta, "title": f"again {meta['title']}"})
+    stamped = F.col("extracted").isNotNull().alias("stamped")
+    return warehouse.load("datasets").select("dataset_id", "title", "version", stamped)
+
+
+@query(
+    "report_read_back",
+    """select cast(p_partkey as varchar) as p_partkey, nullif(note, '') as note from (
+      select p_partkey, ' "a", ' || p_name || ' ' as note from {part} where p_size <= 25
+      union all select p_partkey, case when p_partkey % 2 = 0 then '' else p_brand end from {part} where p_size > 25)""",
+)
+def report_read_back(spark, sf_dir):
+    """Two frames written as one report, and read back as text."""
+    from fieldstar.sinks.files import write_report
+    from fieldstar.sources.text import read_text_table
+
+    part, path = table(spark, sf_dir, "part"), staging_path(spark, "report")
+    noted = F.concat(F.lit(' "a", '), "p_name", F.lit(" "))
+    small = part.filter("p_size <= 25").select("p_partkey", noted.alias("note"))
+    large = part.filter("p_size > 25").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "").otherwise(F.col("p_brand")).alias("note"))
+    write_report([small, large], path)
+    return read_text_table(spark, path).select("p_partkey", F.nullif("note", F.lit("")).alias("note"))
+
+
+@query(
+    "text_typed",
+    """select o_orderkey, case when o_orderkey % 7 = 0 then null else cast(o_totalprice as double) end as price,
+      cast(o_orderdate as date) = cast(o_orderdate as date) as dated from {orders}""",
+)
+def text_typed(spark, sf_dir):
+    """Delimited text under a schema: cells that do not fit their type are NULL."""
+    from fieldstar.sources.text import read_text_table
+
+    path = staging_path(spark, "typed")
+    price = F.when(F.col("o_orderkey") % 7 == 0, "dear").otherwise(F.col("o_totalprice").cast("double").cast("string"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", price.alias("price"), F.to_date("o_orderdate").alias("day"))
+    rows.write.option("header", True).csv(path)
+    found = read_text_table(spark, path, schema=T.StructType.fromDDL("o_orderkey long, price double, day date"))
+    return found.select("o_orderkey", "price", F.col("day").isNotNull().alias("dated"))
+
+
+@query(
+    "taxon_json_changes",
+    """select min(p_partkey) as taxon_id, arg_max(p_brand, row(p_size, p_partkey)) as brand,
+      arg_max(p_type, row(p_size, p_partkey)) as kind, 1 as kept from {part} group by p_name""",
+)
+def taxon_json_changes_query(spark, sf_dir):
+    """A source's fields merged into known taxa: one to many names, the last row wins."""
+    from fieldstar.functions.jsonblob import json_get
+    from fieldstar.plans.common import taxon_json_changes
+
+    part = table(spark, sf_dir, "part")
+    taxa = part.groupBy(F.col("p_name").alias("sci_name")).agg(F.min("p_partkey").alias("taxon_id"))
+    taxa = taxa.withColumn("taxon_json", F.lit('{"kept":1,"BRAND":"old"}'))
+    named = part.select(
+        F.col("p_name").alias("sci_name"), F.col("p_brand").alias("BRAND"), F.col("p_type").alias("KIND"), "p_size", "p_partkey"
+    )
+    changes = taxon_json_changes(taxa, named, "BRAND KIND", ["p_size", "p_partkey"])
+    get = lambda key: json_get(F.col("taxon_json"), key)
+    return changes.select(
+        "taxon_id", get("BRAND").alias("brand"), get("KIND").alias("kind"), get("kept").cast("int").alias("kept")
+    )
+
+
+@query(
+    "code_bridge_ties",
+    """select cast(p_partkey % 40 as varchar) as species_id, arg_max(p_partkey, (p_size, p_partkey)) as taxon_id
+    from {part} group by 1""",
+)
+def code_bridge_ties(spark, sf_dir):
+    """Codes that a list gives many times: the last one in list order holds, not the largest id."""
+    from fieldstar.operators.joins import code_bridge
+
+    part = table(spark, sf_dir, "part")
+    name = F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("sci_name")
+    codes = part.select(name, (F.col("p_partkey") % 40).cast("string").alias("species_id"), "p_size", "p_partkey")
+    taxa = part.select(name, F.col("p_partkey").alias("taxon_id"))
+    return code_bridge(codes, taxa, width=1, order=["p_size", "p_partkey"])

@@ -289,3 +289,72 @@ def stream_checklists_events(spark, sf_dir):
 @query("stream_checklists_counts", by_arrival(STAR_COUNTS))
 def stream_checklists_counts(spark, sf_dir):
     return streamed_star(spark, sf_dir).load("counts").select("count_id", "event_id", "taxon_id", "count", "count_json")
+
+
+def in_files(spark, rows, name):
+    """The rows written in their order, file after file, and read back in file order."""
+    from fieldstar.session import staging_path
+    from fieldstar.sources.text import with_row_order
+
+    path = staging_path(spark, name)
+    by = [F.col(c) for c in ROW_ORDER]
+    rows.repartitionByRange(6, *by).sortWithinPartitions(*by).write.parquet(path)
+    return with_row_order(spark.read.schema(rows.schema).parquet(path))
+
+
+@query(
+    "assign_ids_in_place",
+    f"""select {ORDER_SQL}, 1000 + row_number() over (order by {ORDER_SQL}) as count_id
+    from {{lineitem}} where l_linenumber <> 3""",
+)
+def assign_ids_in_place(spark, sf_dir):
+    """Rows numbered where they stand in their files, some filtered out before."""
+    rows = in_files(spark, table(spark, sf_dir, "lineitem").select(*ROW_ORDER), "in-place").filter("l_linenumber <> 3")
+    return keys.assign_ids(rows, "count_id", 1001, keys.FILE_ORDER).select(*ROW_ORDER, "count_id")
+
+
+@query("star_counts_in_files", STAR_COUNTS)
+def star_counts_in_files(spark, sf_dir):
+    """The counts of raw files, numbered in file order without being moved for it."""
+    from fieldstar.plans.checklists import split_checklists
+
+    rows = stage(usable_checklists(in_files(spark, view(spark, sf_dir, "raw_obs"), "raw")), "checklists")
+    taxa = target_taxa(view(spark, sf_dir, "obs_taxa"))
+    start = {"places": 1, "events": 1, "counts": 1}
+    counts = split_checklists(rows, taxa, keys.FILE_ORDER, start)[2]
+    return counts.select("count_id", "event_id", "taxon_id", "count", "count_json")
+
+
+INCREMENT = """
+select 'places' as table_name, 'unique' as rule, 'place_id' as column_name, cast(place_id as varchar) as key, 2 as n
+from {places} where place_id % 100 = 0
+union all
+select 'events', 'unique', 'event_id', cast(event_id as varchar), 2 from {visits} where event_id % 200 = 7
+union all
+select 'events', 'references places', 'place_id', cast(place_id + 1000000000 as varchar), count(*)
+from {visits} where event_id % 200 = 7 group by place_id
+union all
+select 'counts', 'not null', 'count', null, count(*) from {tallies} where event_id % 9 = 0 and count < 0 having count(*) > 0
+"""
+
+
+@query("check_increment", INCREMENT)
+def check_increment_query(spark, sf_dir):
+    """Rules on added rows: repeated keys, parents nobody has, missing counts; stored keys are known by their filters."""
+    from fieldstar.operators.increments import check_increment, key_filter
+
+    places, visits = view(spark, sf_dir, "places"), view(spark, sf_dir, "visits")
+    tallies = view(spark, sf_dir, "tallies")
+    late = F.col("event_id") % 9 == 0
+    stored = {"places": places, "events": visits.filter(~late), "counts": tallies.filter(~late & (F.col("count") >= 0))}
+    again = visits.filter("event_id % 200 = 7").withColumn("place_id", F.col("place_id") + 10**9)
+    both = visits.filter(late & ~(F.col("event_id") % 200 == 7)).unionByName(again.filter(~late))
+    twice = again.filter(late)
+    added = {
+        "places": places.filter("place_id % 100 = 0"),
+        "events": both.unionByName(twice).unionByName(twice.withColumn("place_id", F.lit(None).cast("long"))),
+        "counts": tallies.filter(late).withColumn("count", F.when(F.col("count") >= 0, F.col("count"))),
+    }
+    columns = {"places": ["place_id"], "events": ["event_id"]}
+    filters = {t: {c: key_filter(stored[t], c, 100_000) for c in cs} for t, cs in columns.items()}
+    return check_increment(stored, added, filters)

@@ -289,7 +289,7 @@ from {orders}
 """
 
 
-def walked(spark, sf_dir):
+def walk_sources(spark, sf_dir):
     walks = view(spark, sf_dir, "walks")
     hour = F.col("hour").cast("string")
     day = F.date_format("o_orderdate", "M/d/yyyy")
@@ -315,7 +315,11 @@ def walked(spark, sf_dir):
         F.col("c_name").alias("Land Owner"),
         F.struct("c_custkey").alias("ord"),
     )
-    return transects(spark, {"places": places, "observations": observations}, no_rows(spark), ORDER)
+    return {"places": places, "observations": observations}
+
+
+def walked(spark, sf_dir):
+    return transects(spark, walk_sources(spark, sf_dir), no_rows(spark), ORDER)
 
 
 WALKED = """
@@ -532,3 +536,35 @@ def banding_union(spark, sf_dir):
     kind = json_get(F.col("event_json"), "TYPE").alias("type")
     events = rows["events"].select("event_id", "place_id", "year", "day", kind)
     return events.join(rows["counts"].select("event_id", "count_id", "taxon_id"), "event_id")
+
+
+@query(
+    "run_all_volumes",
+    """select 'ebird' as dataset_id, count(distinct (lng, lat)) as places,
+      count(distinct SAMPLING_EVENT_IDENTIFIER) as events,
+      count(*) filter (where SCIENTIFIC_NAME in (select sci_name from {obs_taxa} where target)) as counts, 2 as ended, 0 as again
+    from {kept_obs}
+    union all select 'pollard', (select count(*) from {customer} where c_custkey % 17 <> 0),
+      count(*), count(*), 2, 0 from {walks} join {customer} on "Site" = 'S' || c_custkey and "Route" = 'R' || (c_custkey % 3)
+    where o_orderkey % 12 <> 0 and c_custkey % 17 <> 0""",
+)
+def run_all_volumes(spark, sf_dir):
+    """Two datasets ingested, the second after a run that was killed before it; a third run repeats none."""
+    from checks.views import ROW_ORDER
+    from fieldstar.plans import run_all as runs
+    from fieldstar.plans.reports import dataset_volumes
+    from fieldstar.session import staging_path
+    from fieldstar.sinks.tables import Warehouse
+
+    warehouse = Warehouse(spark, staging_path(spark, "warehouse"))
+    warehouse.append(view(spark, sf_dir, "obs_taxa"), "taxa")
+    observed = view(spark, sf_dir, "raw_obs").withColumn("ord", F.struct(*ROW_ORDER))
+    sources = {"pollard": walk_sources(spark, sf_dir), "ebird": {"checklists": observed}}
+    run = lambda names: runs.run_all(spark, warehouse, sources, names, resume=True, order=["ord"])
+    run(["pollard"])  # all that a run killed after its first dataset has done
+    run(None)
+    ended = {r["dataset_id"]: r["finished"] for r in warehouse.runs().collect()}
+    run(None)
+    again = sum(r["finished"] != ended[r["dataset_id"]] for r in warehouse.runs().collect())
+    volumes = dataset_volumes(warehouse.tables())
+    return volumes.select("*", F.lit(len(ended)).alias("ended"), F.lit(again).alias("again"))

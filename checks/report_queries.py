@@ -34,11 +34,11 @@ def slice_class(spark, sf_dir):
     return reports.slice_class(star(spark, sf_dir), "ECONOMY", YEAR, DAYS, LNG, LAT)
 
 
-@query(
-    "slice_json",
-    f"""select lng, lat, year, day, count, sci_name, json_extract_string(event_json, '$.STATUS') as status
-    from ({SLICE}) where json_extract_string(event_json, '$.STATUS') is not null""",
-)
+JSON_SLICE = f"""select lng, lat, year, day, count, sci_name, json_extract_string(event_json, '$.STATUS') as status
+    from ({SLICE}) where json_extract_string(event_json, '$.STATUS') is not null"""
+
+
+@query("slice_json", JSON_SLICE)
 def slice_json(spark, sf_dir):
     return reports.slice_json(star(spark, sf_dir), None, "STATUS", "status", YEAR, DAYS, LNG, LAT)
 
@@ -141,6 +141,60 @@ def audit_totals(spark, sf_dir):
     return reports.audit_totals(view(spark, sf_dir, "raw_obs"), view(spark, sf_dir, "target_names"))
 
 
+@query(
+    "audit_totals_approximate",
+    """select true as places_close, true as events_close,
+    count(*) filter (where SCIENTIFIC_NAME in (select sci_name from {target_names})) as counts from {kept_obs}""",
+)
+def audit_totals_approximate(spark, sf_dir):
+    """Sketches of three batches, kept by year and merged, within four standard errors of the exact counts."""
+    from fieldstar.plans.sketches import audit_sketches, merged_sketches, sketched_totals
+
+    raw, targets = view(spark, sf_dir, "raw_obs"), view(spark, sf_dir, "target_names")
+    kept = [None] * 3
+    for k in range(3):
+        batch = reports.audited(raw.filter(F.col("l_linenumber") % 3 == k))
+        kept[k] = audit_sketches(batch, targets, F.lit("ebird"))
+    merged = merged_sketches(kept[0].unionByName(kept[1]).unionByName(kept[2]))
+    about = sketched_totals(merged).withColumnsRenamed({"places": "p", "events": "e"})
+    exact = reports.audit_totals(raw, targets).drop("counts").withColumn("_one", F.lit(1))
+    both = about.withColumn("_one", F.lit(1)).join(exact, "_one")
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.033 * F.col(b) + 1
+    return both.select(close("p", "places").alias("places_close"), close("e", "events").alias("events_close"), "counts")
+
+
+def kept_star(spark, sf_dir, layout):
+    """The star written into a warehouse of that layout, as a slice reads it."""
+    from fieldstar.session import staging_path
+    from fieldstar.sinks.tables import Warehouse
+
+    warehouse = Warehouse(spark, staging_path(spark, "warehouse"), layout)
+    tables = star(spark, sf_dir)
+    for name in ("taxa", "places", "events", "counts"):
+        warehouse.append(tables[name], name)
+    return warehouse
+
+
+@query("slice_cells", JSON_SLICE)
+def slice_cells(spark, sf_dir):
+    """The slice out of files cut along the curve, with the blob's key in a column of its own."""
+    from fieldstar.sinks.layout import Layout
+
+    warehouse = kept_star(spark, sf_dir, Layout({"events": ["STATUS"]}, cells=True))
+    return reports.slice_json(warehouse.tables(beside=True), None, "STATUS", "status", YEAR, DAYS, LNG, LAT)
+
+
+@query("slice_bucketed", JSON_SLICE)
+def slice_bucketed(spark, sf_dir):
+    """The slice out of events and counts in buckets."""
+    from fieldstar.session import staging_path
+    from fieldstar.sinks.buckets import BucketedStar
+
+    copy = BucketedStar(spark, staging_path(spark, "buckets"))
+    copy.write(star(spark, sf_dir), 8)
+    return reports.slice_json(copy.tables(), None, "STATUS", "status", YEAR, DAYS, LNG, LAT)
+
+
 EXTRACT = """
 select GLOBAL_UNIQUE_IDENTIFIER, SCIENTIFIC_NAME, cast(LONGITUDE as double) as LONGITUDE,
   cast(LATITUDE as double) as LATITUDE, cast(try_cast(OBSERVATION_DATE as date) as string) as seen,

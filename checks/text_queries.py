@@ -52,7 +52,8 @@ def quote_repair(spark, sf_dir):
     group by file, p // 2""",
 )
 def record_assembly(spark, sf_dir):
-    return textrepair.assemble_records(quoted_lines(spark, sf_dir), COLS)
+    records = textrepair.assemble_records(quoted_lines(spark, sf_dir), COLS)
+    return records.select("file", "record", "text")
 
 
 @query(

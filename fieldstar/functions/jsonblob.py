@@ -54,6 +54,22 @@ def json_get(c: Column, key: str) -> Column:
     return F.get_json_object(c, f"$['{key}']")
 
 
+def key_column(blob: str, key: str) -> str:
+    """Name of the column that holds a declared key of a blob beside it."""
+    return f"{blob}__{key}"
+
+
+def with_keys(df: DataFrame, blob: str, keys: Iterable[str]) -> DataFrame:
+    """Add the values of declared keys as columns, so that later readers need not parse the blob."""
+    return df.withColumns({key_column(blob, k): json_get(F.col(blob), k) for k in keys})
+
+
+def blob_value(df: DataFrame, blob: str, key: str) -> Column:
+    """Value of a blob's key: its column where the frame has one, else parsed out of the blob."""
+    beside = key_column(blob, key)
+    return F.col(f"`{beside}`") if beside in df.columns else json_get(F.col(blob), key)
+
+
 def json_has(c: Column, key: str) -> Column:
     """Whether the blob has a (non-null) top-level key."""
     return json_get(c, key).isNotNull()

@@ -13,7 +13,7 @@ from fieldstar.operators.keys import duplicate_keys
 from fieldstar.schema import RULES
 
 
-def _row(df: DataFrame, table: str, rule: str, column: str, key, n) -> DataFrame:
+def violation_rows(df: DataFrame, table: str, rule: str, column: str, key, n) -> DataFrame:
     return df.select(
         F.lit(table).alias("table_name"),
         F.lit(rule).alias("rule"),
@@ -44,7 +44,7 @@ def unique_violations(df: DataFrame, table: str) -> DataFrame | None:
     rules = RULES[table]
     columns = [c for c in dict.fromkeys([rules.primary, *rules.unique]) if c in df.columns]
     found = [
-        _row(duplicate_keys(df.dropna(subset=[c]), [c]), table, "unique", c, F.col(f"`{c}`"), F.col("n"))
+        violation_rows(duplicate_keys(df.dropna(subset=[c]), [c]), table, "unique", c, F.col(f"`{c}`"), F.col("n"))
         for c in columns
     ]
     return reduce(DataFrame.unionByName, found) if found else None
@@ -61,7 +61,7 @@ def fk_violations(df: DataFrame, table: str, tables: Mapping[str, DataFrame]) ->
             continue
         values = df.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("n"))
         orphans = anti_new(values, tables[parent], {column: RULES[parent].primary})
-        found.append(_row(orphans, table, f"references {parent}", column, F.col(column), F.col("n")))
+        found.append(violation_rows(orphans, table, f"references {parent}", column, F.col(column), F.col("n")))
     return reduce(DataFrame.unionByName, found) if found else None
 
 

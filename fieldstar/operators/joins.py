@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldstar.functions.jsonblob import json_get
+from fieldstar.functions.jsonblob import blob_value
 from fieldstar.functions.text import zfill
 from fieldstar.operators.keys import assert_unique, first_per_key
 
@@ -103,20 +103,33 @@ def missing_codes(df: DataFrame, ref: DataFrame, key: str, null_aware: bool = Fa
 def json_key_join(left: DataFrame, right: DataFrame, blob: str, keys: Mapping[str, str], how: str = "inner") -> DataFrame:
     """Join on keys stored in the right side's blob: {left column: JSON key}.
 
-    The keys become real columns first, so the join is a plain equi-join.
+    The keys are the columns kept beside the blob, or become columns first, so
+    the join is a plain equi-join.
     """
     names = {left_col: f"_json_{i}" for i, left_col in enumerate(keys)}
-    extracted = right.withColumns({names[c]: json_get(F.col(blob), k) for c, k in keys.items()})
+    extracted = right.withColumns({names[c]: blob_value(right, blob, k) for c, k in keys.items()})
     condition = [F.col(f"own.{c}").cast("string") == F.col(n) for c, n in names.items()]
     return left.alias("own").join(extracted, condition, how).drop(*names.values())
 
 
 def code_bridge(
-    codes: DataFrame, taxa: DataFrame, code: str = "species_id", name: str = "sci_name", width: int = 4
+    codes: DataFrame,
+    taxa: DataFrame,
+    code: str = "species_id",
+    name: str = "sci_name",
+    width: int = 4,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """(code, taxon_id) for codes whose scientific name is in the taxonomy."""
-    known = codes.filter(F.col(name).isNotNull()).select(name, zfill(F.col(code), width).alias(code))
-    return known.join(taxa.select(name, "taxon_id"), name).select(code, "taxon_id").distinct()
+    """(code, taxon_id) for codes whose scientific name is in the taxonomy.
+
+    With the list's `order` a code that stands in it twice means the last one;
+    without, all its taxa come out.
+    """
+    known = codes.filter(F.col(name).isNotNull()).select(name, zfill(F.col(code), width).alias(code), *order)
+    met = known.join(taxa.select(name, "taxon_id"), name)
+    if order:
+        met = first_per_key(met, [code], order, last=True)
+    return met.select(code, "taxon_id").distinct()
 
 
 def backfill_scalar(df: DataFrame, dim: DataFrame, on: On, take: Mapping[str, str], order: Sequence[str]) -> DataFrame:

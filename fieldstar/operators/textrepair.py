@@ -25,6 +25,9 @@ from fieldstar.session import stage
 SPLITTER = "','"  # fixed value: what separates two single-quoted fields
 ESCAPED_SPLITTER = "'',''"  # the splitter once every quote is doubled
 BLOCK = 256  # lines (or block summaries) per group
+CHUNK = 16  # of a block, while its entries are worked out
+PIECE_LINES = 4096  # of a record that comes in pieces
+MOST_LINES = 100_000  # of a record that is parsed
 
 
 def field_count_by_splitter(c: Column) -> Column:
@@ -59,8 +62,8 @@ def _blocks(df: DataFrame, index: str, payload: list[str]) -> DataFrame:
     return df.groupBy("file", number.alias("block")).agg(rows.alias("rows"))
 
 
-def _summaries(df: DataFrame, index: str, step: str, cols: int) -> DataFrame:
-    """One row per block: where it leads from each column."""
+def _leads(step: str, cols: int) -> Column:
+    """Where a block of rows leads from each column."""
 
     def through(table: Column, row: Column) -> Column:
         if step == "fields":
@@ -68,31 +71,61 @@ def _summaries(df: DataFrame, index: str, step: str, cols: int) -> DataFrame:
         return F.transform(table, lambda v: _jump(v, row["leads"], cols))
 
     identity = F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long"))
-    leads = F.aggregate("rows", identity, through)
-    return _blocks(df, index, [step]).select("file", "block", leads.alias("leads"))
+    return F.aggregate("rows", identity, through)
 
 
-def _with_entries(blocks: DataFrame, entry: Column, move, out: str) -> DataFrame:
-    """Unnest blocks, giving each row the carry value it is entered with."""
+def _summaries(df: DataFrame, index: str, step: str, cols: int) -> DataFrame:
+    """One row per block: where it leads from each column."""
+    return _blocks(df, index, [step]).select("file", "block", _leads(step, cols).alias("leads"))
+
+
+def _bound(value: Column, use) -> Column:
+    """`use(value)`, the value being computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _entries(rows: Column, entry: Column, move) -> Column:
+    """The carry value each row of a block is entered with, chunk by chunk so that appending stays cheap."""
 
-    def step(acc: Column, row: Column) -> Column:
-        seen = F.concat(acc["entries"], F.array(acc["value"]))
-        return F.struct(move(acc["value"], row).alias("value"), seen.alias("entries"))
+    def through(values: Column, start: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        first = F.struct(start.cast("long").alias("value"), none.alias("entries"))
 
-    none = F.array().cast("array<bigint>")
-    start = F.struct(entry.cast("long").alias("value"), none.alias("entries"))
-    entries = F.aggregate("rows", start, step)["entries"]
-    paired = F.arrays_zip(F.col("rows").alias("row"), entries.alias(out))
+        def step(acc: Column, row: Column) -> Column:
+            seen = F.array_append(acc["entries"], acc["value"])
+            return F.struct(move(acc["value"], row).alias("value"), seen.alias("entries"))
+
+        return F.aggregate(values, first, step)
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / CHUNK).cast("int")), lambda c: F.slice(rows, c * CHUNK + 1, CHUNK)
+    )
+    none = F.array().cast("array<array<bigint>>")
+    first = F.struct(entry.cast("long").alias("value"), none.alias("entries"))
+
+    def step(acc: Column, chunk: Column) -> Column:
+        return _bound(
+            through(chunk, acc["value"]),
+            lambda g: F.struct(g["value"].alias("value"), F.array_append(acc["entries"], g["entries"]).alias("entries")),
+        )
+
+    return F.flatten(F.aggregate(chunks, first, step)["entries"])
+
+
+def _with_entries(blocks: DataFrame, entry: Column, move, out: str) -> DataFrame:
+    """Unnest blocks, giving each row the carry value it is entered with."""
+    paired = F.arrays_zip(F.col("rows").alias("row"), _entries(F.col("rows"), entry, move).alias(out))
     cells = blocks.withColumn("_cell", F.explode(paired))
     return cells.select("file", "_cell.row.*", F.col(f"_cell.{out}").alias(out))
 
 
-def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
-    """Add to each line: `starts` and `ends` a record (flags), and `record` (1, 2, ...)."""
-    widths = lines.select("file", "line_no", field_count_by_splitter(F.col("text")).alias("fields"))
+def carries(lines: DataFrame, cols: int) -> DataFrame:
+    """(file, line_no, starts, ends, record) of each line, written once: all that repair needs besides the text."""
+    fields = field_count_by_splitter(F.col("text")).alias("fields")
+    blocks = _blocks(lines.select("file", "line_no", fields), "line_no", ["fields"])
+    blocks = stage(blocks.withColumn("leads", _leads("fields", cols)), "line-blocks")
 
-    # Summaries are small (a few numbers per block of lines) and used twice.
-    levels = [stage(_summaries(widths, "line_no", "fields", cols), "blocks")]
+    levels = [blocks.select("file", "block", "leads")]
     reach = levels[0].agg(F.max("block")).first()[0] or 0
     while reach > 0:
         upper = _summaries(levels[-1].withColumnRenamed("block", "index"), "index", "leads", cols)
@@ -107,18 +140,22 @@ def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
             entered, F.col("entry"), lambda v, row: _jump(v, row["leads"], cols), "entry"
         ).select("file", F.col("index").alias("block"), "entry")
 
-    fielded = lines.withColumn("fields", field_count_by_splitter(F.col("text")))
-    entered = _blocks(fielded, "line_no", ["text", "fields"]).join(entries, ["file", "block"])
+    entered = blocks.select("file", "block", "rows").join(entries, ["file", "block"])
     carried = _with_entries(entered, F.col("entry"), lambda v, row: _advance(v, row["fields"], cols), "_carry")
     before, after = F.col("_carry"), _advance(F.col("_carry"), F.col("fields"), cols)
-    return carried.select(
+    flags = carried.select(
         "file",
         "line_no",
-        "text",
         (F.pmod(before, F.lit(cols)) == 0).alias("starts"),
         (F.pmod(after, F.lit(cols)) == 0).alias("ends"),
         F.floor(after / cols).cast("long").alias("record"),
     )
+    return stage(flags, "carries")
+
+
+def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
+    """Add to each line: `starts` and `ends` a record (flags), and `record` (1, 2, ...)."""
+    return lines.select("file", "line_no", "text").join(carries(lines, cols), ["file", "line_no"])
 
 
 def repair_quotes(lines: DataFrame, cols: int) -> DataFrame:
@@ -133,15 +170,35 @@ def repair_quotes(lines: DataFrame, cols: int) -> DataFrame:
 
 
 def assemble_records(lines: DataFrame, cols: int) -> DataFrame:
-    """Join the lines of each record: (file, record, text)."""
-    return join_lines(carry_columns(lines, cols))
+    """Join the lines of each record: (file, record, piece, text).
+
+    A record of up to `PIECE_LINES` lines is one piece, number 0. A longer one,
+    such as the rest of a file behind a quote that never closes, comes in
+    pieces of that many lines: its text is its pieces' in order, joined by line
+    breaks, and is never put together in one row or task.
+    """
+    return join_pieces(carry_columns(lines, cols))
+
+
+def join_pieces(carried: DataFrame, piece_lines: int = PIECE_LINES) -> DataFrame:
+    """Join lines that already carry their record number, piece by piece."""
+    reach = carried.groupBy("file", "record").agg(F.min("line_no").alias("_from"), F.max("line_no").alias("_to"))
+    # Few records are that long, if any: only these cost the lines a look-up.
+    long = stage(reach.filter(F.col("_to") - F.col("_from") >= piece_lines).drop("_to"), "long-records")
+    placed = carried.join(long, ["file", "record"], "left")
+    piece = F.coalesce(F.floor((F.col("line_no") - F.col("_from")) / piece_lines), F.lit(0)).cast("long")
+    return _joined(placed.withColumn("piece", piece), "file", "record", "piece")
 
 
 def join_lines(carried: DataFrame) -> DataFrame:
-    """Join lines that already carry their record number."""
+    """Join lines that already carry their record number, each record in one row."""
+    return _joined(carried, "file", "record")
+
+
+def _joined(lines: DataFrame, *by: str) -> DataFrame:
     pieces = F.array_sort(F.collect_list(F.struct("line_no", "text")))
     text = F.array_join(F.transform(pieces, lambda p: p["text"]), "\n")
-    return carried.groupBy("file", "record").agg(text.alias("text"))
+    return lines.groupBy(*by).agg(text.alias("text"))
 
 
 def running_total(lines: DataFrame, value: str, out: str) -> DataFrame:
@@ -188,32 +245,44 @@ def card_lines(lines: DataFrame, cols: int) -> DataFrame:
 
 
 def record_widths(lines: DataFrame) -> DataFrame:
-    """(file, record, first_line, fields): sums over the lines of each record, without its text."""
+    """(file, record, first_line, fields, size): sums over the lines of each record, without its text."""
     return lines.groupBy("file", "record").agg(
-        F.min("line_no").alias("first_line"), (F.sum("cuts") + 1).cast("int").alias("fields")
+        F.min("line_no").alias("first_line"),
+        (F.sum("cuts") + 1).cast("int").alias("fields"),
+        F.count("*").alias("size"),
     )
 
 
+def _sound(widths: DataFrame, cols: int) -> Column:
+    return (F.col("fields") == cols) & (F.col("size") <= MOST_LINES)
+
+
 def width_faults(lines: DataFrame, cols: int) -> DataFrame:
     """Records whose field count is not the declared one: file, record, first_line, fields, text of that line.
 
     A quote that never closes makes the rest of its file one such record; it
-    is reported without being put together.
+    is reported without being put together, even if its width happens to be
+    the declared one: no record has more than `MOST_LINES` lines.
     """
-    wrong = record_widths(lines).filter(F.col("fields") != cols)
+    widths = record_widths(lines)
+    wrong = widths.filter(~_sound(widths, cols)).drop("size")
     first = lines.select("file", F.col("line_no").alias("first_line"), "text")
     return wrong.join(first, ["file", "first_line"])
 
 
 def parsed_records(lines: DataFrame, names: Sequence[str], quote: str, sep: str = ",") -> DataFrame:
-    """Cells of all records of the declared width, parsed one record at a time: file, record and the columns."""
-    whole = record_widths(lines).filter(F.col("fields") == len(names)).select("file", "record")
-    records = join_lines(lines.join(whole, ["file", "record"]))
+    """Cells of all sound records (see `width_faults`), parsed one record at a time: file, record and the columns."""
     schema = ", ".join(f"`{n}` string" for n in names)
-    options = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
-    return records.select("file", "record", F.from_csv("text", schema, options).alias("_cells")).select(
-        "file", "record", "_cells.*"
-    )
+    return typed_records(lines, schema, len(names), {"sep": sep, "quote": quote, "escape": quote})
+
+
+def typed_records(lines: DataFrame, schema: str, cols: int, options: dict[str, str]) -> DataFrame:
+    """The same with typed columns and the parser's options given."""
+    widths = record_widths(lines)
+    whole = widths.filter(_sound(widths, cols)).select("file", "record")
+    records = join_lines(lines.join(whole, ["file", "record"]))
+    cells = F.from_csv("text", schema, {"mode": "PERMISSIVE", **options})
+    return records.select("file", "record", cells.alias("_cells")).select("file", "record", "_cells.*")
 
 
 def header_names(lines: DataFrame, quote: str, sep: str = ",") -> list[str]:

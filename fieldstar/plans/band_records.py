@@ -23,24 +23,28 @@ from fieldstar.sources.html import CELL, TABLE_ROW, strip_tags
 from fieldstar.sources.text import normalize_columns_but_order
 
 PLACE_KEY = ("lng", "lat", "radius")
+LIST_PLACE = "_list_place"
 
 
 def species_codes(pages: DataFrame, html: str = "html", columns: tuple[str, str] = BAND_CODE_COLUMNS) -> DataFrame:
-    """(sci_name, species_id) from the code list's pages, by the columns that a page's header row names.
+    """(sci_name, species_id, _list_place) from the code list's pages, by the columns that a page's header row names.
 
-    A page without such a header has no codes.
+    A page without such a header has no codes. Pages are read in the order of
+    their hash, the rows of each as they stand.
     """
     cells = F.transform(
         F.regexp_extract_all(F.col(html), F.lit(TABLE_ROW), 1),
         lambda row: F.transform(F.regexp_extract_all(row, F.lit(CELL), 1), strip_tags),
     )
     has = lambda row, name: F.coalesce(F.array_contains(row, name), F.lit(False))
-    rows = pages.select(cells.alias("_rows"))
+    rows = pages.select(cells.alias("_rows"), F.col(html).alias("_page"))
     header = F.get(F.filter("_rows", lambda row: has(row, columns[0]) & has(row, columns[1])), F.lit(0))
-    found = rows.select(header.alias("_header"), F.explode("_rows").alias("_cells"))
+    found = rows.select("_page", header.alias("_header"), F.posexplode("_rows").alias("_line", "_cells"))
     place = lambda name: (F.array_position("_header", name) - 1).cast("int")
     named = found.select(
-        F.get("_cells", place(columns[0])).alias("sci_name"), F.get("_cells", place(columns[1])).alias("species_id")
+        F.get("_cells", place(columns[0])).alias("sci_name"),
+        F.get("_cells", place(columns[1])).alias("species_id"),
+        F.struct(F.xxhash64("_page").alias("page"), F.col("_line").alias("line")).alias(LIST_PLACE),
     )
     return named.filter(F.col("sci_name").isNotNull() & F.col("species_id").rlike("^[0-9]+$"))
 
@@ -88,10 +92,16 @@ def band_records(
     order: Sequence[str] = FILE_ORDER,
     dataset_id: str = "bbl",
 ) -> Rows:
-    """Conform the band records; raw: banding, encounter, recapture, and codes or the code_pages they are on."""
+    """Conform the band records; raw: banding, encounter, recapture, and codes or the code_pages they are on.
+
+    A code that the list gives twice means the last of its taxa in list order:
+    by the order columns where the list has them, by its place on the pages
+    where it is read from these. A list without any order gives the largest id.
+    """
     start = start_ids(tables)
     listed = raw["codes"] if "codes" in raw else species_codes(raw["code_pages"])
-    bridge = code_bridge(listed, of_class(tables["taxa"], BIRDS))
+    listed_order = [c for c in (LIST_PLACE, *order) if c in listed.columns]
+    bridge = code_bridge(listed, of_class(tables["taxa"], BIRDS), order=listed_order)
     codes = last_per_key(bridge, ["species_id"], "taxon_id")
     rows = stage(usable_records(band_union(raw, order), codes), "bands")
 

@@ -17,7 +17,7 @@ from fieldstar.formats import (
     CHECKLIST_RENAMES,
     MISSED_SPECIES,
 )
-from fieldstar.functions.jsonblob import json_blob, json_get
+from fieldstar.functions.jsonblob import blob_value, json_blob
 from fieldstar.functions.numbers import count_or_x, km_to_m, to_num
 from fieldstar.functions.times import CLOCK, day_of, end_time, hhmm, parse_fixed, year_of
 from fieldstar.operators.columns import rename
@@ -106,8 +106,8 @@ def checklists(
 
 
 def event_keys(events: DataFrame) -> DataFrame:
-    """(sample_id, event_id): the checklist identifier out of each event's blob."""
-    sample = json_get(F.col("event_json"), EVENT_KEY[0])
+    """(sample_id, event_id): the checklist identifier of each event, out of its blob if no column beside it has it."""
+    sample = blob_value(events, "event_json", EVENT_KEY[0])
     return last_per_key(events.select(sample.alias("sample_id"), "event_id"), ["sample_id"], "event_id")
 
 

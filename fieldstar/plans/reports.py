@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldstar.formats import CHECKLIST_LAT, CHECKLIST_LNG, MISSING_COLUMNS
-from fieldstar.functions.jsonblob import json_expand, json_get, json_has
+from fieldstar.functions.jsonblob import blob_value, json_expand, key_column
 from fieldstar.functions.text import tagged_key
 from fieldstar.operators.aggregates import counts_by
 from fieldstar.operators.columns import prefixed
 from fieldstar.operators.filters import bbox, extract_bbox, quality_gate, within
 from fieldstar.operators.joins import drop_known
+from fieldstar.plans.sketches import audit_sketches, sketched_totals
 from fieldstar.schema import SPLIT_TABLES
+from fieldstar.sinks.layout import BLOBS, CELL, CELLED, cell_ranges, day_number, in_cells
 
 Tables = Mapping[str, DataFrame]
 Range = tuple[float, float]
@@ -50,6 +52,7 @@ def observations(
     counts: Column | None = None,
     taxa: Column | None = None,
     dataset_id: str | None = None,
+    cells: Sequence[Range] | None = None,
 ) -> DataFrame:
     """places x events x counts x taxa by their ids, each table filtered at its scan.
 
@@ -58,16 +61,32 @@ def observations(
 
     Everything that can be said about one table is said before the join, so
     the count table, by far the largest, only meets the few events that
-    remain; its own scan gets a runtime filter from them.
+    remain; its own scan gets a runtime filter from them. Where the tables'
+    layout has them on a curve, `cells` cuts events and counts at their files.
     """
     star = of_dataset(qualified_star(tables), dataset_id)
+    for name in CELLED:
+        if cells is not None and CELL in star[name].columns:
+            star[name] = star[name].filter(in_cells(cells))
     for name, condition in {"places": places, "events": events, "counts": counts, "taxa": taxa}.items():
         if condition is not None:
             star[name] = star[name].filter(condition)
+    star = {name: df.drop(CELL) for name, df in star.items()}
     joined = star["places"].join(star["events"], "place_id").join(star["counts"], "event_id")
     return joined.join(star["taxa"], "taxon_id")
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """The frame without what a layout keeps beside the tables' contracts."""
+    marks = tuple(key_column(blob, "") for blob in BLOBS.values())
+    return df.drop(*[c for c in df.columns if c.startswith(marks)])
+
+
+def season_cells(year: int, days: tuple[int, int], lng: Range, lat: Range) -> list[Range]:
+    """Ranges of the layout's curve that hold a box and season."""
+    return cell_ranges(lng, lat, [day_number(year, d) for d in sorted(days)])
+
+
 def in_box(lng: Range, lat: Range) -> Column:
     """Places inside a box, edges included."""
     return within(F.col("lng"), lng) & within(F.col("lat"), lat)
@@ -80,7 +99,8 @@ def in_season(year: int, days: tuple[int, int]) -> Column:
 
 def slice_targets(tables: Tables, year: int, days: tuple[int, int], lng: Range, lat: Range) -> DataFrame:
     """All columns of the target taxa's observations in a box and season."""
-    return observations(tables, in_box(lng, lat), in_season(year, days), taxa=F.col("target"))
+    cells = season_cells(year, days, lng, lat)
+    return plain(observations(tables, in_box(lng, lat), in_season(year, days), taxa=F.col("target"), cells=cells))
 
 
 def slice_class(
@@ -88,7 +108,8 @@ def slice_class(
 ) -> DataFrame:
     """The same for one class of taxa."""
     wanted = F.col("target") & (F.col("class") == taxon_class)
-    return observations(tables, in_box(lng, lat), in_season(year, days), taxa=wanted)
+    cells = season_cells(year, days, lng, lat)
+    return plain(observations(tables, in_box(lng, lat), in_season(year, days), taxa=wanted, cells=cells))
 
 
 def slice_json(
@@ -102,10 +123,11 @@ def slice_json(
     lat: Range,
 ) -> DataFrame:
     """One dataset's slice with a value out of the event blob, where it has one."""
-    season = in_season(year, days) & json_has(F.col("event_json"), key)
-    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id)
-    value = json_get(F.col("event_json"), key).alias(out)
-    return rows.select("lng", "lat", "year", "day", "count", "sci_name", value)
+    found = blob_value(tables["events"], "event_json", key)
+    season = in_season(year, days) & found.isNotNull()
+    cells = season_cells(year, days, lng, lat)
+    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id, cells=cells)
+    return rows.select("lng", "lat", "year", "day", "count", "sci_name", found.alias(out))
 
 
 def checklist_count(
@@ -114,7 +136,8 @@ def checklist_count(
     """Number of events since a year, in a season and box, that carry the key."""
     star = of_dataset(qualified_star(tables), dataset_id)
     places = star["places"].filter(in_box(lng, lat))
-    season = (F.col("year") >= since) & within(F.col("day"), days) & json_has(F.col("event_json"), key)
+    found = blob_value(tables["events"], "event_json", key)
+    season = (F.col("year") >= since) & within(F.col("day"), days) & found.isNotNull()
     return places.join(star["events"].filter(season), "place_id").agg(F.count("*").alias("n"))
 
 
@@ -134,7 +157,8 @@ def slice_top(
     The blob is parsed after the limit, for the rows that are returned only.
     """
     season = in_season(year, days)
-    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id)
+    cells = season_cells(year, days, lng, lat)
+    rows = observations(tables, in_box(lng, lat), season, taxa=F.col("target"), dataset_id=dataset_id, cells=cells)
     wanted = ["lng", "lat", "year", "day", "count", "sci_name", "event_json"]
     first = rows.select(*dict.fromkeys([*wanted, *order])).orderBy(*order).limit(limit)
     return json_expand(first, "event_json", blob)
@@ -142,7 +166,7 @@ def slice_top(
 
 def species_list(tables: Tables, names: Sequence[str]) -> DataFrame:
     """Every observation of the listed species, all columns."""
-    return observations(tables, taxa=F.col("sci_name").isin(*names))
+    return plain(observations(tables, taxa=F.col("sci_name").isin(*names)))
 
 
 def missing_names(sources: Mapping[str, DataFrame], taxa: DataFrame, order: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -177,12 +201,22 @@ def audit_species(raw: DataFrame, targets: DataFrame, lng: Range = CHECKLIST_LNG
     return counted.withColumnRenamed("SCIENTIFIC_NAME", "sci_name").orderBy("sci_name")
 
 
-def audit_totals(raw: DataFrame, targets: DataFrame, lng: Range = CHECKLIST_LNG, lat: Range = CHECKLIST_LAT) -> DataFrame:
+def audit_totals(
+    raw: DataFrame,
+    targets: DataFrame,
+    lng: Range = CHECKLIST_LNG,
+    lat: Range = CHECKLIST_LAT,
+    approximate: bool = False,
+) -> DataFrame:
     """Distinct places, distinct events and target observations in one row.
 
     Reduced to one row per (place, event) before the exact distinct counts.
+    `approximate` counts both with sketches, in one pass and without moving
+    keys; the observations are exact either way.
     """
     rows = audited(raw, lng, lat)
+    if approximate:
+        return sketched_totals(audit_sketches(rows, targets, F.lit("")))
     known = targets.select(F.col("sci_name").alias("_name")).distinct().withColumn("_hit", F.lit(1))
     marked = rows.join(known, F.col("SCIENTIFIC_NAME") == F.col("_name"), "left")
     visits = marked.groupBy("LONGITUDE", "LATITUDE", "SAMPLING_EVENT_IDENTIFIER").agg(F.count("_hit").alias("n"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstar.operators.textrepair import header_names, parsed_records, quoted_lines, width_faults
+from fieldstar.operators.textrepair import header_names, parsed_records, quoted_lines, typed_records, width_faults
 from fieldstar.schema import SCHEMAS, SPLIT_TABLES
 from fieldstar.session import stage
 from fieldstar.sources.text import read_lines
@@ -51,20 +51,25 @@ def import_tables(spark: SparkSession, path: str, pieces: Mapping[str, Iterable[
     """Read exported CSV back by position into the tables' fixed schemas.
 
     `pieces` names the folders of each table below `path`; by default one
-    folder per table, named after it.
+    folder per table, named after it. Cells may hold line breaks: files are
+    read as numbered lines, split by split, and each record is parsed by
+    itself, so one large file is imported by many tasks. A record that does
+    not have the table's columns raises.
     """
     pieces = pieces or {t: [f"{t}.csv"] for t in SCHEMAS}
-    tables = {}
-    for table, folders in pieces.items():
-        schema = SCHEMAS[table]
-        ddl = ", ".join(
-            f"`{f.name}` {'string' if f.dataType.simpleString() == 'binary' else f.dataType.simpleString()}"
-            for f in schema.fields
-        )
-        df = spark.read.schema(ddl).options(**_READ, **_BOTH).csv([f"{path}/{f}" for f in folders])
-        binary = {f.name: F.unbase64(F.col(f.name)) for f in schema.fields if f.dataType.simpleString() == "binary"}
-        tables[table] = df.withColumns(binary) if binary else df
-    return tables
+    return {t: _imported(spark, [f"{path}/{f}" for f in folders], t) for t, folders in pieces.items()}
+
+
+def _imported(spark: SparkSession, folders: list[str], table: str) -> DataFrame:
+    fields = SCHEMAS[table].fields
+    lines = stage(quoted_lines(read_lines(spark, folders, "UTF-8", "\n")), "import")
+    faults = width_faults(lines, len(fields)).limit(3).collect()
+    if faults:
+        raise ValueError(f"{table}: records of another width, such as {[(f['file'], f['first_line'] + 1) for f in faults]}")
+    binary = [f.name for f in fields if f.dataType.simpleString() == "binary"]
+    ddl = ", ".join(f"`{f.name}` {'string' if f.name in binary else f.dataType.simpleString()}" for f in fields)
+    df = typed_records(lines, ddl, len(fields), {**_READ, **_BOTH}).drop("file", "record")
+    return df.withColumns({c: F.unbase64(F.col(c)) for c in binary}) if binary else df
 
 
 def write_uniform(df: DataFrame, path: str) -> None:

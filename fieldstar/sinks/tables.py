@@ -7,17 +7,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldstar.operators.joins import lookup
 from fieldstar.schema import SCHEMAS, TABLES, conform
 from fieldstar.session import delete_path, list_paths, move_path, path_exists, read_note, write_note
+from fieldstar.sinks.layout import CELL, Layout
 
 PARTITIONED = ("datasets", "places", "events", "counts")
 PARTITION = "dataset_id"
 REJECTS = "dataset_id string, `table` string, reason string, row string"
 RUNS = "dataset_id string, fingerprint string, finished timestamp"
 SIDE_TABLES = ("rejects", "runs")  # by dataset too, but no part of the star
-BESIDE, READY = "_beside", "_ready"
+BESIDE, READY, LAYOUT = "_beside", "_ready", "_layout"
+KINDS = {"string": T.StringType(), "long": T.LongType()}
 
 # What slices are cut by: rows are written in this order within each file, so
 # the row groups' statistics skip the seasons and latitudes not asked for.
@@ -31,8 +34,16 @@ class Warehouse:
     read, replaced or exported without touching the others.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, layout: Layout | None = None):
+        """Open a warehouse; a new one may be given a layout, which is noted and holds for all its files."""
         self.spark, self.root = spark, root.rstrip("/")
+        noted = read_note(spark, f"{self.root}/{LAYOUT}")
+        self.layout = Layout.from_text(noted) if noted else Layout()
+        if layout is not None and layout.to_text() != self.layout.to_text():
+            if noted or any(self.exists(t) for t in TABLES):
+                raise ValueError(f"{self.root} has another layout; copy its tables into a new warehouse")
+            write_note(spark, f"{self.root}/{LAYOUT}", layout.to_text())
+            self.layout = layout
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -41,19 +52,41 @@ class Warehouse:
         """Whether the table has been written."""
         return path_exists(self.spark, self.path(table))
 
-    def load(self, table: str) -> DataFrame:
-        """The table as a frame with its declared schema; empty if not there yet."""
-        schema = SCHEMAS[table]
+    def load(self, table: str, beside: bool = False) -> DataFrame:
+        """The table as a frame with its declared schema; empty if not there yet.
+
+        With `beside`, what the layout keeps beside the contract comes along.
+        """
+        extra = self.layout.beside(table)
+        schema = T.StructType([*SCHEMAS[table].fields, *[T.StructField(n, KINDS[k]) for n, k in extra.items()]])
         if not self.exists(table):
-            return self.spark.createDataFrame([], schema)
-        return conform(self.spark.read.schema(schema).parquet(self.path(table)), table)
+            df = self.spark.createDataFrame([], schema)
+        else:
+            df = self.spark.read.schema(schema).parquet(self.path(table))
+        return conform(df, table, list(extra) if beside else ())
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {t: self.load(t) for t in TABLES}
+    def tables(self, beside: bool = False) -> dict[str, DataFrame]:
+        """All tables; with `beside`, reports use what the layout keeps."""
+        return {t: self.load(t, beside) for t in TABLES}
+
+    def _shaped(self, df: DataFrame, table: str, slices: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        """The rows as they are written: the contract, and what the layout keeps beside it.
+
+        Places and events that are written together (`slices`) are looked up
+        there, others in the warehouse.
+        """
+        extra = self.layout.beside(table)
+        if not extra:
+            return conform(df, table)
+        stored = {t: self.load(t, beside=True) for t in ("places", "events")} | dict(slices or {})
+        events = stored["events"]
+        if table == "counts" and CELL in extra and CELL not in events.columns:
+            events = self.layout.applied(events, "events", stored["places"], events)
+        return conform(self.layout.applied(conform(df, table), table, stored["places"], events), table, list(extra))
 
     def append(self, df: DataFrame, table: str) -> None:
         """Add rows; columns are brought to the table's contract."""
-        self._writer(conform(df, table), table).mode("append").parquet(self.path(table))
+        self._writer(self._shaped(df, table), table).mode("append").parquet(self.path(table))
 
     def replace_dataset(self, df: DataFrame, table: str, dataset_id: str) -> None:
         """Make `df` the table's only rows of that dataset.
@@ -63,7 +96,7 @@ class Warehouse:
         comes from the write itself.
         """
         rows = Observation()
-        slice_ = conform(df, table).withColumn(PARTITION, F.lit(dataset_id))
+        slice_ = self._shaped(df, table).withColumn(PARTITION, F.lit(dataset_id))
         writer = self._writer(slice_.observe(rows, F.count(F.lit(1)).alias("n")), table)
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
         if not rows.get["n"]:
@@ -90,10 +123,11 @@ class Warehouse:
         beside = self._beside(dataset_id)
         delete_path(self.spark, beside)
         for table, df in slices.items():
-            slice_ = (conform(df, table) if table in SCHEMAS else df).withColumn(PARTITION, F.lit(dataset_id))
+            shaped = self._shaped(df, table, slices) if table in SCHEMAS else df
+            slice_ = shaped.withColumn(PARTITION, F.lit(dataset_id))
             self._writer(slice_, table).parquet(f"{beside}/{table}")
         for table, df in (whole or {}).items():
-            conform(df, table).write.parquet(f"{beside}/{table}")
+            self._shaped(df, table).write.parquet(f"{beside}/{table}")
         note = {"dataset": dataset_id, "slices": list(slices), "whole": list(whole or {})}
         write_note(self.spark, f"{beside}/{READY}", json.dumps(note))
         self._move_in(dataset_id)
@@ -171,7 +205,7 @@ class Warehouse:
         """
         beside = f"{self.root}/{BESIDE}-{table}"
         delete_path(self.spark, beside)
-        conform(self.updated(table, changes, key, col), table).write.parquet(beside)
+        self._shaped(self.updated(table, changes, key, col), table).write.parquet(beside)
         self._swap(beside, self.path(table))
 
     def drop(self, table: str) -> None:
@@ -182,7 +216,7 @@ class Warehouse:
         if table not in (*PARTITIONED, *SIDE_TABLES):
             return df.write
         if table in CLUSTERED:
-            df = df.sortWithinPartitions(PARTITION, *CLUSTERED[table])
+            df = self.layout.cut(df, table, PARTITION, CLUSTERED[table])
         return df.write.partitionBy(PARTITION)
 
 

@@ -106,14 +106,17 @@ def normalize_columns_but_order(df: DataFrame) -> DataFrame:
     return clean.withColumnsRenamed({f"order{i}": c for i, c in enumerate(order)})
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1", line_sep: str | None = None
+) -> DataFrame:
     """Text files as a line table (file, line_no, text), line_no counting from 0.
 
-    The lines of each split are numbered where they are read and shifted by
+    Lines end at any usual line break, or at `line_sep` alone. The lines of each split are numbered where they are read and shifted by
     the sizes of the file's earlier splits, so a large file stays distributed.
     Blank lines count.
     """
-    lines = with_row_order(spark.read.text(path))
+    options = {"lineSep": line_sep} if line_sep else {}
+    lines = with_row_order(spark.read.options(**options).text(path))
     lines = stage(lines.withColumn("text", F.decode(F.col("value").cast("binary"), encoding)).drop("value"), "lines")
     split = ["_file", "_block"]
     sizes = lines.groupBy(*split).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))

@@ -171,15 +171,15 @@ def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path, monkeypatch, fa
     warehouse = Warehouse(spark, str(tmp_path))
     put(spark, warehouse, 3)
     assert state(warehouse) == (3, 3, 3, "taxon of 3")
-    real, calls = tables_module.conform, []
+    real, calls = Warehouse._shaped, []
 
-    def breaks(df, table, *rest):
+    def breaks(self, df, table, *rest):
         calls.append(table)
         if len(calls) == failing:
             raise OSError("disk full")
-        return real(df, table, *rest)
+        return real(self, df, table, *rest)
 
-    monkeypatch.setattr(tables_module, "conform", breaks)
+    monkeypatch.setattr(Warehouse, "_shaped", breaks)
     with pytest.raises(OSError, match="disk full"):
         put(spark, warehouse, 5)
     monkeypatch.undo()
