@@ -24,8 +24,8 @@ from fieldstar.session import stage
 
 SPLITTER = "','"  # fixed value: what separates two single-quoted fields
 ESCAPED_SPLITTER = "'',''"  # the splitter once every quote is doubled
-BLOCK = 256  # lines (or block summaries) per group
-CHUNK = 16  # of a block, while its entries are worked out
+BLOCK = 1024  # lines (or block summaries) per group
+CHUNK = 32  # of a block, while its entries are worked out
 PIECE_LINES = 4096  # of a record that comes in pieces
 MOST_LINES = 100_000  # of a record that is parsed
 
@@ -59,7 +59,16 @@ def _blocks(df: DataFrame, index: str, payload: list[str]) -> DataFrame:
     """Group consecutive rows of a file into arrays of at most BLOCK, in order."""
     rows = F.array_sort(F.collect_list(F.struct(index, *payload)))
     number = F.floor(F.col(index) / BLOCK).cast("long")
-    return df.groupBy("file", number.alias("block")).agg(rows.alias("rows"))
+    return df.withColumn("block", number).groupBy("file", "block").agg(rows.alias("rows"))
+
+
+def _dealt(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt by key to as many tasks as a shuffle has, however few bytes they are.
+
+    Working out a block takes far longer than its few numbers are large, so
+    tasks must not be merged by size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def _leads(step: str, cols: int) -> Column:
@@ -122,7 +131,9 @@ def _with_entries(blocks: DataFrame, entry: Column, move, out: str) -> DataFrame
 def carries(lines: DataFrame, cols: int) -> DataFrame:
     """(file, line_no, starts, ends, record) of each line, written once: all that repair needs besides the text."""
     fields = field_count_by_splitter(F.col("text")).alias("fields")
-    blocks = _blocks(lines.select("file", "line_no", fields), "line_no", ["fields"])
+    number = F.floor(F.col("line_no") / BLOCK).cast("long")
+    dealt = _dealt(lines.select("file", "line_no", fields).withColumn("block", number), "file", "block")
+    blocks = _blocks(dealt, "line_no", ["fields"])
     blocks = stage(blocks.withColumn("leads", _leads("fields", cols)), "line-blocks")
 
     levels = [blocks.select("file", "block", "leads")]
@@ -155,7 +166,11 @@ def carries(lines: DataFrame, cols: int) -> DataFrame:
 
 def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
     """Add to each line: `starts` and `ends` a record (flags), and `record` (1, 2, ...)."""
-    return lines.select("file", "line_no", "text").join(carries(lines, cols), ["file", "line_no"])
+    return _with_text(lines, carries(lines, cols))
+
+
+def _with_text(lines: DataFrame, carried: DataFrame) -> DataFrame:
+    return lines.select("file", "line_no", "text").join(carried, ["file", "line_no"])
 
 
 def repair_quotes(lines: DataFrame, cols: int) -> DataFrame:
@@ -177,12 +192,16 @@ def assemble_records(lines: DataFrame, cols: int) -> DataFrame:
     pieces of that many lines: its text is its pieces' in order, joined by line
     breaks, and is never put together in one row or task.
     """
-    return join_pieces(carry_columns(lines, cols))
+    carried = carries(lines, cols)
+    return join_pieces(_with_text(lines, carried), PIECE_LINES, carried)
 
 
-def join_pieces(carried: DataFrame, piece_lines: int = PIECE_LINES) -> DataFrame:
-    """Join lines that already carry their record number, piece by piece."""
-    reach = carried.groupBy("file", "record").agg(F.min("line_no").alias("_from"), F.max("line_no").alias("_to"))
+def join_pieces(carried: DataFrame, piece_lines: int = PIECE_LINES, numbers: DataFrame | None = None) -> DataFrame:
+    """Join lines that already carry their record number, piece by piece.
+
+    `numbers` may give the lines' records without their text.
+    """
+    reach = (carried if numbers is None else numbers).groupBy("file", "record").agg(F.min("line_no").alias("_from"), F.max("line_no").alias("_to"))
     # Few records are that long, if any: only these cost the lines a look-up.
     long = stage(reach.filter(F.col("_to") - F.col("_from") >= piece_lines).drop("_to"), "long-records")
     placed = carried.join(long, ["file", "record"], "left")
