@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Words of these letters and marks fall into a letter run and a mark run for the
 # vocabulary's own splitter; both come out as they would from the whole word.
@@ -20,12 +25,14 @@ def vocabulary_path(name: str) -> str:
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of texts as unsigned 32-bit numbers.
 
     The vocabulary drops white space and never joins across it, so a text's ids
-    are its words' ids in a row. Words repeat, so ids are kept by word, and new
-    words are put together from letter runs where that gives the same ids.
-    Both tables are bounded: a full one is emptied and filled anew.
+    are its words' ids in a row. Arrow splits many texts at once and reduces
+    their words to the distinct ones; only these are looked up, and numbers are
+    gathered for all places at once. Words repeat, so ids are kept by word, and
+    new words are put together from letter runs where that gives the same ids.
+    All tables are bounded: a full one is emptied and filled anew.
     """
 
     def __init__(self, path: str):
@@ -33,36 +40,54 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {"": b""}
+        self._parts: dict[str, list[int]] = {"": []}
+        self._clear()
 
-    def _encode(self, parts: list[str]) -> None:
-        import numpy as np
+    def _clear(self) -> None:
+        self._places: dict[str, int] = {"": 0}
+        self._starts, self._sizes = array("q", [0]), array("q", [0])
+        self._ids = array("I")
 
+    def _encode(self, parts: list[str]) -> None:
         found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self._parts.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(parts, found, strict=True))
+        self._parts.update((p, e.ids) for p, e in zip(parts, found, strict=True))
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self._words) + len(words) > MOST_WORDS:
-            self._words = {}
+    def _learn(self, words: list[str]) -> None:
         if len(self._parts) > MOST_PARTS:
-            self._parts = {"": b""}
+            self._parts = {"": []}
         cut = {}
         for word in words:
-            text = word.decode()
-            plain = PLAIN(text)
-            cut[word] = (plain[1].lower(), plain[2]) if plain else (text, "")
+            plain = PLAIN(word)
+            cut[word] = (plain[1].lower(), plain[2]) if plain else (word, "")
         self._encode([p for p in {part for pair in cut.values() for part in pair} if p not in self._parts])
-        parts = self._parts
-        self._words.update((word, parts[a] + parts[b]) for word, (a, b) in cut.items())
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each UTF-8 text."""
-        split = [text.split() for text in texts]
-        needed = set().union(*split)
-        self._learn(needed if len(self._words) + len(needed) > MOST_WORDS else needed.difference(self._words))
-        known = self._words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        for word, (head, tail) in cut.items():
+            ids = self._parts[head] + self._parts[tail]
+            self._places[word] = len(self._starts)
+            self._starts.append(len(self._ids))
+            self._sizes.append(len(ids))
+            self._ids.extend(ids)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text) of an array of texts, NULL counting as empty."""
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self._places) + len(distinct) > MOST_WORDS:
+            self._clear()
+        known = self._places
+        self._learn([w for w in distinct if w not in known])
+        place = np.fromiter(map(self._places.__getitem__, distinct), "i8", len(distinct))
+        starts = np.frombuffer(self._starts, "i8")[place] if len(place) else place
+        sizes = np.frombuffer(self._sizes, "i8")[place] if len(place) else place
+        of_word = coded.indices.to_numpy(zero_copy_only=False)
+        each = sizes[of_word]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = np.frombuffer(self._ids, "u4") if len(self._ids) else np.zeros(0, "u4")
+        # Where each word's ids stand, less where they go: one gather then takes all of them.
+        found = ids[np.repeat(starts[of_word] - ends + each, each) + np.arange(total)]
+        edges = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return found, np.diff(edges)
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -11,7 +11,8 @@ from fixtures import documents, frame
 
 from fieldstar.llm.line_rules import quality_rules
 from fieldstar.llm.maxent_lm import score_language
-from fieldstar.llm.packing import CAPACITY, best_fit_runs, pack_best_fit
+from fieldstar.llm import packing
+from fieldstar.llm.packing import CAPACITY, pack_best_fit
 from fieldstar.llm.personal_data import KINDS, find_personal_data
 from fieldstar.llm.source_mixing import copies_to_mix, mix_sources
 from fieldstar.llm.trie_counts import BYTE_SCORE, MARK, VOCABULARY, piece_scores, token_counts
@@ -49,33 +50,77 @@ def test_token_counts_are_the_best_segmentations(spark):
 # --- packing ------------------------------------------------------------------------------------------------------
 
 
-def test_sweeps_are_best_fit_decreasing():
+def brackets(gaps, pieces):
+    """{piece: gap} of a sweep: pieces by falling size, each takes the smallest free gap that holds it."""
     import bisect
+
+    free, taken = sorted((size, -key) for key, size in gaps.items()), {}
+    for key, size in sorted(pieces.items(), key=lambda x: (-x[1], x[0])):
+        place = bisect.bisect_left(free, (size, -(1 << 60)))
+        if place < len(free):
+            taken[key] = -free.pop(place)[1]
+    return taken
+
+
+@pytest.mark.parametrize("block", [1 << 16, 7])
+def test_a_sweep_gives_each_piece_its_best_free_gap(spark, monkeypatch, block):
     import random
 
-    for seed in range(120):
+    monkeypatch.setattr(packing, "BLOCK_ROWS", block)
+    for seed, span in ((1, 200), (2, 8), (3, 40)):
         rng = random.Random(seed)
-        capacity = rng.choice([10, 50, 100, 2048])
-        small = max(1, capacity // 5)
-        sizes = [rng.choice([rng.randint(1, capacity), rng.randint(1, small), small]) for _ in range(rng.choice([1, 40, 500]))]
-        ordered, runs = sorted(sizes, reverse=True), best_fit_runs(Counter(sizes), capacity)
-        ends = [r[0] for r in runs[1:]] + [len(sizes)]
-        sequences = {}
-        for (rank, first, per, offset, length), end in zip(runs, ends, strict=True):
-            for nth in range(end - rank):
-                assert ordered[rank + nth] == length
-                sequences.setdefault(first + nth // per, []).append((offset + nth % per * length, length))
-        for pieces in sequences.values():
-            at = 0
-            for offset, length in sorted(pieces):
-                assert offset == at
-                at += length
-            assert at <= capacity
-        gaps = []
-        for size in ordered:
-            place = bisect.bisect_left(gaps, size)
-            bisect.insort(gaps, (gaps.pop(place) if place < len(gaps) else capacity) - size)
-        assert len(gaps) == len(sequences)
+        gaps = {k: rng.randint(1, span) for k in range(rng.choice([60, 150]))}
+        pieces = {k: rng.randint(1, span) for k in range(130)}
+        rows = [(0, k, v) for k, v in gaps.items()] + [(1, k, v) for k, v in pieces.items()]
+        found = packing.match_best_fit(spark.createDataFrame(rows, "_kind int, _key long, _size long")).collect()
+        assert len(found) == len(rows)
+        taken = {r["_key"]: r["_partner"]["_key"] for r in found if r["_kind"] == 1 and r["_partner"]}
+        expected = brackets(gaps, pieces)
+        assert set(taken) == set(expected)
+        assert {k: gaps[g] for k, g in taken.items()} == {k: gaps[g] for k, g in expected.items()}
+        assert {r["_partner"]["_key"]: r["_key"] for r in found if r["_kind"] == 0 and r["_partner"]} == taken
+
+
+def best_fit_decreasing(sizes, capacity):
+    import bisect
+
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        place = bisect.bisect_left(gaps, size)
+        bisect.insort(gaps, (gaps.pop(place) if place < len(gaps) else capacity) - size)
+    return len(gaps)
+
+
+def test_sweeps_pack_nearly_as_tightly_as_one_piece_after_the_other(spark):
+    import random
+
+    rng = random.Random(1)
+    sizes = [rng.choice([rng.randint(1, 2047), rng.randint(1, 600), 100]) for _ in range(3000)]
+    sizes += [rng.randint(1, 12) for _ in range(9000)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "_key long, _size long")
+    placed = packing.place_items(items.filter("_size > 12 or _key % 40 = 0"), 2048).collect()
+    used = {r["_item"]: r["_seq"] for r in placed}
+    kept = [(k, n) for k, n in enumerate(sizes) if n > 12 or k % 40 == 0]
+    assert len(placed) == len(used) == len(kept)
+    filled = Counter()
+    for k, n in kept:
+        filled[used[k]] += n
+    assert max(filled.values()) <= 2048
+    assert len(filled) <= best_fit_decreasing([n for _, n in kept], 2048) * 1.005 + 1
+
+
+def test_short_pieces_come_in_bundles(spark):
+    sizes = sorted([5] * 1000 + [7] * 10 + [300, 128, 129], reverse=True)
+    rows = spark.createDataFrame(list(enumerate(sizes)), "_rank long, length long")
+    found = packing._bundled(rows, dict(Counter(sizes)), 2048).collect()
+    assert all(r["_item"] <= r["_rank"] for r in found)
+    bundles = Counter()
+    for r in found:
+        assert sizes[r["_item"]] == r["length"]
+        bundles[r["_item"]] += r["length"]
+    assert all(n <= 128 or n in sizes for n in bundles.values())
+    assert len(bundles) < 60 and sum(bundles.values()) == sum(sizes)
+    assert {r["_item"] for r in found if r["_rank"] >= len(sizes) - 6} == set(range(len(sizes) - 6, len(sizes)))
 
 
 def test_packed_pieces_are_the_documents_ids(spark):
