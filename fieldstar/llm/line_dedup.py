@@ -84,7 +84,7 @@ def _dropped(places: DataFrame, common: DataFrame) -> DataFrame:
     return met.filter(~F.col("_id").eqNullSafe(F.col("_keeper"))).select("_a", "_b", "_p")
 
 
-def _kept_text(text: Column, positions: Column) -> Column:
+def kept_text(text: Column, positions: Column) -> Column:
     """The text without the lines at the given ascending positions (0-based)."""
 
     def rebuilt(gone):
@@ -120,7 +120,7 @@ def _without_common(df: DataFrame, id_col: str, text_col: str, min_chars: int, m
     met = met.withColumn("_lost", F.coalesce("_lost", none))
     return met.select(
         "_row",
-        _kept_text(F.col("_whole"), F.col("_lost")).alias("_text"),
+        kept_text(F.col("_whole"), F.col("_lost")).alias("_text"),
         F.size(_lines(F.col("_whole"))).cast("long").alias("n_lines"),
         F.size("_lost").cast("long").alias("n_dropped"),
     )

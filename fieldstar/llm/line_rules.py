@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstar.llm.common import WORD, bind, query, table
+from fieldstar.llm.line_dedup import kept_text
 from fieldstar.session import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -55,6 +56,67 @@ def repeated_words(words: Column) -> Column:
     )
 
 
+def _has_words(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
+def normal(line: Column) -> Column:
+    """Lower case, single spaces, none at the ends; a single space stays as it is, so that most lines need no change."""
+    return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")))
+
+
+def _words_of(normal_line: Column) -> Column:
+    return F.size(F.split(normal_line, " ", -1)).cast("long")
+
+
+def _common(lines: DataFrame, docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(_in, _hash): lines that too many of a host's documents carry; lines by _host, _h, _id, documents by _host, _id."""
+    hosts = docs.groupBy("_host").agg(F.count_distinct(F.struct("_id")).alias("_docs"))
+    hosts = stage(hosts.withColumnRenamed("_host", "_at"), "line-hosts")  # so that the join can split a hot host
+    carried = lines.select("_host", "_h", "_id").distinct().groupBy("_host", "_h").count()
+    common = carried.filter(F.col("count") > min_docs).join(hosts, F.col("_host").eqNullSafe(F.col("_at")))
+    common = common.filter(F.col("count") > F.col("_docs") * max_share)
+    return common.select(F.col("_host").alias("_in"), F.col("_h").alias("_hash"))
+
+
+def remove_common_lines(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    min_docs: int = MIN_DOCS,
+    max_share: float = MAX_SHARE,
+) -> DataFrame:
+    """The rows of the frame, all columns as they are but the text, which loses the lines above its host's limit.
+
+    These are the lines whose words `quality_rules` counts as removed: a NULL
+    text stays NULL, lines without words stay, and the other lines keep their
+    order and line breaks. Rows that repeat id, host and text come out alike.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    names = (F.xxhash64(F.col(id_col), F.col(host_col), text), F.xxhash64(F.lit("second"), F.col(host_col), F.col(id_col), text))
+    hashed = F.transform(
+        F.split(text, "\n", -1),
+        lambda x, i: F.when(_has_words(x), F.struct(i.alias("_p"), F.xxhash64(normal(x)).alias("_h"))),
+    )
+    docs = stage(
+        df.select(
+            names[0].alias("_a"), names[1].alias("_b"), F.col(id_col).alias("_id"), F.col(host_col).alias("_host"),
+            F.filter(hashed, lambda x: x.isNotNull()).alias("_lines"),
+        ),
+        "line-places",
+    )
+    lines = docs.select("_a", "_b", "_id", "_host", F.inline("_lines"))
+    common = _common(lines, docs, min_docs, max_share)
+    met = lines.join(common, (F.col("_h") == F.col("_hash")) & F.col("_host").eqNullSafe(F.col("_in")), "left_semi")
+    lost = met.groupBy("_a", "_b").agg(F.sort_array(F.collect_set("_p")).alias("_lost"))
+    lost = stage(lost, "lines-to-remove")
+    whole = df.select(names[0].alias("_a"), names[1].alias("_b"), text.alias("_text"), F.struct("*").alias("_row"))
+    joined = whole.join(lost, ["_a", "_b"], "left").withColumn("_lost", F.coalesce("_lost", F.array().cast("array<int>")))
+    left = F.when(F.col(f"_row.`{text_col}`").isNotNull(), kept_text(F.col("_text"), F.col("_lost")))
+    return joined.select(*[left.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+
+
 def _figures(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     of_words = bind(
@@ -65,21 +127,14 @@ def _figures(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
             repeated_words(w).cast("long").alias("twice"),
         ),
     )
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    # A single space stays as it is, so that most lines need no replacement at all.
-    normal = lambda x: F.lower(F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")))
+    lines = F.filter(F.split(text, "\n", -1), _has_words)
     of_lines = bind(
         lines,
         lambda ls: F.struct(
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("again"),
             F.transform(
                 ls,
-                lambda x: bind(
-                    normal(x),
-                    lambda y: F.struct(
-                        F.xxhash64(y).alias("h"), F.size(F.split(y, " ", -1)).cast("long").alias("w")
-                    ),
-                ),
+                lambda x: bind(normal(x), lambda y: F.struct(F.xxhash64(y).alias("h"), _words_of(y).alias("w"))),
             ).alias("all"),
         ),
     )
@@ -115,6 +170,9 @@ def quality_rules(
 ) -> DataFrame:
     """One row per input row: id, the figures, removed_words, base_failed and kept.
 
+    removed_words are those of the lines that `remove_common_lines` takes out
+    of the text; a document that keeps too few of its words is not kept.
+
     A NULL text counts as empty; an empty text has no words and fails the base
     rules. Hosts are compared with NULL as a host of its own. Rows that repeat
     an id count as one document for line frequencies, and each gets its own
@@ -124,13 +182,7 @@ def quality_rules(
     lines = docs.select("_row", "_id", "_host", F.explode("_lines").alias("_line"))
     lines = lines.select("_row", "_id", "_host", F.col("_line.h").alias("_h"), F.col("_line.w").alias("_n"))
 
-    hosts = docs.groupBy("_host").agg(F.countDistinct(F.coalesce(F.col("_id"), F.lit(-1))).alias("_docs"))
-    hosts = stage(hosts.withColumnRenamed("_host", "_at"), "line-hosts")  # so that the join can split a hot host
-    carried = lines.select("_host", "_h", "_id").distinct().groupBy("_host", "_h").count()
-    common = carried.filter(F.col("count") > min_docs).join(hosts, F.col("_host").eqNullSafe(F.col("_at")))
-    common = common.filter(F.col("count") > F.col("_docs") * max_share)
-    common = common.select(F.col("_host").alias("_in"), F.col("_h").alias("_hash"))
-
+    common = _common(lines, docs, min_docs, max_share)
     met = lines.join(common, (F.col("_h") == F.col("_hash")) & F.col("_host").eqNullSafe(F.col("_in")))
     removed = met.groupBy("_row").agg(F.sum("_n").alias("removed_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (

@@ -4,9 +4,10 @@ Seeds are found by four regular expressions and checked (parts of an address,
 digits of a number, Luhn sums). What stands before a seed is a lexical pattern:
 the two words before it, or the one. Patterns and the instances (values) they
 precede form a graph. In every round a pattern is as good as the instances it
-meets, and an instance as good as the patterns that meet it; candidates whose
-patterns are trusted in the last round become spans of the kind that the
-patterns call for. Candidates are words that look like identifiers and that no
+meets, and an instance as good as the patterns that meet it. Instances that a
+round trusts support patterns in the next one as seeds do, so that what is
+learnt reaches contexts in which no seed stands; candidates whose patterns are
+trusted in the last round become spans of the kind that the patterns call for. Candidates are words that look like identifiers and that no
 seed covers.
 
 Plan at scale: one pass over the text makes seeds and candidates with their
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstar.llm.common import bind, query, table
-from fieldstar.llm.spans import matches
+from fieldstar.llm.spans import matches, overlapped
 from fieldstar.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,6 +43,7 @@ CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*
 MARKS = ".,;:!?()[]{}<>\"'"
 ROUNDS = 3
 TRUSTED = 0.6
+# Seeds, or instances that the last round trusts, which a pattern must meet.
 LEAST_SEEDS = 3
 PRIOR = 1.0
 
@@ -91,7 +93,7 @@ def _likely_kind(value: Column) -> Column:
 
 def _patterns(before: Column) -> Column:
     """Lexical patterns of a place: the last word before it, and the last two."""
-    plain = F.regexp_replace(F.lower(before), "[0-9]", "0")
+    plain = F.regexp_replace(F.lower(before), "[0-9]+", "0")
     words = F.regexp_extract_all(plain, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     pick = lambda w: F.array_distinct(
         F.array(F.array_join(F.slice(w, -F.least(F.size(w), F.lit(1)), 1), " "),
@@ -111,8 +113,9 @@ def _scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         head = F.length(x["v"]) - F.length(F.ltrim(x["v"], F.lit(MARKS)))
         value = F.trim(x["v"], F.lit(MARKS))
         return F.struct(
-            (x["s"] + head).alias("s"), (x["s"] + head + F.length(value)).alias("e"), value.alias("v"), x["c"].alias("c")
-        )
+            (x["s"] + head).alias("s"), (x["s"] + head + F.length(value)).alias("e"), value.alias("v"), x["c"].alias("c"),
+            x["a"].alias("a"),
+        )
 
     words = F.filter(
         F.transform(matches(text, CANDIDATE, "[0-9@]"), trimmed), lambda x: _likely_kind(x["v"]).isNotNull()
@@ -126,18 +129,21 @@ def _scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _occurrences(scanned: DataFrame) -> DataFrame:
-    """(_row, s, e, v, kind, seed, _pattern): every seed, and every candidate that no seed overlaps, by pattern."""
+    """(_row, s, e, v, kind, seed, _pattern): every seed, and every candidate that no seed overlaps, by pattern.
+
+    Places are rows of their own before they are compared, so that a text with
+    many of them never carries them all along with each.
+    """
     kinds = F.array(*[
         F.struct(F.lit(k).alias("kind"), F.lit(True).alias("seed"), F.col(f"_{k}").alias("all")) for k in KINDS
     ])
     seeds = scanned.select("_row", F.explode(kinds).alias("k"))
-    seeds = seeds.select("_row", "k.kind", "k.seed", F.explode("k.all").alias("x"))
-    covered = F.concat(*[F.col(f"_{k}") for k in KINDS])
-    free = scanned.filter(F.size("_words") > 0).select("_row", covered.alias("_c"), F.explode("_words").alias("x"))
-    clash = F.exists("_c", lambda o: (o["s"] < F.col("x.e")) & (o["e"] > F.col("x.s")))
-    free = free.filter(~clash).select("_row", _likely_kind(F.col("x.v")).alias("kind"), F.lit(False).alias("seed"), "x")
-    both = seeds.unionByName(free)
-    return both.select("_row", "kind", "seed", "x.s", "x.e", "x.v", F.explode(_patterns(F.col("x.c"))).alias("_pattern"))
+    seeds = seeds.select("_row", "k.kind", "k.seed", F.inline("k.all"))
+    words = scanned.select("_row", F.inline("_words"))
+    words = words.select("_row", _likely_kind(F.col("v")).alias("kind"), F.lit(False).alias("seed"), "s", "e", "v", "c", "a")
+    both = seeds.unionByName(words).withColumn("_clash", overlapped(F.col("seed")))
+    free = both.filter(F.col("seed") | ~F.col("_clash"))
+    return free.select("_row", "kind", "seed", "s", "e", "v", F.explode(_patterns(F.col("c"))).alias("_pattern"))
 
 
 def find_personal_data(
@@ -166,10 +172,11 @@ def find_personal_data(
     belief = graph.withColumn("_belief", F.col("seed").cast("double"))
     scores = None
     for _ in range(rounds):
+        # What an earlier round has made sure of induces patterns like a seed does.
         good = belief.groupBy("_pattern", "kind").agg(
-            F.sum("_belief").alias("_sum"), F.sum(F.col("seed").cast("long")).alias("_seeds")
+            F.sum("_belief").alias("_sum"), F.count_if(F.col("_belief") >= trusted).alias("_sure")
         )
-        good = good.filter(F.col("_seeds") >= least_seeds)
+        good = good.filter(F.col("_sure") >= least_seeds)
         scores = good.join(sizes, F.col("_pattern") == F.col("_p")).select(
             F.col("_pattern").alias("_by"), F.col("kind").alias("_kind"),
             (F.col("_sum") / (F.col("_n") + PRIOR)).alias("_score"),

@@ -4,8 +4,9 @@ Candidates are tokens of known provider formats, values assigned to a credential
 name, and long tokens of mixed characters. The forest sees a candidate's length,
 its transitions between character classes, its share of digits, capitals and hex
 digits, how much of it dictionary words cover, whether its path looks like a
-test or an example, and its neighbouring words. It is trained on labelled
-findings: those given, or by default findings that rules can label surely.
+test or an example, and its neighbouring words on both sides, hashed. It is
+trained on labelled findings: those given, or by default findings that rules can
+label surely; half of these secrets are learnt without the name they stand by.
 
 Plan at scale: one pass over the text makes candidates with their features and
 is written once; everything later works on candidates only. The dictionary is
@@ -19,15 +20,15 @@ functions and Spark's own forest.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstar.llm.common import query, table
-from fieldstar.llm.spans import matches
-from fieldstar.session import stage
+from fieldstar.llm.spans import matches, overlapped
+from fieldstar.session import stage, staging_path
 
 MIN_DOCS = 5
 # Of each label.
@@ -40,22 +41,34 @@ MIXED = 0.1
 SEED = 7
 
 TOKEN = r"[A-Za-z0-9+/_=.~-]"
-CREDENTIAL = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|bearer|private[_-]?key)"
+CREDENTIAL = (
+    r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|bearer|private[_-]?key"
+    r"|credentials?)"
+)
 # What may follow the credential word in a name: SECRET_ACCESS_KEY, token-prod. Parts before it need no pattern.
 NAME_PARTS = r"(?:[_.-]{1,2}[A-Za-z0-9]{1,64}+){0,8}+"
+# An assigned value has this many characters at least; inside quotes it reaches to the closing one.
+LEAST_VALUE = 6
+ASSIGN = r"[\x20\t]*+[:=][\x20\t]*+"
+VALUE = (
+    rf"(?:\"[^\"\n]{{{LEAST_VALUE},}}+\"|'[^'\n]{{{LEAST_VALUE},}}+'|[\"']?+[^\x20\x09-\x0D\"']{{{LEAST_VALUE},}}+)"
+)
 # Each rule's matches are single words or assignments of any length. Every quantifier is possessive or bounded, and a
 # token is tried from its first character only, so the time is linear in the text.
 RULES = {
-    "provider": rf"(?<!{TOKEN})(?:AKIA[0-9A-Z]{{16}}|gh[oprsu]_[A-Za-z0-9]{{36}}|xox[abprs]-[A-Za-z0-9-]{{10,}}+"
-    rf"|sk_live_[A-Za-z0-9]{{16,}}+|AIza[A-Za-z0-9_-]{{35}})(?!{TOKEN})",
-    "assigned": rf"(?i)(?<![A-Za-z0-9]){CREDENTIAL}{NAME_PARTS}[\"']?[\x20\t]{{0,4}}[:=][\x20\t]{{0,4}}[\"']?"
-    rf"[^\x20\x09-\x0D\"']{{8,}}+",
+    "provider": r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[oprsu]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_-])",
+    "assigned": rf"(?i)(?<![A-Za-z0-9]){CREDENTIAL}{NAME_PARTS}[\"']?{ASSIGN}{VALUE}",
     "generic": rf"(?<!{TOKEN})(?=[A-Za-z+/_=.~-]*+[0-9])(?=[0-9+/_=.~-]*+[A-Za-z]){TOKEN}{{16,}}+",
 }
 NEEDS = {"provider": r"AKIA|gh[oprsu]_|xox|sk_live_|AIza", "assigned": r"[:=]", "generic": r"[0-9]"}
 PLACEHOLDER = r"(?i)(example|changeme|placeholder|dummy|sample|redacted|your[_-]|xxxx|1234567|abcdef|(.)\1{5})"
+# Hashed buckets of the word before a candidate, and of the one after it.
+BUCKETS = 8
+NEIGHBOURS = [f"{side}{k}" for side in ("word_before_", "word_after_") for k in range(BUCKETS)]
 FEATURES = [
     "length", "transitions", "digits", "capitals", "hex", "distinct", "coverage", "test_path", "named", "before_short", "words_before",
+    *NEIGHBOURS,
 ]
 
 
@@ -69,31 +82,34 @@ def _candidates(df: DataFrame, id_col: str, text_col: str, path: Column) -> Data
     kinds = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("all")) for r in RULES])
     long = wide.select("_row", "_id", "_path", F.explode(kinds).alias("k"))
     long = long.select("_row", "_id", "_path", "k.rule", F.explode("k.all").alias("x"))
-    # An assignment's value is what follows the sign and an opening quote.
-    value = F.when(
-        F.col("rule") == "assigned", F.regexp_extract("x.v", r"(?s)^[^:=]*+[:=][\x20\t]*+[\"']?(.*)$", 1)
-    ).otherwise(F.col("x.v"))
-    trimmed = F.rtrim(value, F.lit(".,;:!?)]}"))
-    start = F.col("x.e") - F.length(value)
-    return long.select(
-        "_row", "_id", "_path", "rule", start.alias("start"), (start + F.length(trimmed)).alias("end"),
-        trimmed.alias("value"), F.concat(F.col("x.c"), F.substring(F.col("x.v"), F.lit(1), F.length("x.v") - F.length(value))).alias("before"),
+    # An assignment's value is what follows the sign, without the quotes around it.
+    raw = F.when(F.col("rule") == "assigned", F.regexp_extract("x.v", rf"(?s)^[^:=]*+[:=][\x20\t]*+(.*)$", 1)).otherwise(
+        F.col("x.v")
+    )
+    opens = F.col("_raw").rlike("^[\"']") & (F.col("rule") == "assigned")
+    closes = opens & (F.length("_raw") > 1) & (F.left("_raw", F.lit(1)) == F.right("_raw", F.lit(1)))
+    head, tail = F.when(opens, 1).otherwise(0), F.when(closes, 1).otherwise(0)
+    value = F.substring("_raw", head + 1, F.length("_raw") - head - tail)
+    trimmed = F.when(F.col("_closed"), F.col("_value")).otherwise(F.rtrim("_value", F.lit(".,;:!?)]}")))
+    start = F.col("x.e") - F.length("_raw") + F.col("_head")
+    known = long.withColumn("_raw", raw).withColumns({"_value": value, "_head": head, "_closed": closes})
+    return known.select(
+        "_row", "_id", "_path", "rule", start.alias("start"), (start + F.length(trimmed)).alias("end"), trimmed.alias("value"),
+        F.concat(F.col("x.c"), F.substring(F.col("x.v"), F.lit(1), F.length("x.v") - F.length("_raw") + F.col("_head"))).alias("before"),
+        F.col("x.a").alias("after"),
     )
 
 
 def _one_per_place(found: DataFrame) -> DataFrame:
     """Of candidates of one document that overlap, the surest rule's: provider, assigned, generic."""
-    order = F.when(F.col("rule") == "provider", 0).when(F.col("rule") == "assigned", 1).otherwise(2)
-    own = found.withColumn("_order", order)
-    sure = own.filter("_order < 2").groupBy(F.col("_row").alias("_at")).agg(
-        F.collect_list(F.struct("start", "end", "_order")).alias("_sure")
-    )
-    met = own.join(sure, F.col("_row") == F.col("_at"), "left")
-    beaten = F.exists(
-        F.coalesce("_sure", F.array().cast("array<struct<start:int,end:int,_order:int>>")),
-        lambda o: (o["_order"] < F.col("_order")) & (o["start"] < F.col("end")) & (o["end"] > F.col("start")),
-    )
-    return met.filter(~beaten).drop("_order", "_at", "_sure")
+    is_ = lambda rule: F.col("rule") == rule
+    seen = found.withColumns({
+        "_by_provider": overlapped(is_("provider"), "_row", "start", "end"),
+        "_by_assigned": overlapped(is_("assigned"), "_row", "start", "end"),
+    })
+    beaten = (~is_("provider") & F.col("_by_provider")) | (is_("generic") & F.col("_by_assigned"))
+    # An assignment that only a provider's format has beaten does not beat in its turn: its own place is the provider's.
+    return seen.filter(~beaten).drop("_by_provider", "_by_assigned")
 
 
 def common_words(df: DataFrame, text_col: str, least: int) -> DataFrame:
@@ -120,6 +136,13 @@ def _features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "0")
     same = F.regexp_count(shape, F.lit(r"([aB0])(?=\1)"))
     last = F.regexp_extract("before", r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D\"']*$", 1)
+    next_ = F.regexp_extract("after", r"^[\x20\x09-\x0D\"']*([^\x20\x09-\x0D]++)", 1)
+    word = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}]", "")
+    bucket = lambda c: F.when(word(c) != "", F.crc32(word(c).cast("binary")) % BUCKETS)
+    of = {"word_before_": bucket(last), "word_after_": bucket(next_)}
+    neighbours = {
+        f"{side}{k}": F.coalesce(of[side] == k, F.lit(False)).cast("double") for side in of for k in range(BUCKETS)
+    }
     return _covered(found, dictionary).withColumns({
         "length": size,
         "transitions": (size - 1 - same) / size,
@@ -132,6 +155,7 @@ def _features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
         "named": F.col("before").rlike(rf"(?i){CREDENTIAL}{NAME_PARTS}[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?$").cast("double"),
         "before_short": (F.length(last) <= 3).cast("double"),
         "words_before": F.size(F.split(F.trim("before"), r"[\x20\x09-\x0D]+")).cast("double"),
+        **neighbours,
     }).drop("covered")
 
 
@@ -179,6 +203,9 @@ def scan_secrets(
     known = stage(known, "secret-labelled")
     first = lambda label: known.filter(F.col("label") == label).orderBy(F.xxhash64("value"), "value").limit(max_findings)
     known = stage(first(0).unionByName(first(1)), "secret-labels")
+    # Half of the secrets are learnt without their names, or the forest would only learn the rules again.
+    hidden = (F.col("label") == 1) & (F.crc32(F.col("value").cast("binary")) % 2 == 0)
+    known = known.withColumn("named", F.when(hidden, 0.0).otherwise(F.col("named")))
     out = [
         F.col("_id").alias(id_col), "start", "end", "rule", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
         "score", (F.col("score") >= accept).alias("is_secret"),
@@ -193,7 +220,10 @@ def scan_secrets(
     )
     half = sum(sizes.values()) / 2
     weight = F.when(F.col("label") == 1, half / sizes[1.0]).otherwise(half / sizes[0.0])
-    model = forest.fit(assembler.transform(known.withColumn("weight", weight)))
+    path = staging_path(df.sparkSession, "secret-forest")
+    forest.fit(assembler.transform(known.withColumn("weight", weight))).write().save(path)
+    # Read back, the model has no training summary, which would drag the session into its tasks.
+    model = RandomForestClassificationModel.load(path)
     scored = model.transform(assembler.transform(found))
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*out)
 

@@ -5,9 +5,9 @@ times its own words; what a capped source cannot take is shared again by
 weight among the others. Each source takes complete epochs first and fills
 the rest by weighted sampling without replacement: every document draws the
 exponential key -ln(u) / quality, documents are sorted by it within their
-source, and the prefix whose words fit the rest of the budget is taken. A
-second prefix, over the documents left that still fit, closes the gap that a
-large document leaves.
+source, and the prefix whose words fit the rest of the budget is taken. More
+prefixes follow, each over the documents left that still fit what is left, until
+none does: the same documents as if each in its turn was taken that still fits.
 
 Plan at scale: the text is read once, for its word counts; rows of five small
 columns are written and all else works on those. The sort within a source is a
@@ -20,6 +20,8 @@ task. All of it is built-in functions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,8 +97,11 @@ def mix_sources(
 
     A NULL text has no words. A NULL source is a source of its own, the last.
     Rows of equal key are taken in the order of id and size; rows that repeat
-    both are alike, so either choice gives the same result. A source without
-    words takes nothing. An empty table gives no row. Other columns are ignored.
+    both are alike, so either choice gives the same result. No document has
+    more than `max_epochs` copies; one without words has those of the complete
+    epochs. A source without words takes nothing. No document that is left out
+    of the last, partial epoch would fit what its source's target still lacks.
+    An empty table gives no row. Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(
@@ -108,32 +113,40 @@ def mix_sources(
     rows = stage(rows, "mix-sizes")
     sources = source_targets(rows.groupBy("_source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     sources = sources.withColumn("_epochs", F.floor(F.col("target") / F.greatest("source_size", F.lit(1))))
-    sources = sources.withColumn("_budget", F.col("target") - F.col("_epochs") * F.col("source_size"))
+    budget = F.floor(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long")
+    sources = sources.withColumn("_rest", budget)
     met = rows.join(
         sources.withColumnRenamed("_source", "_from"), F.col("_source").eqNullSafe(F.col("_from"))
     ).drop("_source", "_from")
     order = ["_s", "_key", "_id", "size"]
     ranged = met.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stage(ranged.withColumn("_part", F.spark_partition_id()), "mix-order")
-
-    first = _prefix(placed, "size").withColumn("_in", F.col("_run") <= F.col("_budget")).drop("_run")
-    first = stage(first, "mix-first")
-    # What is spent reaches the rows by partition, not by source: a join on the source would gather a hot one.
-    spent = first.filter("_in").groupBy("_s").agg(F.sum("size").alias("_spent"))
-    spent = first.select("_s", "_part").distinct().join(spent, "_s", "left")
-    left = first.join(spent, ["_s", "_part"])
-    left = left.withColumn("_left", F.col("_budget") - F.coalesce(F.col("_spent"), F.lit(0)))
-    fits = ~F.col("_in") & (F.col("size") <= F.col("_left"))
-    second = _prefix(left.withColumn("_fits", F.when(fits, F.col("size")).otherwise(0)), "_fits")
-    taken = F.col("_in") | (fits & (F.col("_run") <= F.col("_left")))
-    copies = F.col("_epochs") + F.when(taken, 1).otherwise(0)
-    return second.select(
+    left = stage(ranged.withColumn("_part", F.spark_partition_id()), "mix-order")
+
+    done = []
+    while True:
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("_rest"))
+        done.append(left.filter(~fits).withColumn("copies", F.col("_epochs")))
+        open_ = left.filter(fits)
+        if done[1:] and open_.isEmpty():
+            break
+        swept = _prefix(open_, "size").withColumn("_in", F.col("_run") <= F.col("_rest")).drop("_run")
+        swept = stage(swept, "mix-sweep")
+        done.append(swept.filter("_in").withColumn("copies", F.col("_epochs") + 1))
+        # What is spent reaches the rows by partition, not by source: a join on the source would gather a hot one.
+        spent = swept.filter("_in").groupBy("_s").agg(F.sum("size").alias("_spent"))
+        spent = swept.select("_s", "_part").distinct().join(spent, "_s", "left")
+        left = swept.filter("not _in").drop("_in").join(spent, ["_s", "_part"])
+        left = left.withColumn("_rest", F.col("_rest") - F.coalesce("_spent", F.lit(0))).drop("_spent")
+        left = stage(left, "mix-left")
+    columns = ["_id", "size", "source_size", "target", "copies"]
+    every = reduce(DataFrame.unionByName, [d.select(*columns) for d in done])
+    return every.select(
         F.col("_id").alias(id_col),
         "size",
         "source_size",
         "target",
-        copies.alias("copies"),
-        (F.col("size") * copies).alias("taken"),
+        "copies",
+        (F.col("size") * F.col("copies")).alias("taken"),
     )
 
 
@@ -164,7 +177,7 @@ def copies_to_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 @query(
     "op10_source_mixing",
     rf"""
-    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+    WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
     z AS (SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
                  -ln((('0x' || substr(md5('{SEED}:' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
                  / (1.0 / (1.0 + {PENALTY}::DOUBLE * (length(t) - length(translate(t, '#*$%&|<>!', '')))
@@ -182,15 +195,16 @@ def copies_to_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  CASE WHEN rank < first THEN {MAX_EPOCHS}::DOUBLE * source_size ELSE (w * t)::DOUBLE / v END AS target
           FROM o, f),
     e AS (SELECT *, floor(target / greatest(source_size, 1))::BIGINT AS epochs FROM g),
-    b AS (SELECT z.doc_id, z.size, z.k, e.*, target - epochs * source_size AS budget
+    b AS (SELECT row_number() OVER () AS r, z.doc_id, z.size, z.k, e.*,
+                 floor(target - epochs * source_size)::BIGINT AS budget
           FROM z JOIN e ON z.source IS NOT DISTINCT FROM e.source),
-    p AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) <= budget
-                 AS a FROM b),
-    l AS (SELECT *, budget - coalesce(sum(size) FILTER (WHERE a) OVER (PARTITION BY source), 0) AS rest FROM p),
-    q AS (SELECT *, NOT a AND size <= rest AS fits FROM l),
-    c AS (SELECT *, epochs + CASE WHEN a OR (fits AND sum(CASE WHEN fits THEN size ELSE 0 END) OVER
-                 (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest) THEN 1 ELSE 0 END
-                 AS copies FROM q)
+    n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size) AS turn FROM b WHERE size > 0),
+    turns AS (
+        SELECT DISTINCT source, 0 AS turn, budget AS rest, 0 AS r, FALSE AS taken FROM n
+        UNION ALL
+        SELECT n.source, n.turn, CASE WHEN n.size <= rest THEN rest - n.size ELSE rest END, n.r, n.size <= rest
+        FROM turns AS t JOIN n ON n.source IS NOT DISTINCT FROM t.source AND n.turn = t.turn + 1),
+    c AS (SELECT b.*, epochs + CASE WHEN t.taken THEN 1 ELSE 0 END AS copies FROM b LEFT JOIN turns AS t ON t.r = b.r)
     SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM c
     """,
 )

@@ -9,15 +9,23 @@ from collections import Counter
 import pytest
 from fixtures import documents, frame
 
-from fieldstar.llm.line_rules import quality_rules
+from pyspark.sql import functions as F
+
+from fieldstar.llm.block_dedup import exact_dedup
+from fieldstar.llm.line_rules import quality_rules, remove_common_lines
 from fieldstar.llm.maxent_lm import score_language
+from fieldstar.llm.ngram_join import ngram_join
 from fieldstar.llm import packing
 from fieldstar.llm.packing import CAPACITY, pack_best_fit
 from fieldstar.llm.personal_data import KINDS, find_personal_data
+from fieldstar.llm.secret_forest import scan_secrets
 from fieldstar.llm.source_mixing import copies_to_mix, mix_sources
 from fieldstar.llm.trie_counts import BYTE_SCORE, MARK, VOCABULARY, piece_scores, token_counts
 from fieldstar.llm.tokens import vocabulary_path
 
+TEXT_OPERATORS = [
+    exact_dedup, token_counts, ngram_join, find_personal_data, pack_best_fit, scan_secrets, score_language, quality_rules, mix_sources,
+]
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -287,6 +295,53 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert found[101]["spans"] == ""
 
 
+def test_a_list_of_identifiers_takes_time_in_proportion(spark):
+    """Addresses and words like them, 100,000 in one text: none drags all others along."""
+    many = 50_000
+    text = " ".join(f"u{i}@host{i}.org x{i}@y{i}" for i in range(many))
+    rows = [(1, text, "s"), (2, "", "s")]
+    found = {r["doc_id"]: r for r in find_personal_data(frame(spark, rows)).collect()}
+    assert (found[1]["n_email"], found[1]["n_added"]) == (many, 0)  # what stands before the words stands before no seed
+
+
+def test_what_is_learnt_leads_to_contexts_without_a_seed(spark):
+    rows = [(i, f"reach me under mailbox user{i}@site{i}.org please", "s") for i in range(12)]
+    rows += [(100 + i, f"reach me under mailbox odd{i}@host{i} or use alias box odd{i}@host{i} then", "s") for i in range(6)]
+    rows += [(200, "try alias box lone@place then", "s"), (201, "nothing like other@place then", "s")]
+    one, three = (
+        {r["doc_id"]: r["spans"] for r in find_personal_data(frame(spark, rows), rounds=k).collect()} for k in (1, 3)
+    )
+    assert one[200] == one[201] == three[201] == ""
+    assert three[200] == "email:14:24"
+    assert [s.split(":")[0] for s in three[100].split(",")] == ["email", "email"]
+
+
+def test_contexts_reach_over_earlier_matches(spark):
+    from fieldstar.llm.spans import matches
+
+    text = "alpha beta 11 gamma 22 33 44 55 66 delta 77"
+    df = spark.createDataFrame([(text,), ("9",)], "t string")
+    found = df.select(F.inline(matches(F.col("t"), "[0-9]+", "[0-9]"))).collect()
+    for r in found:
+        own = text if r["e"] > 1 else "9"
+        assert own[r["s"] : r["e"]] == r["v"]
+        assert own[: r["s"]].endswith(r["c"]) and own[r["e"] :].startswith(r["a"])
+        assert len(r["c"].split()) >= min(2, len(own[: r["s"]].split()))
+
+
+def test_overlaps_are_those_of_all_pairs(spark):
+    import random
+
+    from fieldstar.llm.spans import overlapped
+
+    rng = random.Random(7)
+    rows = [(r, s, s + rng.randint(1, 9), rng.random() < 0.4) for r in range(12) for s in rng.choices(range(120), k=40)]
+    df = spark.createDataFrame(rows, "_row int, s int, e int, sure boolean")
+    for r in df.withColumn("met", overlapped(F.col("sure"))).filter("not sure").collect():
+        expected = any(row == r["_row"] and sure and s < r["e"] and e > r["s"] for row, s, e, sure in rows)
+        assert r["met"] == expected
+
+
 # --- mixing -------------------------------------------------------------------------------------------------------
 
 
@@ -329,6 +384,30 @@ def test_mix_meets_its_targets_and_reruns_agree(spark):
     assert mix_sources(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", ["a", "b", "c", "d"])
+def test_mix_leaves_nothing_out_that_would_fit(spark, seed):
+    """Documents in their turn, each taken if it still fits: brute force over the same keys."""
+    import random
+
+    rng = random.Random(seed)
+    rows = [(i, "w " * rng.choice([0, 1, 1, 2, 7, 30, 400]), f"s{rng.choice('01234555')}") for i in range(250)]
+    rows += [(500 + i, "", "capped") for i in range(3)] + [(510, "a b c", "capped"), (511, "", "void"), (512, None, "void")]
+    found = mix_sources(frame(spark, rows), seed=seed).collect()
+    texts, by_source = {i: (t, s) for i, t, s in rows}, {}
+    for r in found:
+        assert r["copies"] <= 3
+        by_source.setdefault(texts[r["doc_id"]][1], []).append(r)
+    assert {r["copies"] for r in by_source["capped"]} == {3}
+    assert {r["copies"] for r in by_source["void"]} == {0}
+    for members in by_source.values():
+        size, target = members[0]["source_size"], members[0]["target"]
+        epochs = int(target // max(size, 1))
+        rest = math.floor(target - epochs * size)
+        spent = sum(r["size"] for r in members if r["copies"] > epochs)
+        assert spent <= rest
+        assert not any(0 < r["size"] <= rest - spent for r in members if r["copies"] == epochs)
+
+
 def test_mix_takes_better_documents_first(spark):
     rows = [(i, "word " * 10 + ("|#*$ " * 10 if i % 2 else "text " * 10), "a") for i in range(400)]
     rows += [(1000 + i, "word " * 20, "b") for i in range(400)]
@@ -347,6 +426,49 @@ def test_mix_as_rows(spark):
     assert Counter(r["doc_id"] for r in rows.collect()) == +taken
 
 
+def test_text_without_common_lines(spark):
+    line = lambda j, k: " ".join(f"{k}{j}x{w}" for w in range(12))
+    common = [f"  Common {j} line\t{line(j, 'c')} " for j in range(4)]
+    rows = [(i, "\n".join([line(i, "o"), common[i % 4].upper(), " ", common[0], line(i, "p")]), "h") for i in range(40)]
+    rows += [(50, None, "h"), (51, "", "h"), (52, common[0], "other"), (None, common[0] + "\n\nown", "h"), rows[3]]
+    spare = re.compile("[\x20\x09-\x0D]+")
+    norm = lambda x: spare.sub(" ", x).strip(" ").lower()
+    docs, total = {}, {}
+    for i, text, host in rows:
+        total.setdefault(host, set()).add(i)
+        for x in (text or "").split("\n"):
+            if SPLIT.search(x):
+                docs.setdefault((host, norm(x)), set()).add(i)
+    gone = lambda host, x: SPLIT.search(x) and len(docs[host, norm(x)]) > max(5, 0.01 * len(total[host]))
+    expected = Counter(
+        (i, None if text is None else "\n".join(x for x in text.split("\n") if not gone(host, x))) for i, text, host in rows
+    )
+    df = frame(spark, rows)
+    kept = remove_common_lines(df)
+    assert kept.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == expected
+    words = lambda t: len(SPLIT.findall(t or ""))
+    left = Counter((i, words(text) - words(next(t for j, t in expected if j == i))) for i, text, _ in rows)
+    assert Counter((r["doc_id"], r["removed_words"]) for r in quality_rules(df).collect()) == left
+    assert remove_common_lines(frame(spark, [])).count() == 0
+
+
+def named(spark):
+    """The fixture with ids as text."""
+    df = frame(spark)
+    return df.withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+
+
+@pytest.mark.parametrize("operator", TEXT_OPERATORS)
+def test_ids_may_be_text(spark, operator):
+    found = operator(named(spark)).select("doc_id").collect()
+    kept = Counter(r["doc_id"] for r in named(spark).collect())
+    if operator in (pack_best_fit, scan_secrets):
+        assert {r["doc_id"] for r in found} <= set(kept)
+    else:
+        assert Counter(r["doc_id"] for r in found) == kept
+
+
 @pytest.mark.parametrize("operator", [quality_rules, find_personal_data, mix_sources, token_counts, score_language])
 def test_rows_with_nulls_only(spark, operator):
     assert operator(frame(spark, [(None, None, None), (None, None, None)])).count() == 2

@@ -60,9 +60,20 @@ def test_classifier_on_odd_tables(spark):
     assert len(plain) == len(documents())
     assert {r["score"] for r in plain} == {0.5}
     every = line_crf.score_quality(frame(spark), spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int"))
+    assert {r["score"] for r in every.collect()} == {0.5}
     assert every.count() == len(documents())
 
 
+def test_classifier_learns_from_long_documents_and_once_per_id(spark, monkeypatch):
+    docs, labels = labelled(spark, 60)
+    monkeypatch.setattr(line_crf, "MAX_TRAINING_LINES", 3)
+    again = docs.unionByName(docs.filter("doc_id < 20")).unionByName(docs.filter("doc_id < 20"))
+    sample = line_crf.training_sample(again, labels, "doc_id", "text", "quality", 4000)
+    expected = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60))
+    assert len(sample[0]) == len(sample[1]) == expected
+    assert max(len(d) for d in sample[0]) == 3 and len(set(sample[1])) == 2
+
+
 def test_marginals_are_sums_over_all_labellings():
     rng = np.random.default_rng(2)
     ratios, go = np.exp(rng.normal(size=6)), np.exp(rng.normal(size=(2, 2)))
