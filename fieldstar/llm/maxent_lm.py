@@ -3,28 +3,35 @@
 The model predicts a word's class from its history and the word from its class:
 log P(w | h) = log softmax_class(b + sum of weights of active features) + log P(w | class).
 Features are the word before (n-gram of two), the two words before (n-gram of
-three) and the word two back (skip), hashed into ROWS weight vectors. The most
-frequent words are classes of their own; others share a class by their ending,
-so that a word never seen has one too. Words within a class are smoothed counts
-with one share for all unseen words, which makes the model a distribution.
+three) and the word two back (skip), hashed into weight vectors whose number
+follows the square root of the training tokens, so that what is learnt from
+context grows with the corpus. The most frequent words are classes of their own;
+others share a class by their ending, so that a word never seen has one too.
+Words within a class are smoothed counts with one share for all unseen words,
+which makes the model a distribution.
 
 Training is parallel stochastic gradient ascent over all documents that are not
 held out: in each round every task starts from the shared weights and updates
-them over its documents in batches, and each weight vector is averaged over the
-tasks that met it, by their numbers of tokens with it; one that no task met
-keeps its values. Scores are sums over sparse numpy batches.
+those that its batches meet, and each weight vector's changes are averaged over
+the tasks that met it, by their numbers of tokens with it; one that no task met
+keeps its values. Tasks send the changes of the vectors they met, in half
+precision; these are added up per range of vectors. Scores are sums over sparse
+numpy batches.
 
 Plan at scale: documents are encoded once, in chunks that carry their distinct
 words and the places of these; a shuffle then moves a word once per chunk rather
-than once per occurrence, and training needs no text. Word counts are exact over
-all training documents and joined to the chunks by word; a word that occurs in
-every chunk is one row per chunk, and the join can split it. Weights have a
-fixed size; their averages pass two levels, so that neither a task nor the
-driver receives more as the input grows.
+than once per occurrence, and training and scoring need no text, only hashes of
+the distinct words. Word counts are exact over all training documents and joined
+to the chunks by word; a word that occurs in every chunk is one row per chunk,
+and the join can split it. Every task and the driver hold all weight vectors:
+TASK_VECTORS tokens a vector and task make both the vectors and the tasks grow
+with the square root of the corpus, and so what a round sends in proportion to
+the corpus. 10^8 tokens have 2^15 vectors (4 MB), 10^12 have 2^21 (268 MB).
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -42,14 +49,17 @@ OWN_CLASSES = 16
 ENDING_CLASSES = 16
 CLASSES = OWN_CLASSES + ENDING_CLASSES
 ENDING = 3
+# Weight vectors: at least ROWS, and the power of two from twice the square root of the training tokens.
 ROWS = 1 << 14
 ROUNDS = 2
 RATE = 0.2
 BATCH = 20_000
-CHUNK_DOCS = 1024
-CHUNK_TOKENS = 600_000
-PARTS = 8
-SALTS = 16
+CHUNK_DOCS = 4096
+CHUNK_TOKENS = 2_400_000
+PART = 512
+TASK_VECTORS = 100
+TASKS = 32
+LONG = 16
 END = b""
 
 
@@ -61,157 +71,219 @@ class Places(dict):
         return place
 
 
+def planes(codes: np.ndarray) -> bytes:
+    """32-bit places byte by byte: low bytes first, so that the high ones, mostly zero, compress."""
+    return np.ascontiguousarray(codes.astype("<u4").view("u1").reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
 def _encode(batches):
-    """Chunks of documents: ids, held-out marks, token counts, distinct words and the tokens as places in these."""
+    """Chunks of documents: ids, held-out marks, token counts, distinct words, their hashes and endings' classes, and
+    the tokens as places in these."""
     number, first = 0, TaskContext.get().partitionId() << 32
     for batch in batches:
         ids, held, texts = batch.column(0), batch.column(1), batch.column(2).cast(pa.binary())
         at = 0
         while at < batch.num_rows:
-            split, tokens, end = [], 0, at
+            place, codes, tokens, end = Places(), [], 0, at
             while end < batch.num_rows and end - at < CHUNK_DOCS and tokens < CHUNK_TOKENS:
                 words = (texts[end].as_py() or b"").lower().split()
                 words.append(END)
-                split.append(words)
+                codes.append(np.fromiter(map(place.__getitem__, words), "u4", len(words)))
                 tokens += len(words)
                 end += 1
-            place = Places()
-            codes = np.concatenate([np.fromiter(map(place.__getitem__, w), "<i4", len(w)) for w in split])
             size = end - at
             listed = lambda column: pa.ListArray.from_arrays(pa.array([0, size], "i4"), column)  # noqa: E731, B023
             columns = [
                 pa.array([first + number], "i8"),
                 listed(ids.slice(at, size)),
                 listed(held.slice(at, size)),
-                pa.array([[len(w) for w in split]], pa.list_(pa.int64())),
+                pa.array([[len(c) for c in codes]], pa.list_(pa.int64())),
                 pa.array([list(place)], pa.list_(pa.binary())),
-                pa.array([codes.tobytes()], pa.binary()),
+                pa.array([np.fromiter(map(word_name, place), "<u4", len(place)).tobytes()], pa.binary()),
+                pa.array([bytes(map(ending_class, place))], pa.binary()),
+                pa.array([planes(np.concatenate(codes))], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", "ids", "held", "sizes", "words", "codes"])
+            yield pa.RecordBatch.from_arrays(
+                columns, ["chunk", "ids", "held", "sizes", "words", "names", "endings", "codes"]
+            )
             number, at = number + 1, end
 
 
-def _chunks(batches):
-    """(ids and words as Arrow, held, sizes, codes, batch, row) per encoded row."""
+def _count(batches):
+    """Counts of the training documents' words, one row per chunk and word."""
     for batch in batches:
         for row in range(batch.num_rows):
-            sizes = np.array(batch.column(3)[row].as_py(), "i8")
-            held = np.array(batch.column(2)[row].as_py(), bool)
-            codes = np.frombuffer(batch.column(5)[row].as_py(), "<i4")
-            yield batch.column(1)[row].values, batch.column(4)[row].values, held, sizes, codes, batch, row
+            held, sizes, words, codes = (column[row] for column in batch.columns)
+            words, held = words.values, np.array(held.as_py(), bool)
+            trained = np.repeat(~held, np.array(sizes.as_py(), "i8"))
+            counts = np.bincount(from_planes(codes.as_py())[trained], minlength=len(words))
+            found = counts > 0
+            yield pa.RecordBatch.from_arrays([words.filter(pa.array(found)), pa.array(counts[found])], ["word", "c"])
 
 
-def _count(batches):
-    """Counts of the training documents' words, one row per chunk and word."""
-    for _, words, held, sizes, codes, _, _ in _chunks(batches):
-        counts = np.bincount(codes[np.repeat(~held, sizes)], minlength=len(words))
-        found = counts > 0
-        yield pa.RecordBatch.from_arrays([words.filter(pa.array(found)), pa.array(counts[found])], ["word", "c"])
+def word_name(word: bytes) -> int:
+    """The hash by which features and classes know a word."""
+    return zlib.crc32(word)
+
 
+def ending_class(word: bytes) -> int:
+    return OWN_CLASSES + zlib.crc32(word[-ENDING:]) % ENDING_CLASSES
 
-def word_class(word: bytes, own: dict[bytes, int]) -> int:
-    """A frequent word's own class, or the class of its ending."""
-    found = own.get(word)
-    return OWN_CLASSES + zlib.crc32(word[-ENDING:]) % ENDING_CLASSES if found is None else found
 
+def classes_of(names: np.ndarray, endings: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """A frequent word's own class, or the class of its ending; `own` has the frequent words' names."""
+    found = endings.astype("i8")
+    for place, name in enumerate(own):
+        found[names == name] = place
+    return found
 
-def features(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(tokens, 3) weight rows: the word before, the two words before, the word two back; 0 stands before a text."""
+
+def histories(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per token the word before and the one before that; 0 stands before a text."""
     one, two = np.zeros_like(names), np.zeros_like(names)
     one[1:], two[2:] = names[:-1], names[:-2]
     one[starts] = 0
     two[starts] = 0
     second = starts + 1
     two[second[second < len(names)]] = 0
-    factor = np.uint64(0x9E3779B97F4A7C15)
-    found = np.empty((len(names), 3), "u8")
-    found[:, 0] = (one + np.uint64(1)) * factor
-    found[:, 1] = ((one + np.uint64(3)) * factor ^ two) * factor
-    found[:, 2] = (two + np.uint64(11)) * factor
-    return ((found ^ (found >> np.uint64(29))) * factor >> np.uint64(40)).astype("i8") % ROWS
+    return one, two
 
 
-def log_softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Log-probabilities of all classes for each token."""
-    scores = weights[rows[:, 0]] + weights[rows[:, 1]]
-    scores += weights[rows[:, 2]]
+def hashed(one: np.ndarray, two: np.ndarray, rows: int) -> np.ndarray:
+    """(tokens, 3) weight rows: the word before, the two words before, the word two back."""
+    one, two, factor = one.astype("u8"), two.astype("u8"), np.uint64(0x9E3779B97F4A7C15)
+    found = np.empty((3, len(one)), "u8")
+    found[0] = (one + np.uint64(1)) * factor
+    found[1] = ((one + np.uint64(3)) * factor ^ two) * factor
+    found[2] = (two + np.uint64(11)) * factor
+    found ^= found >> np.uint64(29)
+    found *= factor
+    found >>= np.uint64(24)
+    found &= np.uint64(rows - 1)
+    return found.astype("i8").T
+
+
+def features(names: np.ndarray, starts: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """(tokens, 3) weight rows of a text's tokens; `rows` is a power of two."""
+    return hashed(*histories(names, starts), rows)
+
+
+def _scores(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    scores = weights.take(rows[:, 0], 0)
+    scores += weights.take(rows[:, 1], 0)
+    scores += weights.take(rows[:, 2], 0)
     scores += bias
     scores -= scores.max(1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(1, keepdims=True))
     return scores
 
 
-def update(rows: np.ndarray, truth: np.ndarray, bias: np.ndarray, weights: np.ndarray, spread: np.ndarray) -> None:
-    """One gradient step over a batch, scaled by each weight's own history."""
-    error = -np.exp(log_softmax(rows, bias, weights))
-    error[np.arange(len(truth)), truth] += 1
-    by_class, by_feature = np.ascontiguousarray(error.T, "f8"), np.ascontiguousarray(rows.T)
-    slope = np.zeros((CLASSES, len(weights)))
-    for own, values in zip(slope, by_class, strict=True):
-        for feature in by_feature:
-            own += np.bincount(feature, values, len(weights))
-    slope = slope.T
-    spread += slope * slope
-    weights += RATE * slope / np.sqrt(spread)
-
+def log_softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Log-probabilities of all classes for each token."""
+    scores = _scores(rows, bias, weights)
+    scores -= np.log(np.exp(scores).sum(1, keepdims=True))
+    return scores
 
-def _names(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w) + 1 for w in words), "u8", len(words))
 
+def sums_by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct weight rows of a batch, and the sums of `values` over the tokens that have them.
 
-def _classes(words: list[bytes], own: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((word_class(w, own) for w in words), "i8", len(words))
+    The rows with most tokens stand first: the k-th token of all rows that have
+    one is then one array operation; rows of over LONG tokens are few.
+    """
+    keys = (rows.T << 32 | np.arange(len(rows))).ravel()
+    keys.sort()
+    flat, token = keys >> 32, keys & 0xFFFFFFFF
+    first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    size = np.diff(np.r_[first, len(flat)])
+    by_size = (-np.minimum(size, LONG + 1)).astype("i2").argsort(kind="stable")
+    met, first, size = flat[first[by_size]], first[by_size], size[by_size]
+    long = int((size > LONG).sum())
+    total = values.take(token[first], 0)
+    for k in range(1, LONG):
+        some = int((size > k).sum())
+        total[long:some] += values.take(token[first[long:some] + k], 0)
+    if long:
+        tail = np.concatenate([token[a : a + n] for a, n in zip(first[:long], size[:long], strict=True)])
+        total[:long] = np.add.reduceat(values.take(tail, 0), np.r_[0, np.cumsum(size[:long])[:-1]], axis=0)
+    return met, total
 
 
-def _sums(part: int, salt: int, met: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([part], "i4"), pa.array([salt], "i4"), pa.array([met.tobytes()]), pa.array([total.tobytes()])]
-    return pa.RecordBatch.from_arrays(columns, ["part", "salt", "met", "total"])
+def update(rows: np.ndarray, truth: np.ndarray, bias: np.ndarray, weights: np.ndarray, spread: np.ndarray) -> None:
+    """One gradient step over a batch, on the weights it meets, scaled by each weight's own history."""
+    error = _scores(rows, bias, weights)
+    np.exp(error, out=error)
+    error *= (-1 / error.sum(1))[:, None]
+    error[np.arange(len(truth)), truth] += 1
+    met, slope = sums_by_row(rows, error)
+    history = spread.take(met, 0)
+    history += slope * slope
+    spread[met] = history
+    slope /= np.sqrt(history, out=history)
+    slope *= RATE
+    slope += weights.take(met, 0)
+    weights[met] = slope
+
+
+def _training(batches, own: np.ndarray):
+    """(names per token, starts, classes per token) of the training documents, per chunk."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            held, sizes, names, endings, codes = (column[row].as_py() for column in batch.columns)
+            held, sizes = np.array(held, bool), np.array(sizes, "i8")
+            codes = from_planes(codes)[np.repeat(~held, sizes)]
+            if len(codes):
+                names, endings = np.frombuffer(names, "<u4"), np.frombuffer(endings, "u1")
+                starts = np.r_[0, np.cumsum(sizes[~held])[:-1]]
+                yield names[codes], starts, classes_of(names, endings, own)[codes]
 
 
-def _train(batches, own: dict[bytes, int], bias: np.ndarray, shared: np.ndarray):
-    """This task's weights after its documents, times the tokens that met them, and these numbers, in PARTS rows."""
+def _train(batches, own: np.ndarray, bias: np.ndarray, shared: np.ndarray):
+    """Changes of the weight vectors that this task's documents met and their numbers of tokens, in ranges of PART."""
     weights, spread, met = shared.copy(), np.ones_like(shared), np.zeros(len(shared), "i8")
-    for _, words, held, sizes, codes, _, _ in _chunks(batches):
-        codes, words = codes[np.repeat(~held, sizes)], words.to_pylist()
-        if not len(codes):
-            continue
-        starts = np.r_[0, np.cumsum(sizes[~held])[:-1]]
-        rows, truth = features(_names(words)[codes], starts), _classes(words, own)[codes]
-        for at in range(0, len(codes), BATCH):
-            update(rows[at : at + BATCH], truth[at : at + BATCH], bias, weights, spread)
-        met += np.bincount(rows.ravel(), minlength=len(met))
-    if met.any():
-        salt = TaskContext.get().partitionId() % SALTS
-        split = zip(np.array_split(weights, PARTS), np.array_split(met, PARTS), strict=True)
-        for part, (values, counts) in enumerate(split):
-            yield _sums(part, salt, counts, values.astype("f8") * counts[:, None])
-
-
-def _read_sums(met: bytes, total: bytes) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.frombuffer(met, "i8")
-    return counts, np.frombuffer(total, "f8").reshape(len(counts), CLASSES)
-
-
-def _add_up(batches):
-    """Sums of weight rows by part, one array per part in memory."""
-    sums: dict[int, list] = {}
+    for names, starts, truth in _training(batches, own):
+        one, two = histories(names, starts)
+        for at in range(0, len(truth), BATCH):
+            rows = hashed(one[at : at + BATCH], two[at : at + BATCH], len(shared))
+            update(rows, truth[at : at + BATCH], bias, weights, spread)
+            np.add.at(met, rows.ravel(), 1)
+    for at in range(0, len(shared), PART):
+        some = np.flatnonzero(met[at : at + PART])
+        if len(some):
+            change = weights[at + some] - shared[at + some]
+            columns = [
+                pa.array([at // PART], "i4"),
+                pa.array([some.astype("<u2").tobytes()]),
+                pa.array([met[at + some].astype("<i8").tobytes()]),
+                pa.array([change.astype("<f2").tobytes()]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "places", "met", "change"])
+
+
+def _average(batches):
+    """Changes of each range of vectors, averaged over the tasks that met them; one range's sums at a time per key."""
+    sums: dict[int, tuple] = {}
     for batch in batches:
-        for part, _, *found in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            met, values = _read_sums(*found)
-            if part in sums:
-                sums[part][0] += met
-                sums[part][1] += values
-            else:
-                sums[part] = [met.copy(), values.copy()]
-    for part, (met, values) in sums.items():
-        yield _sums(part, 0, met, values)
-
-
-def _class_totals(batches, own: dict[bytes, int]):
+        for part, places, met, change in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            places, met = np.frombuffer(places, "<u2"), np.frombuffer(met, "<i8")
+            count, total = sums.setdefault(part, (np.zeros(PART, "i8"), np.zeros((PART, CLASSES))))
+            count[places] += met
+            total[places] += np.frombuffer(change, "<f2").reshape(-1, CLASSES).astype("f8") * met[:, None]
+    for part, (count, total) in sums.items():
+        mean = (total / np.maximum(count, 1)[:, None]).astype("<f4")
+        yield pa.RecordBatch.from_arrays([pa.array([part], "i4"), pa.array([mean.tobytes()])], ["part", "change"])
+
+
+def _class_totals(batches, own: np.ndarray):
     """Tokens and distinct words per class."""
     tokens, kinds = np.zeros(CLASSES, "i8"), np.zeros(CLASSES, "i8")
     for batch in batches:
-        of = _classes(batch.column(0).to_pylist(), own)
+        words = batch.column(0).to_pylist()
+        names = np.fromiter(map(word_name, words), "u4", len(words))
+        of = classes_of(names, np.fromiter(map(ending_class, words), "u1", len(words)), own)
         np.add.at(tokens, of, batch.column(1).to_numpy())
         kinds += np.bincount(of, minlength=CLASSES)
     columns = [pa.array(range(CLASSES), "i4"), pa.array(tokens), pa.array(kinds)]
@@ -244,30 +316,37 @@ def _gather(batches):
 
 def _score(batches, total: int, distinct: int, own, bias, weights, tokens: np.ndarray, kinds: np.ndarray):
     """Per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    for ids, words, held, sizes, codes, batch, row in _chunks(batches):
-        words = words.to_pylist()
-        counts = np.frombuffer(batch.column(6)[row].as_py(), "<i8")
-        base = np.log10((counts + SMOOTH) / (total + SMOOTH * (distinct + 1)))
-        classes = _classes(words, own)
-        inside = np.log10((counts + SMOOTH) / (tokens[classes] + SMOOTH * (kinds[classes] + 1)))
-        starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        rows, truth = features(_names(words)[codes], starts), classes[codes]
-        chosen = np.empty(len(codes))
-        for at in range(0, len(codes), BATCH):
-            logs = log_softmax(rows[at : at + BATCH], bias, weights)
-            chosen[at : at + BATCH] = logs[np.arange(len(logs)), truth[at : at + BATCH]]
-        sums = lambda values: np.add.reduceat(values, starts)  # noqa: E731, B023
-        columns = [
-            ids,
-            pa.array(held),
-            pa.array(sizes),
-            pa.array(sums((counts > 0).astype("i8")[codes])),
-            pa.array(np.full(len(sizes), total)),
-            pa.array(sums(base[codes])),
-            pa.array(sums(chosen / np.log(10) + inside[codes])),
-        ]
-        names = ["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        yield pa.RecordBatch.from_arrays(columns, names)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            ids = batch.column(0)[row].values
+            held, sizes, names, endings, codes, counts = (column[row].as_py() for column in batch.columns[1:])
+            sizes, names, counts = np.array(sizes, "i8"), np.frombuffer(names, "<u4"), np.frombuffer(counts, "<i8")
+            codes, classes = from_planes(codes), classes_of(names, np.frombuffer(endings, "u1"), own)
+            base = np.log10((counts + SMOOTH) / (total + SMOOTH * (distinct + 1)))
+            inside = np.log10((counts + SMOOTH) / (tokens[classes] + SMOOTH * (kinds[classes] + 1)))
+            starts = np.r_[0, np.cumsum(sizes)[:-1]]
+            one, two = histories(names[codes], starts)
+            chosen = np.empty(len(codes))
+            for at in range(0, len(codes), BATCH):
+                logs = log_softmax(hashed(one[at : at + BATCH], two[at : at + BATCH], len(weights)), bias, weights)
+                chosen[at : at + BATCH] = logs[np.arange(len(logs)), classes[codes[at : at + BATCH]]]
+            sums = lambda values: np.add.reduceat(values, starts)  # noqa: E731, B023
+            columns = [
+                ids,
+                pa.array(held, pa.bool_()),
+                pa.array(sizes),
+                pa.array(sums((counts > 0).astype("i8")[codes])),
+                pa.array(np.full(len(sizes), total)),
+                pa.array(sums(base[codes])),
+                pa.array(sums(chosen / np.log(10) + inside[codes])),
+            ]
+            found = ["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+            yield pa.RecordBatch.from_arrays(columns, found)
+
+
+def vectors(tokens: int) -> int:
+    """Number of weight vectors for so many training tokens."""
+    return max(ROWS, 1 << math.ceil(math.log2(2 * math.sqrt(max(tokens, 1)))))
 
 
 def score_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -283,15 +362,16 @@ def score_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = dict(df.dtypes)[id_col]
     held = F.coalesce(held_out(id_col, FOLDS), F.lit(False)).alias("_held")
     source = df.select(F.col(id_col).alias("_id"), held, F.col(text_col).alias("_text"))
-    shape = f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<long>, words array<binary>, codes binary"
+    shape = f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<long>, words array<binary>, "
+    shape += "names binary, endings binary, codes binary"
     encoded = stage(source.mapInArrow(_encode, shape), "encoded")
 
-    counted = encoded.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counted = encoded.select("held", "sizes", "words", "codes").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
     counted = stage(counted, "word-counts")
     sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     # OWN_CLASSES rows: the frequent words that are classes of their own.
     top = counted.orderBy(F.col("c").desc(), "word").limit(OWN_CLASSES).collect()
-    own = {bytes(row["word"]): place for place, row in enumerate(top)}
+    own = np.array([word_name(bytes(row["word"])) for row in top], "u4")
     per_class = (
         counted.mapInArrow(lambda b: _class_totals(b, own), "class int, tokens long, kinds long")
         .groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).collect()
@@ -301,21 +381,19 @@ def score_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tokens[row["class"]], kinds[row["class"]] = row["tokens"], row["kinds"]
     bias = np.log((tokens + 1.0) / (tokens.sum() + CLASSES)).astype("f4")
 
-    weights = np.zeros((ROWS, CLASSES), "f4")
+    n, v = int(sums["n"]), int(sums["v"])
+    weights = np.zeros((vectors(n), CLASSES), "f4")
+    learnt = encoded.select("held", "sizes", "names", "endings", "codes")
+    learnt = learnt.coalesce(max(TASKS, math.ceil(n / (TASK_VECTORS * len(weights)))))
     for _ in range(rounds):
-        shared = weights
-        wide = "part int, salt int, met binary, total binary"
-        trained = encoded.mapInArrow(lambda b, w=shared: _train(b, own, bias, w), wide)
-        parts: dict[int, list] = {}
-        # PARTS x SALTS rows of a fixed size at most, whatever the number of tasks.
-        for row in trained.repartition("part", "salt").mapInArrow(_add_up, wide).collect():
-            met, values = _read_sums(row["met"], row["total"])
-            known = parts.setdefault(row["part"], [np.zeros_like(met), np.zeros_like(values)])
-            known[0] += met
-            known[1] += values
-        if parts:
-            met, total = (np.concatenate([parts[k][i] for k in sorted(parts)]) for i in (0, 1))
-            weights = np.where(met[:, None] > 0, total / np.maximum(met, 1)[:, None], shared).astype("f4")
+        sent = "part int, places binary, met binary, change binary"
+        trained = learnt.mapInArrow(lambda b, w=weights: _train(b, own, bias, w), sent)
+        averaged = trained.repartition("part").mapInArrow(_average, "part int, change binary")
+        weights = weights.copy()
+        # One row per range of weight vectors: as large as the model itself.
+        for row in averaged.collect():
+            at = row["part"] * PART
+            weights[at : at + PART] += np.frombuffer(row["change"], "<f4").reshape(-1, CLASSES)
 
     words = encoded.select("chunk", F.posexplode("words").alias("place", "_w"))
     met = words.join(counted, F.col("_w") == F.col("word"), "left")
@@ -323,11 +401,11 @@ def score_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gathered = met.sortWithinPartitions("chunk", "place").select("chunk", "c").mapInArrow(
         _gather, "of long, counts binary"
     )
-    ready = encoded.join(gathered, F.col("chunk") == F.col("of")).select(*encoded.columns, "counts")
+    kept = encoded.drop("words")
+    ready = kept.join(gathered, F.col("chunk") == F.col("of")).select(*kept.columns[1:], "counts")
     out = (
         f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    n, v = int(sums["n"]), int(sums["v"])
     scored = ready.mapInArrow(lambda b: _score(b, n, v, own, bias, weights, tokens, kinds), out)
     return scored.withColumnRenamed("_id", id_col)
 

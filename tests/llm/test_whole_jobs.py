@@ -183,3 +183,34 @@ def test_candidates_are_those_of_the_rules(spark):
 def test_many_assignments_in_one_text(spark):
     rows = [(1, " ".join(f"password=s3cr{i}!x" for i in range(20_000)), "src")]
     assert scan_secrets(frame(spark, rows)).filter("rule = 'assigned'").count() == 20_000
+
+
+def test_language_model_grows_with_the_training_tokens():
+    sizes = [maxent_lm.vectors(10**k) for k in (0, 6, 8, 10, 12)]
+    assert sizes == [2**14, 2**14, 2**15, 2**18, 2**21]
+
+
+def test_sums_of_a_batch_are_those_of_its_tokens():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = np.minimum(rng.zipf(1.3, (900, 3)), 400).astype("i8")
+    values = rng.normal(size=(900, 5))
+    met, sums = maxent_lm.sums_by_row(rows, values)
+    expected = np.zeros((401, 5))
+    for token, places in enumerate(rows):
+        for place in places:
+            expected[place] += values[token]
+    assert sorted(met) == sorted(set(rows.ravel())) and np.allclose(sums, expected[met])
+    codes = np.array([0, 1, 255, 256, 70_000, 2**31], "u4")
+    assert (maxent_lm.from_planes(maxent_lm.planes(codes)) == codes).all()
+
+
+def test_language_model_learns_more_from_more_texts(spark):
+    """The same held-out texts under a model of a tenth of the others, and of all."""
+    rows = chained(1500, 200)
+    held = lambda row: maxent_lm.zlib.crc32(str(row[0]).encode()) % 10 == 0
+    few = held_out_score(maxent_lm.score_language(frame(spark, [r for r in rows if held(r) or r[0] % 10 == 1])))
+    many = held_out_score(maxent_lm.score_language(frame(spark, rows)))
+    print("held-out score per token, a tenth and all:", few, many)
+    assert many > few + 0.05
