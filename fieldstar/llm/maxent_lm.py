@@ -72,12 +72,13 @@ class Places(dict):
 
 
 def planes(codes: np.ndarray) -> bytes:
-    """32-bit places byte by byte: low bytes first, so that the high ones, mostly zero, compress."""
-    return np.ascontiguousarray(codes.astype("<u4").view("u1").reshape(-1, 4).T).tobytes()
+    """32-bit places byte by byte, low bytes first, as the high ones are mostly zero; compressed for disk and shuffle."""
+    return pa.compress(np.ascontiguousarray(codes.astype("<u4").view("u1").reshape(-1, 4).T), "zstd", asbytes=True)
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<u4").ravel()
+def from_planes(data: bytes, tokens: int) -> np.ndarray:
+    low_first = np.frombuffer(pa.decompress(data, 4 * tokens, "zstd"), "u1").reshape(4, -1)
+    return np.ascontiguousarray(low_first.T).view("<u4").ravel()
 
 
 def _encode(batches):
@@ -118,9 +119,9 @@ def _count(batches):
     for batch in batches:
         for row in range(batch.num_rows):
             held, sizes, words, codes = (column[row] for column in batch.columns)
-            words, held = words.values, np.array(held.as_py(), bool)
-            trained = np.repeat(~held, np.array(sizes.as_py(), "i8"))
-            counts = np.bincount(from_planes(codes.as_py())[trained], minlength=len(words))
+            words, held, sizes = words.values, np.array(held.as_py(), bool), np.array(sizes.as_py(), "i8")
+            trained = from_planes(codes.as_py(), sizes.sum())[np.repeat(~held, sizes)]
+            counts = np.bincount(trained, minlength=len(words))
             found = counts > 0
             yield pa.RecordBatch.from_arrays([words.filter(pa.array(found)), pa.array(counts[found])], ["word", "c"])
 
@@ -234,7 +235,7 @@ def _training(batches, own: np.ndarray):
         for row in range(batch.num_rows):
             held, sizes, names, endings, codes = (column[row].as_py() for column in batch.columns)
             held, sizes = np.array(held, bool), np.array(sizes, "i8")
-            codes = from_planes(codes)[np.repeat(~held, sizes)]
+            codes = from_planes(codes, sizes.sum())[np.repeat(~held, sizes)]
             if len(codes):
                 names, endings = np.frombuffer(names, "<u4"), np.frombuffer(endings, "u1")
                 starts = np.r_[0, np.cumsum(sizes[~held])[:-1]]
@@ -321,7 +322,7 @@ def _score(batches, total: int, distinct: int, own, bias, weights, tokens: np.nd
             ids = batch.column(0)[row].values
             held, sizes, names, endings, codes, counts = (column[row].as_py() for column in batch.columns[1:])
             sizes, names, counts = np.array(sizes, "i8"), np.frombuffer(names, "<u4"), np.frombuffer(counts, "<i8")
-            codes, classes = from_planes(codes), classes_of(names, np.frombuffer(endings, "u1"), own)
+            codes, classes = from_planes(codes, sizes.sum()), classes_of(names, np.frombuffer(endings, "u1"), own)
             base = np.log10((counts + SMOOTH) / (total + SMOOTH * (distinct + 1)))
             inside = np.log10((counts + SMOOTH) / (tokens[classes] + SMOOTH * (kinds[classes] + 1)))
             starts = np.r_[0, np.cumsum(sizes)[:-1]]

@@ -203,7 +203,7 @@ def test_sums_of_a_batch_are_those_of_its_tokens():
             expected[place] += values[token]
     assert sorted(met) == sorted(set(rows.ravel())) and np.allclose(sums, expected[met])
     codes = np.array([0, 1, 255, 256, 70_000, 2**31], "u4")
-    assert (maxent_lm.from_planes(maxent_lm.planes(codes)) == codes).all()
+    assert (maxent_lm.from_planes(maxent_lm.planes(codes), 6) == codes).all()
 
 
 def test_language_model_learns_more_from_more_texts(spark):
