@@ -60,6 +60,9 @@ PART = 512
 TASK_VECTORS = 100
 TASKS = 32
 LONG = 16
+# Scores are kept where their exponentials are finite.
+STEEPEST = 60
+ONES = np.ones(CLASSES, "f4")
 END = b""
 
 
@@ -178,14 +181,13 @@ def _scores(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarr
     scores += weights.take(rows[:, 1], 0)
     scores += weights.take(rows[:, 2], 0)
     scores += bias
-    scores -= scores.max(1, keepdims=True)
-    return scores
+    return np.clip(scores, -STEEPEST, STEEPEST, out=scores)
 
 
 def log_softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Log-probabilities of all classes for each token."""
     scores = _scores(rows, bias, weights)
-    scores -= np.log(np.exp(scores).sum(1, keepdims=True))
+    scores -= np.log(np.exp(scores) @ ONES)[:, None]
     return scores
 
 
@@ -217,7 +219,7 @@ def update(rows: np.ndarray, truth: np.ndarray, bias: np.ndarray, weights: np.nd
     """One gradient step over a batch, on the weights it meets, scaled by each weight's own history."""
     error = _scores(rows, bias, weights)
     np.exp(error, out=error)
-    error *= (-1 / error.sum(1))[:, None]
+    error *= (-1 / (error @ ONES))[:, None]
     error[np.arange(len(truth)), truth] += 1
     met, slope = sums_by_row(rows, error)
     history = spread.take(met, 0)
