@@ -5,9 +5,13 @@ and of its two neighbours; transition scores tie neighbours together. The
 forward-backward marginals of the lines, weighted by their lengths, average to
 the document's score.
 
-Labels are known for documents only, so every line of a labelled document
-carries its document's label in training; documents weigh the same whatever
-their length, and the two labels weigh the same whatever their numbers. Training uses a bounded sample of the labelled rows that are not
+Labels are known for documents only; those of lines are hidden. A first fit gives
+every line its document's label and has no transitions, so that lines speak for
+themselves. Its surest contradictions are then labelled anew, as far as the
+lines of a document still agree with its label: by length, less than ACCEPT of a
+bad document may be good. The second fit, with transitions, sees good lines
+beside bad ones. Documents weigh the same whatever their length, and the two
+labels weigh the same whatever their numbers. Training uses a bounded sample of the labelled rows that are not
 held out: at most MAX_DOCS documents, the first by a hash of the id. Only their
 line features (a few numbers a line) and the fitted weights pass through the
 driver. Scoring is one map over all documents and all their lines, without a
@@ -43,6 +47,7 @@ LETTERS = UPPER + bytes(range(97, 123)) + bytes(range(128, 256))
 DIGITS = b"0123456789"
 STOPS = tuple(".!?:;,".encode())
 OWN = 12
+SIZE = 2  # place of a line's length among its features
 FEATURES = 3 * OWN + 2
 
 
@@ -116,21 +121,53 @@ def _ratios(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.exp(np.clip(features @ weights, -30, 30))
 
 
+def relabelled(own: np.ndarray, chance: np.ndarray, label: int) -> np.ndarray:
+    """Labels of one document's lines that its label allows: the surest contradictions are believed.
+
+    A document is good from a share of ACCEPT of good text: so much less of a
+    bad document, and so much at least of a good one, is good.
+    """
+    lines = np.full(len(chance), float(label))
+    against = np.abs(chance - label)
+    order = np.argsort(-against, kind="stable")
+    weight = np.maximum(np.expm1(8 * own[order, SIZE]), 1)
+    share = np.cumsum(weight) / weight.sum()
+    room = share <= 1 - ACCEPT if label else share < ACCEPT
+    lines[order[room & (against[order] > 0.5)]] = 1 - label
+    return lines
+
+
 def fit(documents: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the features and transition factors, by gradient ascent on the mean log-likelihood.
+    """Weights of the features and transition factors, from labels of documents: two fits with lines labelled anew."""
+    alike = [np.full(len(d), float(label)) for d, label in zip(documents, labels, strict=True)]
+    weights, _ = fit_lines(documents, labels, alike, False)
+    found = [_ratios(d, weights) for d in documents]
+    lines = [relabelled(d, r / (1 + r), y) for d, r, y in zip(documents, found, labels, strict=True)]
+    return fit_lines(documents, labels, lines, True)
+
+
+def fit_lines(
+    documents: list[np.ndarray], labels: list[int], lines: list[np.ndarray], chained: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transition factors by gradient ascent on the mean log-likelihood of the lines' labels.
 
     Documents are padded side by side, the longest first, so that one step of
-    the recursion is one array operation over all that still have lines.
+    the recursion is one array operation over all that still have lines. Without
+    `chained`, transitions stay neutral.
     """
     order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
     lengths = np.array([len(documents[i]) for i in order])
     truth = np.array([labels[i] for i in order], float)
     flat = np.vstack([documents[i] for i in order])
+    told = np.concatenate([lines[i] for i in order])
     n, longest = len(order), int(lengths[0])
     row = np.repeat(np.arange(n), lengths)
     col = np.concatenate([np.arange(k) for k in lengths])
     alive = [int((lengths > t).sum()) for t in range(longest)]
     share = np.where(truth == 1, 0.5 / max((truth == 1).sum(), 1), 0.5 / max((truth == 0).sum(), 1)) / lengths
+    pairs = np.flatnonzero(row[1:] == row[:-1])
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (told[pairs].astype("i8"), told[pairs + 1].astype("i8")), share[row[pairs]])
     weights, steps = np.zeros(FEATURES), np.zeros((2, 2))  # steps[a, b]: from a to b
     moment, second = np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)
     ratio, forward, chance = np.ones((longest, n)), np.zeros((longest, n)), np.zeros((longest, n))
@@ -167,10 +204,10 @@ def fit(documents: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.
                 good, bad = np.ones(k), np.ones(k)
             up = p * good
             chance[t, :k] = up / (up + (1 - p) * bad)
-        left = (truth[row] - chance[col, row]) * share[row]
-        pairs = (lengths - 1) * share
-        seen = np.array([[((1 - truth) * pairs).sum(), 0.0], [0.0, (truth * pairs).sum()]])
+        left = (told - chance[col, row]) * share[row]
         slope = np.concatenate([left @ flat, (seen - moved).ravel()])
+        if not chained:
+            slope[FEATURES:] = 0
         slope -= PENALTY * np.concatenate([weights, steps.ravel()])
         moment = 0.9 * moment + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2

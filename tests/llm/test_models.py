@@ -117,3 +117,34 @@ def test_secret_scan_without_findings(spark, rows):
 def test_secret_scan_without_both_labels(spark):
     found = scan_secrets(frame(spark, [r for r in secret_rows() if r[0] < 3])).collect()
     assert [r["is_secret"] for r in found] == [True] * 3
+
+
+def test_lines_are_labelled_anew_as_far_as_their_document_allows():
+    own = np.zeros((5, line_crf.FEATURES))
+    own[:, line_crf.SIZE] = np.log1p([10, 10, 10, 10, 55]) / 8
+    chance = np.array([0.9, 0.8, 0.7, 0.1, 0.95])
+    # Of a bad document less than 30 % may be good, so not 55 of 95; of a good one at most 70 % may be bad: 65 of 95.
+    assert line_crf.relabelled(own, chance, 0).tolist() == [0, 0, 0, 0, 0]
+    assert line_crf.relabelled(own[:4], chance[:4], 0).tolist() == [1, 0, 0, 0]
+    assert line_crf.relabelled(own, 1 - chance, 1).tolist() == [0, 1, 1, 1, 0]
+
+
+def test_lines_of_a_mixed_document_are_told_apart(spark):
+    """Bad documents of the sample hold a good line in five: a text whose first half is junk is good after it."""
+    import random
+
+    rng = random.Random(7)
+    good = lambda: (words(rng, rng.randrange(8, 16)).capitalize() + ".").encode()
+    junk = lambda: b" ".join([b"$$", b"BUY", b"NOW!!"] * rng.randrange(4, 8))
+    texts = [([junk() for _ in range(4)] + [good()], 0) for _ in range(80)]
+    texts += [([good() for _ in range(5)], 1) for _ in range(80)]
+    for lines, _ in texts:
+        rng.shuffle(lines)
+    sample = []
+    for lines, _ in texts:
+        rows = np.array(line_crf.document_features(b"\n".join(lines))[0])
+        sample.append(line_crf.with_neighbours(rows, [len(rows)]))
+    weights, go = line_crf.fit(sample, [label for _, label in texts])
+    rows = np.array(line_crf.document_features(b"\n".join([*(junk() for _ in range(5)), *(good() for _ in range(5))]))[0])
+    found = line_crf.marginals(line_crf._ratios(line_crf.with_neighbours(rows, [10]), weights).tolist(), go)
+    assert max(found[:5]) < 0.2 and min(found[5:]) > 0.8
