@@ -49,7 +49,7 @@ VOCABULARY = "word_bpe_49k.json"
 BUNDLE = 16
 BLOCK_ROWS = 1 << 16
 TEXTS_AT_ONCE = 4000
-BYTES_AT_ONCE = 8_000_000
+BYTES_AT_ONCE = 4_000_000
 
 
 def _slices(texts: pa.Array):
@@ -83,6 +83,8 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int, vocab
     """One row per piece of at most `capacity` ids: id, piece, start, length, ids_crc32."""
 
     def cut(batches):
+        # What earlier stages of this worker left to its memory pool goes back to the machine.
+        pa.default_memory_pool().release_unused()
         encode = encoder(vocabulary).encode
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)

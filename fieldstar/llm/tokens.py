@@ -40,7 +40,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts: dict[str, list[int]] = {"": []}
+        self._parts: dict[str, array] = {"": array("I")}
         self._clear()
 
     def _clear(self) -> None:
@@ -50,11 +50,11 @@ class WordEncoder:
 
     def _encode(self, parts: list[str]) -> None:
         found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self._parts.update((p, e.ids) for p, e in zip(parts, found, strict=True))
+        self._parts.update((p, array("I", e.ids)) for p, e in zip(parts, found, strict=True))
 
     def _learn(self, words: list[str]) -> None:
         if len(self._parts) > MOST_PARTS:
-            self._parts = {"": []}
+            self._parts = {"": array("I")}
         cut = {}
         for word in words:
             plain = PLAIN(word)
@@ -85,7 +85,9 @@ class WordEncoder:
         total = int(ends[-1]) if len(ends) else 0
         ids = np.frombuffer(self._ids, "u4") if len(self._ids) else np.zeros(0, "u4")
         # Where each word's ids stand, less where they go: one gather then takes all of them.
-        found = ids[np.repeat(starts[of_word] - ends + each, each) + np.arange(total)]
+        index = np.repeat(starts[of_word] - ends + each, each)
+        index += np.arange(total)
+        found = ids[index]
         edges = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return found, np.diff(edges)
 
