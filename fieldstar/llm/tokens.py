@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#%&$|]*)").fullmatch
 MOST_WORDS = 400_000
 MOST_PARTS = 1_000_000
+PARTS_AT_ONCE = 2_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -40,21 +41,24 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts: dict[str, array] = {"": array("I")}
+        self._parts: dict[str, bytes] = {"": b""}
         self._clear()
 
     def _clear(self) -> None:
         self._places: dict[str, int] = {"": 0}
         self._starts, self._sizes = array("q", [0]), array("q", [0])
-        self._ids = array("I")
+        self._ids = bytearray()
 
     def _encode(self, parts: list[str]) -> None:
-        found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self._parts.update((p, array("I", e.ids)) for p, e in zip(parts, found, strict=True))
+        # What the vocabulary returns of a part is far larger than its ids: few are held at once.
+        for at in range(0, len(parts), PARTS_AT_ONCE):
+            some = parts[at : at + PARTS_AT_ONCE]
+            found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self._parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(some, found, strict=True))
 
     def _learn(self, words: list[str]) -> None:
         if len(self._parts) > MOST_PARTS:
-            self._parts = {"": array("I")}
+            self._parts = {"": b""}
         cut = {}
         for word in words:
             plain = PLAIN(word)
@@ -63,9 +67,9 @@ class WordEncoder:
         for word, (head, tail) in cut.items():
             ids = self._parts[head] + self._parts[tail]
             self._places[word] = len(self._starts)
-            self._starts.append(len(self._ids))
-            self._sizes.append(len(ids))
-            self._ids.extend(ids)
+            self._starts.append(len(self._ids) // 4)
+            self._sizes.append(len(ids) // 4)
+            self._ids += ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text) of an array of texts, NULL counting as empty."""
