@@ -14,14 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from fieldstar.operators.filters import extract_bbox
 from fieldstar.operators.keys import assign_ids, next_id
 from fieldstar.plans.checklists import backfill_rows, event_keys
 from fieldstar.plans.common import tagged
 from fieldstar.schema import SCHEMAS, conform
-from fieldstar.session import path_exists, ship_package, stage
+from fieldstar.session import path_exists, stage
 
 BATCH = "batch_id"
 
@@ -60,15 +59,19 @@ def _write(df: DataFrame, target: str, batch_id: int) -> None:
 
 
 def stream_ingest(
-    source: DataFrame, target: str, checkpoint: str, step: Callable[[DataFrame, int], DataFrame]
+    source: DataFrame, target: str, checkpoint: str, step: Callable[[DataFrame, int], DataFrame], mode: str = "append"
 ) -> StreamingQuery:
-    """Run a step on every micro-batch and keep its rows, until the input is used up."""
+    """Run a step on every micro-batch and keep its rows, until the input is used up.
+
+    A frame that keeps state (mode `update`) is worked out by its write alone,
+    not by a look at whether it is empty before that.
+    """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if not skip_if_empty(df):
+        if mode == "update" or not skip_if_empty(df):
             _write(step(df, batch_id), target, batch_id)
 
-    writer = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
@@ -102,50 +105,30 @@ def _sortable(schema: T.StructType, name: str) -> list[Column]:
     return parts(schema[name].dataType, F.col(f"`{name}`"))
 
 
-JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def new_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Streaming frame of the first row (by `order`, within its batch) of every key no earlier batch has brought.
+    """Streaming frame, in update mode, of the first row (by `order`, within its batch) of every key no earlier batch has brought.
 
-    The state is one flag per key. Map tasks send one row per key and Arrow
-    batch at most, so a key that holds a third of a batch costs no more than
-    any other. Rows travel as text that keeps every value, keys too; NULL is a
-    key like any other.
+    A built-in aggregation: map tasks send one row per key, so a key that holds
+    a third of a batch costs no more than any other. The state is a key's first
+    row and the times of the first and last batch that brought it, which are
+    the same for a new key only. A batch's time is part of its offsets: one
+    that runs again has the time it had. NULL is a key like any other.
     """
-    schema = source.schema
-    parts = [p for c in order for p in _sortable(schema, c)]
-    names = [f"_o{i}" for i in range(len(parts))]
-    packed = source.select(
-        F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), JSON).alias("_key"),
-        F.to_json(F.struct("*"), JSON).alias("_row"),
-        *[p.alias(n) for n, p in zip(names, parts, strict=True)],
+    parts = [p for c in order for p in _sortable(source.schema, c)]
+    timed = source.select(
+        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.struct("*").alias("_row"),
+        F.struct(F.current_timestamp(), *parts).alias("_at"),
+        F.current_timestamp().alias("_time"),
     )
-
-    def least(frame):
-        return frame.sort_values(names, kind="stable").drop_duplicates("_key")
-
-    def reduced(frames):
-        for frame in frames:
-            yield least(frame)
-
-    def pick(key, frames, state):
-        import pandas as pd
-
-        if state.exists:
-            return
-        first = least(pd.concat([least(f) for f in frames]))
-        state.update((True,))
-        yield first[["_row"]]
-
-    ship_package(source.sparkSession)
-    once = packed.mapInPandas(reduced, packed.schema)
-    found = once.groupBy("_key").applyInPandasWithState(
-        pick, "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    found = timed.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+        F.min_by("_row", "_at").alias("_r"), F.min("_time").alias("_born"), F.max("_time").alias("_met")
     )
-    return found.select(F.from_json("_row", schema, JSON).alias("_r")).select("_r.*")
+    return found.filter("_born = _met").select("_r.*")
 
 
 def stream_first_seen(
@@ -158,7 +141,7 @@ def stream_first_seen(
     spark = source.sparkSession
     if spark.conf.get(STATE_STORE, "") != ROCKS_DB:
         spark.conf.set(STATE_STORE, ROCKS_DB)
-    return stream_ingest(new_keys(source, keys, order), target, checkpoint, lambda df, _: df)
+    return stream_ingest(new_keys(source, keys, order), target, checkpoint, lambda df, _: df, "update")
 
 
 def stream_bbox(source: DataFrame, target: str, checkpoint: str, lng: tuple, lat: tuple, **clauses: bool) -> StreamingQuery:
