@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.registry import query, table, view
+from checks.registry import pieces, query, table, view
 from fieldstar.schema import conform
-from fieldstar.session import staging_path
+from fieldstar.session import list_paths, staging_path
 from fieldstar.sinks.files import export_csv, import_tables
 from fieldstar.sinks.tables import Warehouse
 from fieldstar.sources.dbf import read_dbf
@@ -99,19 +99,27 @@ def as_files(df, files=6):
 
 
 def streamed(spark, df, start, columns, files_per_batch=2):
-    """Run one stream over the rows and return what it wrote."""
-    source = ingest.stream_files(spark, as_files(df), df.schema, "parquet", files_per_batch)
+    """Run one stream over the rows and return what it wrote; larger inputs come in more files, not in larger ones."""
+    times = pieces(df, 6)
+    source = ingest.stream_files(spark, as_files(df, 6 * times), df.schema, "parquet", files_per_batch * times)
     target = staging_path(spark, "target")
     start(source, target, staging_path(spark, "progress")).awaitTermination()
     return ingest.read_target(spark, target, T.StructType.fromDDL(columns)).drop(ingest.BATCH)
 
 
 def arriving(df, parts, step):
-    """Folder that the rows reach file by file: first those of part 0, then those of part 1, and so on."""
-    path = staging_path(df.sparkSession, "incoming")
+    """Folder that the rows reach part by part, and how many files each part has.
+
+    A part of a small input is one file. Larger inputs come in more files, not
+    in larger ones; with as many files to a batch, a part is a batch.
+    """
+    path, files = staging_path(df.sparkSession, "incoming"), pieces(df, step)
     for k in range(step):
-        df.filter(parts == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        df.filter(parts == k).repartition(files).write.mode("append").parquet(path)
+        made = len([n for n in list_paths(df.sparkSession, path) if n.endswith(".parquet")])
+        for _ in range(made, files * (k + 1)):  # a part of hardly any rows
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return path, files
 
 
 @query(
@@ -123,7 +131,8 @@ def arriving(df, parts, step):
 def stream_first_seen(spark, sf_dir):
     """Whole rows: which one wins goes by file, then by time."""
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
-    source = ingest.stream_files(spark, arriving(rows, F.col("event_id") % 3, 3), rows.schema, "parquet", 1)
+    path, files = arriving(rows, F.col("event_id") % 3, 3)
+    source = ingest.stream_files(spark, path, rows.schema, "parquet", files)
     target = staging_path(spark, "target")
     query = ingest.stream_first_seen(
         source, target, staging_path(spark, "progress"), ["user_id", "event_type"], ["ts", "event_id"]
@@ -168,7 +177,8 @@ def stream_backfill(spark, sf_dir):
     taxa = view(spark, sf_dir, "obs_taxa")
 
     rows = view(spark, sf_dir, "raw_obs")
-    source = ingest.stream_files(spark, arriving(rows, F.col("l_orderkey") % 3, 3), rows.schema, "parquet", 1)
+    path, files = arriving(rows, F.col("l_orderkey") % 3, 3)
+    source = ingest.stream_files(spark, path, rows.schema, "parquet", files)
     target = staging_path(spark, "target")
     query = ingest.stream_backfill(source, target, staging_path(spark, "progress"), events, taxa, MISSED, start=1001)
     query.awaitTermination()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import query, table, view
+from checks.registry import pieces, query, table, view
 from checks.views import ROW_ORDER
 from fieldstar.functions.numbers import radius_m
 from fieldstar.operators import keys
@@ -268,7 +268,8 @@ def streamed_star(spark, sf_dir):
     from fieldstar.streaming.star import StreamedStar, stream_checklists
 
     rows = view(spark, sf_dir, "raw_obs")
-    source = stream_files(spark, arriving(rows, F.col("l_orderkey") % 3, 3), rows.schema, "parquet", 1)
+    path, files = arriving(rows, F.col("l_orderkey") % 3, 3)
+    source = stream_files(spark, path, rows.schema, "parquet", files)
     root = staging_path(spark, "streamed-star")
     taxa = view(spark, sf_dir, "obs_taxa")
     stream_checklists(source, root, staging_path(spark, "progress"), taxa, ROW_ORDER).awaitTermination()
@@ -296,9 +297,9 @@ def in_files(spark, rows, name):
     from fieldstar.session import staging_path
     from fieldstar.sources.text import with_row_order
 
-    path = staging_path(spark, name)
+    path, files = staging_path(spark, name), 6 * pieces(rows, 6)
     by = [F.col(c) for c in ROW_ORDER]
-    rows.repartitionByRange(6, *by).sortWithinPartitions(*by).write.parquet(path)
+    rows.repartitionByRange(files, *by).sortWithinPartitions(*by).write.parquet(path)
     return with_row_order(spark.read.schema(rows.schema).parquet(path))
 
 

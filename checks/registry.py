@@ -7,11 +7,13 @@ than row numbers, so no engine has to number a whole table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldstar.session import file_states
 from fieldstar.sources.text import spread
 
 BASE = (
@@ -24,6 +26,7 @@ VIEWS: dict[str, str] = {}
 SPREAD = {"split_docs": "documents"} | {
     name: "lineitem" for name in ("raw_obs", "bands", "nests", "nest_rows", "july_rows", "band_rows", "route_counts")
 }
+PIECE_BYTES = 8 << 20  # of Parquet: about half a million rows of the widest table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,6 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(df: DataFrame, parts: int = 1) -> int:
+    """Tasks or files that each of `parts` takes, so that none grows with the input: 1 for a small one."""
+    size = sum(length for _, length, _ in file_states(df.sparkSession, df.inputFiles()))
+    return max(1, math.ceil(size / (PIECE_BYTES * parts)))
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mapped view (or base table) as a frame."""
     if name in BASE:
@@ -45,7 +54,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     frames = {n: view(spark, sf_dir, n) for n in names_in(sql)}
     if name in SPREAD:
-        frames[SPREAD[name]] = spread(frames[SPREAD[name]], spark.sparkContext.defaultParallelism)
+        raw = frames[SPREAD[name]]
+        frames[SPREAD[name]] = spread(raw, max(spark.sparkContext.defaultParallelism, pieces(raw)))
     return spark.sql(sql, **frames)
 
 
