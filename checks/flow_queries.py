@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from checks.registry import pieces, query, table, view
 from fieldstar.schema import conform
-from fieldstar.session import list_paths, staging_path
+from fieldstar.session import file_states, list_paths, staging_path
 from fieldstar.sinks.files import export_csv, import_tables
 from fieldstar.sinks.tables import Warehouse
 from fieldstar.sources.dbf import read_dbf
@@ -390,6 +390,13 @@ def backfill_species_query(spark, sf_dir):
     return made["counts"].select("count_id", "event_id", "taxon_id", "count")
 
 
+def split_bytes(spark, folder):
+    """Bytes per split that cut a folder's files into many tasks, but no more of them than large input needs."""
+    files = [f"{folder}/{n}" for n in list_paths(spark, folder)]
+    size = sum(length for _, length, _ in file_states(spark, files))
+    return max(1024, min(size // 64, 32 << 20))
+
+
 @query(
     "import_splits",
     f"""select place_id, p.dataset_id, lng, lat, {PLACE_TEXTS} as place_json, true as many_tasks
@@ -401,7 +408,7 @@ def import_splits(spark, sf_dir):
     places = written_places(spark, sf_dir).coalesce(1)
     export_csv({"places": places}, "places", path)
     before = spark.conf.get(setting)
-    spark.conf.set(setting, "1024")
+    spark.conf.set(setting, str(split_bytes(spark, f"{path}/places.csv")))
     try:
         back = import_tables(spark, path, {"places": ["places.csv"]})["places"]
         splits = spark.read.text(f"{path}/places.csv").select(F.spark_partition_id().alias("p")).distinct().count()
