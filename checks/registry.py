@@ -12,6 +12,7 @@ from collections.abc import Callable
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldstar.session import file_states
 from fieldstar.sources.text import spread
@@ -22,7 +23,7 @@ BASE = (
 ).split()
 
 VIEWS: dict[str, str] = {}
-# Views that stand for an unsplittable raw file: the table behind them is redistributed.
+# Views that stand for an unsplittable raw file: the table behind them is redistributed, unless its scan is dealt evenly.
 SPREAD = {"split_docs": "documents"} | {
     name: "lineitem" for name in ("raw_obs", "bands", "nests", "nest_rows", "july_rows", "band_rows", "route_counts")
 }
@@ -47,6 +48,12 @@ def pieces(df: DataFrame, parts: int = 1) -> int:
     return max(1, math.ceil(size / (PIECE_BYTES * parts)))
 
 
+def well_split(df: DataFrame, tasks: int) -> bool:
+    """Whether a table's scan gives that many tasks rows, and none more than twice its share: no column is read for it."""
+    rows = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    return len(rows) >= tasks and max(rows) * len(rows) <= 2 * sum(rows)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mapped view (or base table) as a frame."""
     if name in BASE:
@@ -55,7 +62,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     frames = {n: view(spark, sf_dir, n) for n in names_in(sql)}
     if name in SPREAD:
         raw = frames[SPREAD[name]]
-        frames[SPREAD[name]] = spread(raw, max(spark.sparkContext.defaultParallelism, pieces(raw)))
+        if not well_split(raw, spark.sparkContext.defaultParallelism):
+            frames[SPREAD[name]] = spread(raw, max(spark.sparkContext.defaultParallelism, pieces(raw)))
     return spark.sql(sql, **frames)
 
 
