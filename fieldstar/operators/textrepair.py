@@ -226,15 +226,22 @@ def running_total(lines: DataFrame, value: str, out: str) -> DataFrame:
     Sums of blocks are carried over a file, sums of lines over a block: no
     task orders a whole file's lines.
     """
-    block = F.floor(F.col("line_no") / BLOCK).cast("long")
-    placed = lines.withColumn("_block", block)
+    return _totalled(_in_blocks(lines), value, out).drop("_block")
+
+
+def _in_blocks(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("_block", F.floor(F.col("line_no") / BLOCK).cast("long"))
+
+
+def _totalled(placed: DataFrame, value: str, out: str) -> DataFrame:
+    """`running_total` of lines with their block, which they keep: a second total moves no line again."""
     sums = placed.groupBy("file", "_block").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("file", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
     inside = Window.partitionBy("file", "_block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     own = placed.withColumn("_own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     joined = own.join(sums, ["file", "_block"])
-    return joined.withColumn(out, F.col("_carried") + F.col("_own")).drop("_block", "_own", "_carried")
+    return joined.withColumn(out, F.col("_carried") + F.col("_own")).drop("_own", "_carried")
 
 
 def quoted_lines(lines: DataFrame, quote: str = '"', sep: str = ",") -> DataFrame:
@@ -243,14 +250,21 @@ def quoted_lines(lines: DataFrame, quote: str = '"', sep: str = ",") -> DataFram
     A line starts a record where the quotes before it are even in number.
     """
     quotes = (F.length("text") - F.length(F.replace(F.col("text"), F.lit(quote), F.lit("")))).cast("long")
-    counted = running_total(lines.withColumn("_quotes", quotes), "_quotes", "_before")
-    inside = F.col("_before") % 2 == 1
-    open_end = (F.col("_before") + F.col("_quotes")) % 2 == 1
     edge = lambda when: F.when(when, F.lit(quote)).otherwise(F.lit(""))
-    bare = F.regexp_replace(F.concat(edge(inside), F.col("text"), edge(open_end)), f"{quote}[^{quote}]*{quote}", "")
-    cuts = ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)).cast("long")
-    cut = counted.withColumn("cuts", cuts).withColumn("_starts", F.when(inside, 0).otherwise(1).cast("long"))
-    numbered = running_total(cut, "_starts", "_started")
+
+    def cuts(inside: bool) -> Column:
+        open_end = F.col("_quotes") % 2 == (0 if inside else 1)
+        text = F.concat(F.lit(quote if inside else ""), F.col("text"), edge(open_end))
+        bare = F.regexp_replace(text, f"{quote}[^{quote}]*{quote}", "")
+        return ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)).cast("long")
+
+    # Cut both ways before it is known which holds: who asks for widths only moves numbers, no text.
+    both = _in_blocks(lines).withColumn("_quotes", quotes).withColumns({"_out": cuts(False), "_in": cuts(True)})
+    counted = _totalled(both, "_quotes", "_before")
+    inside = F.col("_before") % 2 == 1
+    cut = counted.withColumn("cuts", F.when(inside, F.col("_in")).otherwise(F.col("_out")))
+    cut = cut.withColumn("_starts", F.when(inside, 0).otherwise(1).cast("long"))
+    numbered = _totalled(cut, "_starts", "_started")
     record = (F.col("_started") + F.col("_starts")).alias("record")
     return numbered.select("file", "line_no", "text", record, "cuts")
 
