@@ -16,15 +16,24 @@ rows, pieces without a place and sequences with their gaps:
 * Then as many sequences are opened as the tokens that are left must have at
   least, each with one of the longest pieces that are left, and sweeps go on.
 
+A sweep asks for nothing but sizes and their order, and sizes are few. So the
+sweeps run on runs of neighbours in that order that are alike: pieces of one
+size, gaps of one size opened by pieces in a row. A run matched with a run is
+one step however long both are, and a sweep cuts no more runs than there are
+sizes: what the sweeps cost depends on the capacity, not on the table. Where
+there are more than `MOST_SIZES` sizes, the same sweeps run on rows, as above.
+
 Very short pieces in numbers that sequences cannot take one per sweep are put
 together first, equal lengths to bundles of up to `BUNDLE` tokens, but for the
 shortest, which fill the last gaps. So the number of sweeps depends on the
 capacity, not on the table.
 
-Plan at scale: tokenizing is a map; its pieces (five numbers) are written once.
-A sweep moves rows of four numbers, and of pieces only those that have no place
-yet. No sweep collects rows; the driver sees a few totals. Each sweep's rows are
-written, so that a lost executor costs one sweep.
+Plan at scale: tokenizing is a map; its pieces (five numbers) are written once
+and sorted over all tasks. The driver sees the number of pieces per size and
+works out the runs; each task looks its rows' ranks up in them. Sweeps on rows
+move four numbers each, and of pieces only those that have no place yet; they
+collect none, and each sweep's rows are written, so that a lost executor costs
+one sweep.
 """
 
 from __future__ import annotations
@@ -48,6 +57,8 @@ VOCABULARY = "word_bpe_49k.json"
 # Short pieces may be put together up to the capacity over this.
 BUNDLE = 16
 BLOCK_ROWS = 1 << 16
+# Distinct sizes whose sweeps run on runs.
+MOST_SIZES = 1 << 13
 TEXTS_AT_ONCE = 4000
 BYTES_AT_ONCE = 4_000_000
 
@@ -184,8 +195,98 @@ def _live(state: DataFrame) -> DataFrame:
     return state.filter((F.col("_kind") == GAP) | F.col("_other").isNull()).drop("_other")
 
 
+def _merged(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Runs (size, first, many) by falling size and rising place, neighbours of one size made one."""
+    found: list[tuple[int, int, int]] = []
+    for size, first, many in sorted(runs, key=lambda r: (-r[0], r[1])):
+        if found and found[-1][0] == size and found[-1][1] + found[-1][2] == first:
+            size, first, many = size, found[-1][1], found.pop()[2] + many
+        found.append((size, first, many))
+    return found
+
+
+def _sweep_runs(gaps: list, pieces: list, above: int, least: int) -> tuple[list, list, list]:
+    """`match_best_fit` of pieces above a size and gaps of at least one, both runs (size, first, many) in `_merged` order.
+
+    Returns gaps and pieces that are left, and what was placed: (first piece, many, its gap, -1), the gap of each next
+    piece being the one before.
+    """
+    open_, left, after, placed, at = [], [], [], [], 0
+    for size, first, many in pieces:
+        while at < len(gaps) and gaps[at][0] >= max(size, least):
+            open_.append(gaps[at])
+            at += 1
+        while many and open_ and size > above:
+            room, start, free = open_.pop()
+            some = min(many, free)
+            placed.append((first, some, start + free - 1, -1))
+            after.append((room - size, start + free - some, some))
+            if free > some:
+                open_.append((room, start, free - some))
+            first, many = first + some, many - some
+        if many:
+            left.append((size, first, many))
+    return _merged([r for r in open_ + gaps[at:] + after if r[0]]), left, placed
+
+
+def place_runs(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Rows (first, many, sequence, step) for items numbered by falling size, of which `counts` has the number per size.
+
+    Item `first + i` lies in sequence `sequence + i * step`; sequences are named by their first item.
+    """
+    pieces, placed, at = [], [], 0
+    for size in sorted(counts, reverse=True):
+        pieces.append((size, at, counts[size]))
+        at += counts[size]
+    gaps: list[tuple[int, int, int]] = []
+    while pieces:
+        tokens = sum(size * many for size, _, many in pieces)
+        needed = max(-(-tokens // capacity), sum(many for size, _, many in pieces if size > capacity // 2))
+        rest = []
+        for size, first, many in pieces:
+            opened = min(many, needed)
+            needed -= opened
+            if opened:
+                placed.append((first, opened, first, 1))
+                gaps.append((capacity - size, first, opened))
+            if many > opened:
+                rest.append((size, first + opened, many - opened))
+        gaps, pieces = _merged([g for g in gaps if g[0]]), rest
+        for above in _classes(capacity):
+            while gaps and (sizes := [size for size, _, _ in pieces if size > above]) and gaps[0][0] >= min(sizes):
+                gaps, pieces, found = _sweep_runs(gaps, pieces, above, min(sizes))
+                placed += found
+    return np.array(sorted(placed), "i8").reshape(-1, 4)
+
+
+def _looked_up(items: DataFrame, runs: np.ndarray) -> DataFrame:
+    """(_key, _nth, _open): the items with their sequence's number."""
+
+    def look(batches):
+        for batch in batches:
+            nth = batch.column("_nth").to_numpy()
+            first, _, sequence, step = runs[np.searchsorted(runs[:, 0], nth, side="right") - 1].T
+            found = pa.array(sequence + (nth - first) * step)
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_nth"), found], ["_key", "_nth", "_open"])
+
+    ship_package(items.sparkSession)
+    return items.select("_key", "_nth").mapInArrow(look, "_key long, _nth long, _open long")
+
+
 def place_items(items: DataFrame, capacity: int) -> DataFrame:
     """(_item, _seq) for items (_key, _size) below the capacity: sequences are named by their first item."""
+    down = items.select(F.col("_key").cast("long"), F.col("_size").cast("long"), (-F.col("_size")).alias("_down"))
+    ranked = assign_ids(down, "_nth", 0, ["_down", "_key"]).drop("_down")
+    counts = ranked.groupBy("_size").count().limit(MOST_SIZES + 1).collect()
+    if len(counts) > MOST_SIZES:
+        return _place_rows(ranked.select("_key", "_size"), capacity)
+    met = _looked_up(ranked, place_runs({row["_size"]: row["count"] for row in counts}, capacity))
+    opened = met.filter("_nth = _open").select("_open", F.col("_key").alias("_seq"))
+    return met.join(opened, "_open").select(F.col("_key").alias("_item"), "_seq")
+
+
+def _place_rows(items: DataFrame, capacity: int) -> DataFrame:
+    """`place_items` by sweeps on rows."""
     none = F.lit(None).cast("long").alias("_other")
     state, now = _written(items.select(F.lit(PIECE).alias("_kind"), "_key", "_size", none), capacity)
     found = []

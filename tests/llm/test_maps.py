@@ -117,6 +117,47 @@ def test_sweeps_pack_nearly_as_tightly_as_one_piece_after_the_other(spark):
     assert len(filled) <= best_fit_decreasing([n for _, n in kept], 2048) * 1.005 + 1
 
 
+def test_sweeps_on_runs_place_what_sweeps_on_rows_place(spark, monkeypatch):
+    import random
+
+    for seed, capacity, most in ((1, 64, 63), (2, 300, 90)):
+        rng = random.Random(seed)
+        sizes = sorted((rng.randint(1, rng.choice([most, most, 9])) for _ in range(400)), reverse=True)
+        items = spark.createDataFrame([(3 * k + 5, n) for k, n in enumerate(sizes)], "_key long, _size long")
+        by_runs = {tuple(r) for r in packing.place_items(items, capacity).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(packing, "MOST_SIZES", 0)
+            by_rows = {tuple(r) for r in packing.place_items(items, capacity).collect()}
+        assert by_runs == by_rows and len(by_runs) == len(sizes)
+
+
+def test_the_driver_starts_few_jobs_however_many_sweeps_there_are(spark):
+    import random
+
+    rng = random.Random(5)
+    sizes = [rng.choice([rng.randint(1, 2047), rng.randint(1, 300)]) for _ in range(3000)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "_key long, _size long")
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "packing")
+    try:
+        placed = packing.place_items(items, 2048).collect()
+        assert len(placed) == len(sizes)
+        assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) < 30
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_what_runs_cost_does_not_grow_with_the_number_of_pieces():
+    import random
+
+    rng = random.Random(7)
+    counts = {n: rng.randint(1, 50) for n in range(1, 2048)}
+    for times in (1, 10_000_000):
+        runs = packing.place_runs({n: k * times for n, k in counts.items()}, 2048)
+        assert runs[:, 1].sum() == sum(counts.values()) * times
+        assert len(runs) < 60 * len(counts)
+
+
 def test_short_pieces_come_in_bundles(spark):
     sizes = sorted([5] * 1000 + [7] * 10 + [300, 128, 129], reverse=True)
     rows = spark.createDataFrame(list(enumerate(sizes)), "_rank long, length long")
