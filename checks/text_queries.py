@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import query, table, view
+from checks.registry import VIEWS, query, table, view
 from fieldstar.operators import textrepair
 from fieldstar.session import staging_path
 from fieldstar.sources.html import LIST_ITEM, html_rows
@@ -11,9 +11,10 @@ from fieldstar.sources.text import read_lines
 COLS = 3
 
 
-def quoted_lines(spark, sf_dir):
+def quoted_lines(spark, sf_dir, split_docs=None):
     """Lines of the documents as single-quoted records that span two lines each."""
-    lines = view(spark, sf_dir, "split_docs").select(
+    split_docs = view(spark, sf_dir, "split_docs") if split_docs is None else split_docs
+    lines = split_docs.select(
         F.col("doc_id").alias("file"),
         F.size("parts").alias("n"),
         F.posexplode("parts").alias("p", "part"),
@@ -25,6 +26,18 @@ def quoted_lines(spark, sf_dir):
     return lines.select("file", p.cast("long").alias("line_no"), text.alias("text"))
 
 
+def written_cards(spark, sf_dir):
+    """Path of text files that hold these lines, many documents to a file.
+
+    Documents are dealt by id before they are cut, which also spreads a raw table: their text moves once.
+    """
+    path = staging_path(spark, "cards")
+    dealt = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    lines = quoted_lines(spark, sf_dir, spark.sql(VIEWS["split_docs"], documents=dealt))
+    lines.sortWithinPartitions("file", "line_no").select("text").write.text(path)
+    return path
+
+
 LINES = """
 select doc_id as file, n, p, case when p % 2 = 1 then part || chr(39) || ',' || chr(39) || 'end' || chr(39)
   when p = n - 1 then chr(39) || doc_id || chr(39) || ',' || chr(39) || part || chr(39) || ',' || chr(39) || 'end' || chr(39)
@@ -94,9 +107,7 @@ def html_rows_query(spark, sf_dir):
 )
 def card_file_lines(spark, sf_dir):
     """The same repair over text files on disk, many documents to a file."""
-    path = staging_path(spark, "cards")
-    lines = quoted_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no")
-    lines.select("text").write.text(path)
+    path = written_cards(spark, sf_dir)
     return textrepair.repair_quotes(read_lines(spark, path, "UTF-8"), COLS).select("text")
 
 
@@ -106,11 +117,11 @@ def card_file_lines(spark, sf_dir):
 )
 def card_file_table(spark, sf_dir):
     """Cells of single-quoted files on disk: repaired, put together and parsed, cells of one or two lines."""
-    path = staging_path(spark, "cards")
-    lines = quoted_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no")
-    lines.select("text").write.text(path)
-    cut = textrepair.card_lines(read_lines(spark, path, "UTF-8"), COLS)
-    cells = textrepair.parsed_records(cut, ["id", "body", "mark"], "'")
+    path = written_cards(spark, sf_dir)
+    numbered = read_lines(spark, path, "UTF-8")
+    numbers = textrepair.carries(numbered, COLS)
+    cut = textrepair.card_lines(numbered, COLS, numbers)
+    cells = textrepair.parsed_records(cut, ["id", "body", "mark"], "'", numbers=numbers)
     return cells.select(F.col("id").cast("long").alias("id"), "body", "mark")
 
 

@@ -129,7 +129,7 @@ def _with_entries(blocks: DataFrame, entry: Column, move, out: str) -> DataFrame
 
 
 def carries(lines: DataFrame, cols: int) -> DataFrame:
-    """(file, line_no, starts, ends, record) of each line, written once: all that repair needs besides the text."""
+    """(file, line_no, starts, ends, record, cuts) of each line, written once: all that repair needs besides the text."""
     fields = field_count_by_splitter(F.col("text")).alias("fields")
     number = F.floor(F.col("line_no") / BLOCK).cast("long")
     dealt = _dealt(lines.select("file", "line_no", fields).withColumn("block", number), "file", "block")
@@ -160,13 +160,14 @@ def carries(lines: DataFrame, cols: int) -> DataFrame:
         (F.pmod(before, F.lit(cols)) == 0).alias("starts"),
         (F.pmod(after, F.lit(cols)) == 0).alias("ends"),
         F.floor(after / cols).cast("long").alias("record"),
+        (F.col("fields") - 1).alias("cuts"),
     )
     return stage(flags, "carries")
 
 
 def carry_columns(lines: DataFrame, cols: int) -> DataFrame:
     """Add to each line: `starts` and `ends` a record (flags), and `record` (1, 2, ...)."""
-    return _with_text(lines, carries(lines, cols))
+    return _with_text(lines, carries(lines, cols)).drop("cuts")
 
 
 def _with_text(lines: DataFrame, carried: DataFrame) -> DataFrame:
@@ -178,10 +179,13 @@ def repair_quotes(lines: DataFrame, cols: int) -> DataFrame:
 
     All quotes are doubled first, then splitters and record edges put back.
     """
+    return carry_columns(lines, cols).withColumn("text", _repaired())
+
+
+def _repaired() -> Column:
     escaped = F.replace(escape_quotes(F.col("text")), F.lit(ESCAPED_SPLITTER), F.lit(SPLITTER))
     opened = F.when(F.col("starts"), F.regexp_replace(escaped, "^''", "'")).otherwise(escaped)
-    closed = F.when(F.col("ends"), F.regexp_replace(opened, r"''(\s*)$", "'$1")).otherwise(opened)
-    return carry_columns(lines, cols).withColumn("text", closed)
+    return F.when(F.col("ends"), F.regexp_replace(opened, r"''(\s*)$", "'$1")).otherwise(opened)
 
 
 def assemble_records(lines: DataFrame, cols: int) -> DataFrame:
@@ -269,12 +273,13 @@ def quoted_lines(lines: DataFrame, quote: str = '"', sep: str = ",") -> DataFram
     return numbered.select("file", "line_no", "text", record, "cuts")
 
 
-def card_lines(lines: DataFrame, cols: int) -> DataFrame:
-    """Single-quoted lines repaired, with `record` and `cuts` as `quoted_lines` has them."""
-    cuts = field_count_by_splitter(F.col("text")) - 1
-    counted = lines.select("file", "line_no", cuts.alias("cuts"))
-    repaired = repair_quotes(lines, cols).select("file", "line_no", "text", "record")
-    return repaired.join(counted, ["file", "line_no"])
+def card_lines(lines: DataFrame, cols: int, numbers: DataFrame | None = None) -> DataFrame:
+    """Single-quoted lines repaired, with `record` and `cuts` as `quoted_lines` has them.
+
+    `numbers` may give the lines' `carries`, where these are needed besides.
+    """
+    carried = _with_text(lines, carries(lines, cols) if numbers is None else numbers)
+    return carried.select("file", "line_no", _repaired().alias("text"), "record", "cuts")
 
 
 def record_widths(lines: DataFrame) -> DataFrame:
@@ -303,15 +308,22 @@ def width_faults(lines: DataFrame, cols: int) -> DataFrame:
     return wrong.join(first, ["file", "first_line"])
 
 
-def parsed_records(lines: DataFrame, names: Sequence[str], quote: str, sep: str = ",") -> DataFrame:
-    """Cells of all sound records (see `width_faults`), parsed one record at a time: file, record and the columns."""
+def parsed_records(
+    lines: DataFrame, names: Sequence[str], quote: str, sep: str = ",", numbers: DataFrame | None = None
+) -> DataFrame:
+    """Cells of all sound records (see `width_faults`), parsed one record at a time: file, record and the columns.
+
+    `numbers` may give the lines' records and cuts without their text.
+    """
     schema = ", ".join(f"`{n}` string" for n in names)
-    return typed_records(lines, schema, len(names), {"sep": sep, "quote": quote, "escape": quote})
+    return typed_records(lines, schema, len(names), {"sep": sep, "quote": quote, "escape": quote}, numbers)
 
 
-def typed_records(lines: DataFrame, schema: str, cols: int, options: dict[str, str]) -> DataFrame:
+def typed_records(
+    lines: DataFrame, schema: str, cols: int, options: dict[str, str], numbers: DataFrame | None = None
+) -> DataFrame:
     """The same with typed columns and the parser's options given."""
-    widths = record_widths(lines)
+    widths = record_widths(lines if numbers is None else numbers)
     whole = widths.filter(_sound(widths, cols)).select("file", "record")
     records = join_lines(lines.join(whole, ["file", "record"]))
     cells = F.from_csv("text", schema, {"mode": "PERMISSIVE", **options})
