@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.registry import pieces, query, table, view
+from checks.registry import pieces, query, shuffled, table, view
 from fieldstar.schema import conform
 from fieldstar.session import file_states, list_paths, staging_path
 from fieldstar.sinks.files import export_csv, import_tables
@@ -111,11 +111,14 @@ def arriving(df, parts, step):
     """Folder that the rows reach part by part, and how many files each part has.
 
     A part of a small input is one file. Larger inputs come in more files, not
-    in larger ones; with as many files to a batch, a part is a batch.
+    in larger ones; with as many files to a batch, a part is a batch. Rows that
+    a shuffle has dealt already are not moved once more.
     """
     path, files = staging_path(df.sparkSession, "incoming"), pieces(df, step)
     for k in range(step):
-        df.filter(parts == k).repartition(files).write.mode("append").parquet(path)
+        part = df.filter(parts == k)
+        part = part.coalesce(files) if shuffled(part) else part.repartition(files)
+        part.write.mode("append").parquet(path)
         made = len([n for n in list_paths(df.sparkSession, path) if n.endswith(".parquet")])
         for _ in range(made, files * (k + 1)):  # a part of hardly any rows
             df.limit(0).coalesce(1).write.mode("append").parquet(path)

@@ -54,6 +54,11 @@ def well_split(df: DataFrame, tasks: int) -> bool:
     return len(rows) >= tasks and max(rows) * len(rows) <= 2 * sum(rows)
 
 
+def shuffled(df: DataFrame) -> bool:
+    """Whether a frame's plan deals rows anew by itself; broadcasts do not."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mapped view (or base table) as a frame."""
     if name in BASE:

@@ -73,12 +73,17 @@ def number_rows(
     rows = first_per_key(df, key, order) if key else df
     rows = shape(rows) if shape else rows
     if keys is not None:
-        table = next(t for t, c in ID_COLUMNS.items() if c == col)
-        wanted = {*keys, *order, *SCHEMAS[table].names}
-        rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in wanted])
+        rows = level_columns(rows, col, [*keys, *order])
     return assign_ids(rows, col, start, order)
 
 
+def level_columns(rows: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:
+    """The given columns and those of the table which that id numbers, as far as the frame has them."""
+    table = next(t for t, c in ID_COLUMNS.items() if c == col)
+    wanted = {*keep, *SCHEMAS[table].names}
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in wanted])
+
+
 def star_split(
     raw: DataFrame,
     place_key: Sequence[str],

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldstar.formats import DATASETS
 from fieldstar.operators.joins import lookup
 from fieldstar.operators.keys import FILE_ORDER, first_per_key
-from fieldstar.operators.reshape import number_rows
+from fieldstar.operators.reshape import level_columns, number_rows
 from fieldstar.plans.checklists import (
     EVENT_KEY,
     PLACE_KEY,
@@ -137,8 +137,9 @@ class StreamedStar:
         )
         same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in key]
         met = first_per_key(rows, key, order).join(known, same, "left").drop(*[f"_known_{k}" for k in key])
-        met = stage(met, f"batch-{table}")
-        fresh = number_rows(met.filter("_id is null").drop("_id"), None, id_col, start, order, shape, [*key, *carry])
+        # Shaped before they are written: only the columns that this level needs are moved and kept.
+        met = stage(level_columns(shape(met), id_col, [*key, *carry, *order, "_id"]), f"batch-{table}")
+        fresh = number_rows(met.filter("_id is null").drop("_id"), None, id_col, start, order, None, [*key, *carry])
         ids = met.filter("_id is not null").select(*key, F.col("_id").alias(id_col))
         return fresh, ids.unionByName(fresh.select(*key, id_col))
 
