@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import VIEWS, query, table, view
 from fieldstar.operators import textrepair
-from fieldstar.session import staging_path
+from fieldstar.session import delete_path, staging_path
 from fieldstar.sources.html import LIST_ITEM, html_rows
 from fieldstar.sources.text import read_lines
 
@@ -146,8 +146,9 @@ def card_file_faults(spark, sf_dir):
         end = end.when(F.col("doc_id") % 10 == 7, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
         cells = F.concat(F.array(cell(F.col("doc_id").cast("string")), cell(doubled)), end)
         table(spark, sf_dir, "documents").select(F.array_join(cells, ",")).write.text(path)
-        lines = textrepair.quoted_lines(read_lines(spark, path, "UTF-8"), quote)
-        faults = textrepair.width_faults(lines, COLS)
+        lines = read_lines(spark, path, "UTF-8")
+        delete_path(spark, path)  # its lines are staged: it is not read again
+        faults = textrepair.width_faults(lines, COLS, textrepair.quoted_lines(lines, quote))
         # What follows the text on its last line is no part of the first line's width.
         own = F.regexp_replace("text", f"{quote}(,1,2)?$", quote)
         found.append(faults.select(F.lit(kind).alias("kind"), F.length(own).cast("long").alias("width"), F.col("fields").cast("long").alias("fields")))

@@ -295,16 +295,24 @@ def _sound(widths: DataFrame, cols: int) -> Column:
     return (F.col("fields") == cols) & (F.col("size") <= MOST_LINES)
 
 
-def width_faults(lines: DataFrame, cols: int) -> DataFrame:
+def width_faults(lines: DataFrame, cols: int, numbers: DataFrame | None = None) -> DataFrame:
     """Records whose field count is not the declared one: file, record, first_line, fields, text of that line.
 
     A quote that never closes makes the rest of its file one such record; it
     is reported without being put together, even if its width happens to be
-    the declared one: no record has more than `MOST_LINES` lines.
+    the declared one: no record has more than `MOST_LINES` lines. `numbers` may
+    give the lines' records and cuts without their text.
     """
-    widths = record_widths(lines)
-    wrong = widths.filter(~_sound(widths, cols)).drop("size")
-    first = lines.select("file", F.col("line_no").alias("first_line"), "text")
+    widths = record_widths(lines if numbers is None else numbers)
+    wrong = stage(widths.filter(~_sound(widths, cols)).drop("size"), "width-faults")
+    # One small row per block of lines says which of them are asked for: other lines' text is not moved to the faults.
+    asked = wrong.groupBy("file", F.floor(F.col("first_line") / BLOCK).cast("long").alias("_asked")).agg(
+        F.collect_set((F.col("first_line") % BLOCK).cast("short")).alias("_lines")
+    )
+    placed, asked = _in_blocks(lines.select("file", "line_no", "text")), asked.withColumnRenamed("file", "_of")
+    own = F.array_contains("_lines", (F.col("line_no") % BLOCK).cast("short"))
+    met = (F.col("file") == F.col("_of")) & (F.col("_block") == F.col("_asked")) & own
+    first = placed.join(asked, met, "left_semi").select("file", F.col("line_no").alias("first_line"), "text")
     return wrong.join(first, ["file", "first_line"])
 
 

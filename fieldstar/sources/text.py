@@ -123,4 +123,5 @@ def read_lines(
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     number = F.col("_row") - F.col("_first") + F.col("_offset")
-    return lines.join(shifts.drop("_n"), split).select(F.col("_file").alias("file"), number.alias("line_no"), "text")
+    # One row per split: broadcast, so that no text is moved to be numbered.
+    return lines.join(F.broadcast(shifts.drop("_n")), split).select(F.col("_file").alias("file"), number.alias("line_no"), "text")
