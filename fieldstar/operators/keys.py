@@ -82,6 +82,11 @@ def assign_ids(df: DataFrame, col: str, start: int, order: Sequence[str]) -> Dat
     return _shifted(placed.join(F.broadcast(offsets), "_part"), col).drop("_part", "_place", "_offset")
 
 
+def meet_offsets(df: DataFrame, offsets: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows with their split's offsets, one row per split: no row is moved for it."""
+    return df.join(F.broadcast(offsets), list(on))
+
+
 def _shifted(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, (F.col("_offset") + F.col("_place")).cast("long"))
 

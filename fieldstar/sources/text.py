@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldstar.operators.columns import normalize_columns
+from fieldstar.operators.keys import meet_offsets
 from fieldstar.session import stage
 
 
@@ -123,5 +124,4 @@ def read_lines(
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     number = F.col("_row") - F.col("_first") + F.col("_offset")
-    # One row per split: broadcast, so that no text is moved to be numbered.
-    return lines.join(F.broadcast(shifts.drop("_n")), split).select(F.col("_file").alias("file"), number.alias("line_no"), "text")
+    return meet_offsets(lines, shifts.drop("_n"), split).select(F.col("_file").alias("file"), number.alias("line_no"), "text")
